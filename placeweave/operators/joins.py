@@ -78,9 +78,9 @@ def many_to_one(left: DataFrame, right: DataFrame, on: Sequence[KeyPair]) -> Dat
 
 def member_flag(df: DataFrame, column: str, values: DataFrame, values_column: str, flag: str) -> DataFrame:
     """``column in values``: always true or false, a missing key matching a missing value."""
-    known = values.select(F.col(values_column).alias("__value")).distinct().withColumn("__hit", F.lit(True))
+    known = values.select(F.col(values_column).alias("__value")).distinct().withColumn("__member", F.lit(True))
     joined = df.join(known, F.col(column).eqNullSafe(F.col("__value")), "left")
-    return joined.withColumn(flag, F.coalesce("__hit", F.lit(False))).drop("__value", "__hit")
+    return joined.withColumn(flag, F.coalesce("__member", F.lit(False))).drop("__value", "__member")
 
 
 def name_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], name: str,

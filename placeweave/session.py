@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     settings = {
         **SCALE_SETTINGS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         **extra,
     }
