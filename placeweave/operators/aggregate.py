@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from placeweave.operators.joins import equi_join, member_flag
 from placeweave.operators.rank import lump_levels
-from placeweave.session import pinned
+from placeweave.session import counted_side
 
 
 def row_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -128,7 +128,7 @@ def histogram(df: DataFrame, label: str, value: str, bins: int = 30) -> DataFram
     values = df.filter(F.col(value).isNotNull()).select(label, value)
     spans = values.groupBy(label).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     spans = spans.withColumn("width", (F.col("hi") - F.col("lo")) / bins)
-    placed = equi_join(values, spans, [label])
+    placed = equi_join(values, counted_side(spans), [label])
     place = F.floor((F.col(value) - F.col("lo")) / F.nullif(F.col("width"), F.lit(0.0)))
     placed = placed.withColumn("bin", F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("long"))
     return placed.groupBy(label, "bin", "lo", "width").agg(F.count(F.lit(1)).alias("n")).select(
@@ -153,7 +153,7 @@ def value_ranks(df: DataFrame, group: str, value: str, blocks: int = 64) -> Data
     counted = _value_counts(df, group, value)
     cuts = [i / blocks for i in range(1, blocks)]
     # A sketch may differ between evaluations, and the cuts are used twice: fix them.
-    edges = pinned(
+    edges = counted_side(
         df.filter(F.col(value).isNotNull()).groupBy(group).agg(
             F.percentile_approx(value, cuts, 1000).alias("__edges")))
     blocked = equi_join(counted, edges, [group]).withColumn(
@@ -193,7 +193,8 @@ def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 interquartile ranges) and number of outliers."""
     quartiles = exact_quantiles(df, group, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    fenced = equi_join(_value_counts(df, group, value).withColumnRenamed("n", "copies"), quartiles, [group])
+    fenced = equi_join(
+        _value_counts(df, group, value).withColumnRenamed("n", "copies"), counted_side(quartiles), [group])
     within = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
     return fenced.groupBy(group, "n", "q1", "median", "q3").agg(
         F.min(F.when(within, F.col(value))).alias("whisker_low"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from placeweave.operators.joins import equi_join
-from placeweave.session import scratch_folder
+from placeweave.session import BROADCAST_ROWS, counted_side, pinned, scratch_folder
 
 
 def highest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -39,7 +39,7 @@ def standard_scores(df: DataFrame, group: str, value: str, score: str) -> DataFr
     """(value − group mean) / group sample deviation; null for one-row or constant groups."""
     moments = df.groupBy(group).agg(
         F.avg(value).alias("__mean"), F.stddev_samp(value).alias("__deviation"))
-    joined = equi_join(df, moments, [group], "left")
+    joined = equi_join(df, counted_side(moments), [group], "left")
     deviation = F.nullif(F.col("__deviation"), F.lit(0.0))
     return joined.withColumn(score, (F.col(value) - F.col("__mean")) / deviation).drop("__mean", "__deviation")
 
@@ -63,13 +63,13 @@ def lump_levels(df: DataFrame, column: str, keep: int, other: str = "Other",
     Ties at the last place are all kept, and nothing is lumped where at most one level would be:
     a lone rare level keeps its name.  Missing values stay missing.
     """
-    counts = level_counts(df, column, weight)
+    counts = pinned(level_counts(df, column, weight))
     cutoff = counts.orderBy(F.col("n").desc()).limit(keep).agg(F.min("n").alias("cutoff"))
     spared = counts.agg(
         (F.count(F.when(F.col("n") < cutoff.scalar(), 1)) <= 1).alias("spared"))
     kept = counts.filter((F.col("n") >= cutoff.scalar()) | spared.scalar())
     kept = kept.select(F.col(column).alias("__level"), F.lit(True).alias("__kept"))
-    joined = df.join(kept, F.col(column) == F.col("__level"), "left")
+    joined = df.join(counted_side(kept), F.col(column) == F.col("__level"), "left")
     lumped = F.when(F.col("__kept") | F.col(column).isNull(), F.col(column)).otherwise(F.lit(other))
     return joined.withColumn(column, lumped).drop("__level", "__kept")
 
@@ -77,18 +77,18 @@ def lump_levels(df: DataFrame, column: str, keep: int, other: str = "Other",
 def scan_row_id(df: DataFrame, row_id: str = "rowid") -> DataFrame:
     """1-based dense row number in file order, for a frame read directly from Parquet.
 
-    The reader knows each row's place in its file; only the per-file row counts (one row per file)
-    are accumulated and joined back, so no row is shuffled or passes through Python.
+    The reader knows each row's place in its file; only the per-file row counts are accumulated and
+    joined back, so no row is shuffled or passes through Python.  The counts are one row per file of
+    a listing the driver holds anyway, and are broadcast only up to a fixed number of files.
     """
+    files = len(df.inputFiles())
     located = df.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
     sizes = located.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
-    return _offset_rows(located, sizes, row_id)
-
-
-def _offset_rows(located: DataFrame, sizes: DataFrame, row_id: str) -> DataFrame:
     before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    if files <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return (
         equi_join(located, offsets, ["__file"], missing_matches=False)
         .withColumn(row_id, F.col("__offset") + F.col("__index") + 1)

@@ -105,8 +105,8 @@ def point_in_triangle(spark, sf_dir):
 
 # --- crosswalks -------------------------------------------------------------------------------
 
-def _tracts(spark, sf_dir, scale=1.0):
-    shapes = triangles(spark, sf_dir, scale).filter(F.col("label") < 5)
+def _tracts(spark, sf_dir, scale=1.0, labels=(0, 1, 2, 3, 4)):
+    shapes = triangles(spark, sf_dir, scale).filter(F.col("label").isin(*labels))
     geoid = F.lpad(F.col("vec_id").cast("string"), 11, "0")
     return shapes.select(geoid.alias("GEOID"), F.concat(F.lit("1400000US"), geoid).alias("GEOIDFQ"), "geometry")
 
@@ -165,11 +165,12 @@ def edd_crosswalk(spark, sf_dir):
 
 
 @query(f"""
-WITH {triangle_sql('area', 'label IN (5, 6)')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
+WITH {triangle_sql('area', 'label IN (5, 6)')}, {triangle_sql('tract', 'label = 0')}, {triangle_pairs_sql('area', 'tract')}
 SELECT CAST(vec_id AS VARCHAR) AS cbsa_geoid, 'Area ' || vec_id AS cbsa_name FROM area WHERE vec_id NOT IN (SELECT l FROM pairs)
 """)
 def regions_without_tract(spark, sf_dir):
-    raw, tracts = raw_cbsa(spark, sf_dir), _tracts(spark, sf_dir)
+    """Regions that meet none of the tracts of one label."""
+    raw, tracts = raw_cbsa(spark, sf_dir), _tracts(spark, sf_dir, labels=(0,))
     regions = crosswalks.cbsa_regions(raw).select("cbsa_geoid", "cbsa_name")
     return unmatched(regions, crosswalks.cbsa_to_tract(raw, tracts), "cbsa_geoid")
 

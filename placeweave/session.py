@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# A side is broadcast by hint only when it was counted and holds at most this many rows.
+BROADCAST_ROWS = 100_000
 
 # Settings a cluster session should carry: adaptive execution splits hot join
 # partitions and sizes broadcasts from measured, not guessed, row counts.
@@ -57,3 +61,13 @@ def pinned(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint()
+
+
+def counted_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` pinned, and marked for broadcast if it proves to hold at most ``rows`` rows.
+
+    For per-group statistics that a large table is joined with: a handful of groups then costs no
+    shuffle of the large table; any number of groups still works, by a shuffled join.
+    """
+    stored = pinned(df)
+    return F.broadcast(stored) if stored.limit(rows + 1).count() <= rows else stored

@@ -4,12 +4,13 @@ types would turn fixed-width keys into numbers and lose their leading zeros."""
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from placeweave.functions.geometry import from_geojson, from_wkt
 
@@ -51,30 +52,43 @@ def read_text_after_preamble(
 ) -> DataFrame:
     """Delimited text whose files each start with ``skip`` banner lines and then a header.
 
-    Only lines of a file's first block can be banner or header, so only that block
-    (at most ``spark.sql.files.maxPartitionBytes`` per file) is numbered; all later blocks are
-    parsed where they are read.  Quoted line breaks are not supported: see ``unbalanced_quotes``.
+    A task reads the lines of a file block in order, so the lines to leave out are the first ones of a
+    block that starts at byte 0.  They are sliced off Arrow batches in the reading task: one scan and
+    no shuffle, however large or small the files.  Quoted line breaks are not supported: see
+    ``unbalanced_quotes``.
     """
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("position"),
     )
-    in_file = Window.partitionBy("file").orderBy("position")
-    head = (
-        lines.filter(F.col("block") == 0)
-        .withColumn("line", F.row_number().over(in_file))
-        .filter(F.col("line") > skip + 1)
-        .select("value")
-    )
-    rest = lines.filter(F.col("block") > 0).select("value")
-    body = head.unionByName(rest).filter(F.length("value") > 0)
+    body = lines.mapInArrow(_without_heads(skip + 1), "value string").filter(F.length("value") > 0)
     ddl = ", ".join(f"`{c}` string" for c in columns)
     parsed = body.select(F.from_csv("value", ddl, CSV_OPTIONS).alias("row")).select("row.*")
     return cast_columns(parsed, types or {})
 
 
+def _without_heads(count: int):
+    """Drop the first ``count`` lines of each file from batches of (value, file, block)."""
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, seen = None, 0
+        for batch in batches:
+            start = 0
+            while start < batch.num_rows:
+                file, block = batch.column(1)[start].as_py(), batch.column(2)[start].as_py()
+                same = pc.and_(pc.equal(batch.column(1), file), pc.equal(batch.column(2), block)).slice(start)
+                change = pc.index(same, False).as_py()
+                stop = batch.num_rows if change < 0 else start + change
+                if (file, block) != current:
+                    current, seen = (file, block), 0
+                leave = min(stop, start + max(0, count - seen)) if block == 0 else start
+                seen += stop - start
+                if leave < stop:
+                    yield batch.slice(leave, stop - leave).select([0])
+                start = stop
+    return drop
+
+
 def unbalanced_quotes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Number of lines with an odd count of quotes, i.e. of quoted line breaks."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
