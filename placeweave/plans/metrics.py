@@ -11,12 +11,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from placeweave.operators.aggregate import exact_quantiles, value_ranks
 from placeweave.operators.joins import equi_join
 from placeweave.operators.reshape import stack_rows
 from placeweave.operators.spatial import places_within
-from placeweave.session import pinned
+from placeweave.session import few_rows, pinned
 
 MONEY = "decimal(18,2)"
 
@@ -46,34 +47,52 @@ def metric_rollup(observations: DataFrame, key: str, metrics: Sequence[str],
     return stack_rows(*rolled).select("level", "region", "observations", *metrics)
 
 
+def _with_ranks(regions: DataFrame, few: bool, metric: str, below: str, total: str, ties: str) -> DataFrame:
+    """Regions of the same level with a smaller value, in all, and with the same value."""
+    if few:  # counted: one window task holds a bounded number of rows
+        level = Window.partitionBy("level")
+        return regions.withColumns({
+            below: F.rank().over(level.orderBy(metric)) - 1,
+            total: F.count(metric).over(level),
+            ties: F.count(metric).over(Window.partitionBy("level", metric)),
+        })
+    ranks = value_ranks(regions, "level", metric).select(
+        "level", metric, F.col("below").alias(below), F.col("total").alias(total), F.col("n").alias(ties))
+    return equi_join(regions, ranks, ["level", metric], "left")
+
+
 def region_rank(rollup: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     """Percent rank of every metric within its level, their weighted sum, and the rank of that sum.
 
-    The rollup is pinned, since every metric ranks it anew; ranks come from running counts over value
-    ranges, so a level may have any number of regions.
+    The rollup is pinned, since every metric ranks it anew.  A counted, small number of regions is
+    ranked by window, any other number from running counts over value ranges.  Missing totals count as 0.
     """
-    scored = pinned(rollup)
+    scored = pinned(rollup.fillna(0, subset=list(weights)))
+    few = few_rows(scored)
     for metric in weights:
-        ranks = value_ranks(scored, "level", metric).select(
-            "level", metric,
-            F.coalesce(F.col("below") / F.nullif(F.col("total") - 1, F.lit(0)), F.lit(0.0)).alias(f"{metric}_rank"))
-        scored = equi_join(scored, ranks, ["level", metric], "left")
+        scored = _with_ranks(scored, few, metric, "__below", "__total", "__ties")
+        percent = F.coalesce(F.col("__below") / F.nullif(F.col("__total") - 1, F.lit(0)), F.lit(0.0))
+        scored = scored.withColumn(f"{metric}_rank", percent).drop("__below", "__total", "__ties")
     score = sum((F.lit(float(w)) * F.col(f"{m}_rank") for m, w in weights.items()), F.lit(0.0))
-    scored = scored.withColumn("score", score)
-    places = value_ranks(scored, "level", "score").select(
-        "level", "score", (F.col("total") - F.col("below") - F.col("n") + 1).alias("place"))
-    return equi_join(scored, places, ["level", "score"], "left")
+    scored = _with_ranks(scored.withColumn("score", score), few, "score", "__below", "__total", "__ties")
+    place = F.col("__total") - F.col("__below") - F.col("__ties") + 1
+    return scored.withColumn("place", place).drop("__below", "__total", "__ties")
 
 
 def competitive_regions(rollup: DataFrame, metrics: Sequence[str], quantile: float = 0.75,
                         needed: int = 2) -> DataFrame:
     """Flag regions of which at least ``needed`` metrics reach their level's quantile."""
-    flagged = pinned(rollup)
-    high = F.lit(0)
-    for metric in metrics:
-        limit = exact_quantiles(flagged, "level", metric, {f"__limit_{metric}": quantile}).drop("n")
-        flagged = equi_join(flagged, limit, ["level"], "left")
-        high = high + F.coalesce((F.col(metric) >= F.col(f"__limit_{metric}")).cast("int"), F.lit(0))
+    regions = pinned(rollup)
+    if few_rows(regions):  # counted: an aggregate may hold all values of a level
+        limits = regions.groupBy("level").agg(
+            *[F.percentile(m, F.lit(quantile)).alias(f"__limit_{m}") for m in metrics])
+        flagged = equi_join(regions, F.broadcast(limits), ["level"], "left")
+    else:
+        flagged = regions
+        for metric in metrics:
+            limit = exact_quantiles(regions, "level", metric, {f"__limit_{metric}": quantile}).drop("n")
+            flagged = equi_join(flagged, limit, ["level"], "left")
+    high = sum((F.coalesce((F.col(m) >= F.col(f"__limit_{m}")).cast("int"), F.lit(0)) for m in metrics), F.lit(0))
     flagged = flagged.withColumn("high_metrics", high).withColumn("competitive", F.col("high_metrics") >= needed)
     return flagged.drop(*[f"__limit_{m}" for m in metrics])
 

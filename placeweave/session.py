@@ -63,6 +63,11 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def few_rows(stored: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a pinned frame holds at most ``rows`` rows."""
+    return stored.limit(rows + 1).count() <= rows
+
+
 def counted_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` pinned, and marked for broadcast if it proves to hold at most ``rows`` rows.
 
@@ -70,4 +75,4 @@ def counted_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     shuffle of the large table; any number of groups still works, by a shuffled join.
     """
     stored = pinned(df)
-    return F.broadcast(stored) if stored.limit(rows + 1).count() <= rows else stored
+    return F.broadcast(stored) if few_rows(stored, rows) else stored
