@@ -168,21 +168,28 @@ def _box_sql(table_name: str, group: str, value: str) -> str:
     return f"""
     WITH q AS (SELECT {group} AS label, count(*) AS n, quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
                       quantile_cont({value}, 0.75) AS q3 FROM {table_name} GROUP BY 1)
-    SELECT label, n, q1, median, q3,
+    SELECT label, n, q1::DECIMAL(18,4)::DOUBLE AS q1, median::DECIMAL(18,4)::DOUBLE AS median, q3::DECIMAL(18,4)::DOUBLE AS q3,
            min({value}) FILTER ({value} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_low,
            max({value}) FILTER ({value} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS whisker_high,
            count(*) FILTER ({value} NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS outliers
-    FROM q JOIN {table_name} ON {group} = label GROUP BY ALL"""
+    FROM q JOIN {table_name} ON {group} = label GROUP BY label, n, q.q1, q.median, q.q3"""
+
+
+def to_four_digits(boxes):
+    """Quartiles of amounts in cents have at most four decimals; the last bit depends on the engine."""
+    return boxes.withColumns({c: F.col(c).cast("decimal(18,4)").cast("double") for c in ("q1", "median", "q3")})
 
 
 @query(_box_sql("orders", "o_orderpriority", "o_totalprice"))
 def box_stats(spark, sf_dir):
-    return aggregate.box_stats(table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "label"), "label", "o_totalprice")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "label")
+    return to_four_digits(aggregate.box_stats(orders, "label", "o_totalprice"))
 
 
 @query(_box_sql("events", "event_type", "value"))
 def box_stats_events(spark, sf_dir):
-    return aggregate.box_stats(table(spark, sf_dir, "events").withColumnRenamed("event_type", "label"), "label", "value")
+    events = table(spark, sf_dir, "events").withColumnRenamed("event_type", "label")
+    return to_four_digits(aggregate.box_stats(events, "label", "value"))
 
 
 @query("""

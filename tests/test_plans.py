@@ -1,0 +1,350 @@
+"""The dataset builds on hand-written rows, with the awkward ones among them."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from placeweave.functions.geometry import from_wkt, to_wkt
+from placeweave.operators.quality import no_duplicate_rows, unmatched
+from placeweave.plans import consolidated, crosswalks, geography, metrics, observations
+from placeweave.session import pinned
+
+
+def box(x, y, size):
+    return f"POLYGON (({x} {y}, {x + size} {y}, {x + size} {y + size}, {x} {y + size}, {x} {y}))"
+
+
+def shaped(spark, data, columns):
+    df = spark.createDataFrame(data, ", ".join(f"`{c}` string" for c in [*columns, "wkt"]))
+    return df.withColumn("geometry", from_wkt("wkt")).drop("wkt")
+
+
+# --- geography --------------------------------------------------------------------
+
+@pytest.fixture
+def states(spark):
+    return shaped(spark, [("02", "AK", "Alaska", box(0, 0, 1)), ("01", "AL", "Alabama", box(2, 0, 1)),
+                          ("72", "PR", "Puerto Rico", f"MULTI{box(4, 0, 1).replace('((', '(((').replace('))', ')))')}")],
+                  ["STATEFP", "STUSPS", "NAME"])
+
+
+def test_states(states, rows):
+    dims = geography.state_dims(states)
+    assert rows(dims) == [("01", "AL", "Alabama"), ("02", "AK", "Alaska"), ("72", "PR", "Puerto Rico")]
+    shapes = geography.state_shapes(states)
+    assert shapes.columns == ["state_fips", "geometry"]
+    base = geography.contiguous_state_shapes(shapes, dims)
+    assert [r["state_name"] for r in base.collect()] == ["Alabama"]
+
+
+@pytest.fixture
+def counties(spark):
+    old = shaped(spark, [
+        ("01", "001", "Autaga", box(0, 0, 1)),          # renamed in 2018
+        ("01", "003", "Baldwin", box(1, 0, 1)), ("01", "003", "Baldwin", box(9, 9, 1)),  # two polygons, newer exists
+        ("02", "010", "Gone", box(2, 0, 1)), ("02", "010", "Gone", box(3, 0, 1)),  # absent in 2018
+        ("51", "005", "Old", box(4, 0, 1)), ("51", "007", "Old", box(5, 0, 1)),  # one name, two successors
+        ("51", "009", None, box(6, 0, 1)),
+    ], ["ST", "CO", "NAME"])
+    new = shaped(spark, [
+        ("01", "001", "01001", "Autauga", box(0, 0, 2)), ("01", "003", "01003", "Baldwin", box(1, 0, 2)),
+        ("51", "005", "51005", "New A", box(4, 0, 2)), ("51", "007", "51007", "New B", box(5, 0, 2)),
+        ("01", "099", "01099", "Baldwin", box(7, 0, 2)),  # the same name again, higher code
+    ], ["STATEFP", "COUNTYFP", "GEOID", "NAME"])
+    return geography.county_vintage_1990(old), geography.county_vintage_2018(new)
+
+
+def test_county_names(counties, rows):
+    changes = geography.county_name_changes(*counties)
+    assert rows(changes) == [("01", "001", "Autaga", "Autauga"), ("51", "005", "Old", "New A"), ("51", "007", "Old", "New B")]
+    dims = geography.county_dims(*counties)
+    assert rows(dims, "county_geoid", "county_name") == [
+        ("01001", "Autauga"), ("01003", "Baldwin"), ("01099", "Baldwin"), ("02010", "Gone"),
+        ("51005", "New A"), ("51005", "New B"), ("51007", "New A"), ("51007", "New B"), ("51009", None)]
+    assert rows(geography.county_names_with_several_codes(dims), "county_name") == [("Baldwin",), ("New A",), ("New B",)]
+    unique = geography.county_dims_unique_names(dims)
+    assert rows(unique, "state_fips", "county_name", "county_fips") == [
+        ("01", "Autauga", "001"), ("01", "Baldwin", "099"), ("02", "Gone", "010"), ("51", None, "009"),
+        ("51", "New A", "007"), ("51", "New B", "007")]
+    assert unique.groupBy("state_fips", "county_name").count().filter("count > 1").count() == 0
+    assert unique.filter("county_name = 'Baldwin'").first()["county_fips"] == "099"
+
+
+def test_latest_county_shapes_keep_all_polygons(counties):
+    shapes = {}
+    for r in geography.county_shapes(*counties).select("county_geoid", to_wkt("geometry").alias("w")).collect():
+        shapes.setdefault(r["county_geoid"], []).append(r["w"])
+    assert len(shapes["02010"]) == 2 and len(shapes["01003"]) == 1 and len(shapes["51009"]) == 1
+    assert "3.0 0.0" in shapes["01003"][0]
+
+
+@pytest.fixture
+def tracts(spark):
+    raw = shaped(spark, [
+        ("01", "001", "020100", "01001020100", "-086.49", "+32.47", "2013", box(0, 0, 1)),
+        ("01", "001", "020100", "01001020100", "-086.50", "+32.48", "2023", box(0, 0, 2)),
+        ("26", "163", "031100", "26163031100", "-083.1", "+42.3", "2013", box(5, 5, 1)),
+        ("26", "163", "031102", "26163031102", "-083.2", "+42.4", "2023", box(6, 5, 1)),
+    ], ["STATEFP", "COUNTYFP", "TRACTCE", "GEOID", "INTPTLON", "INTPTLAT", "y"])
+    return geography.tract_vintage(raw.withColumn("year", F.col("y").cast("int")))
+
+
+def test_tracts(tracts, rows):
+    assert rows(geography.census_dims(tracts)) == [
+        ("01001020100", "01", "001", "020100", 2023), ("26163031100", "26", "163", "031100", 2013),
+        ("26163031102", "26", "163", "031102", 2023)]
+    assert rows(geography.census_coordinates(tracts))[0] == ("01001020100", -86.5, 32.48)
+    assert geography.census_shapes(tracts).count() == 3
+    assert rows(geography.census_coverage(tracts)) == [("2013", 1, 0.33), ("2023", 1, 0.33), ("Both", 1, 0.33)]
+    joiner = geography.census_joiner(geography.census_dims(tracts))
+    assert joiner.count() == 3 + 2
+
+
+def test_notebook_and_warehouse_dims(spark, rows):
+    raw = spark.createDataFrame([("01", "001", "01001020100", "1400000US01001020100", "x")],
+                                "STATEFP string, COUNTYFP string, GEOID string, GEOIDFQ string, extra string")
+    assert rows(geography.tract_dims_2023(raw)) == [("01", "001", "01001020100", "1400000US01001020100")]
+    repeated = spark.createDataFrame([("Alabama", "01", "003", "2", "b"), ("Alabama", "01", "001", "1", "a")] * 2,
+                                     "state_name string, state_fips_code string, county_fips_code string, tract_ce string, geo_id string")
+    dims = geography.warehouse_tract_dims(repeated)
+    assert [tuple(r) for r in dims.collect()] == [("Alabama", "01", "001", "1", "a"), ("Alabama", "01", "003", "2", "b")]
+
+
+# --- observations ----------------------------------------------------------------------
+
+@pytest.fixture
+def joiner(tracts):
+    return geography.census_joiner(geography.census_dims(tracts))
+
+
+def test_coal_closures(spark, joiner, rows):
+    raw = spark.createDataFrame([
+        (1, "01001020100", "Yes", None, "Yes"), (2, "99999999999", "Yes", "Yes", "Yes"), (3, "26163031199", "Yes", "Yes", "Yes"),
+        (4, "26163031102", "No", None, "No"), (5, "2616", "Yes", None, None), (6, None, "Yes", None, None),
+    ], "rowid long, geoid_tract_2020 string, Mine_Closure string, Generator_Closure string, Adjacent_to_Closure string")
+    tag = "clean_energy_tax_credit__coal_closures"
+    assert rows(observations.coal_closures(raw, joiner)) == [
+        (tag, f"{tag}_1", "01001020100", "Mine closure: Adjacent to closure"),
+        (tag, f"{tag}_3", "26163031100", "Mine closure: Generator closure: Adjacent to closure")]
+
+
+def test_fossil_fuel_employment(spark, tracts):
+    raw = spark.createDataFrame([(1, "01", "001", "Yes", "No"), (2, "01", "999", "Yes", "Yes"), (3, "26", "163", None, "Yes")],
+                                "rowid long, fipstate_2020 string, fipscounty_2020 string, ffe_qual_status string, ec_qual_status string")
+    out = {r["observation_id"]: r for r in observations.fossil_fuel_employment(raw, geography.census_dims(tracts)).collect()}
+    assert set(out) == {"clean_energy_tax_credit__fossil_fuels_1", "clean_energy_tax_credit__fossil_fuels_3"}
+    assert out["clean_energy_tax_credit__fossil_fuels_1"]["label"] == f"{observations.FFE_YES}: {observations.EC_NO}"
+    assert out["clean_energy_tax_credit__fossil_fuels_3"]["label"].startswith("NA: EC Yes")
+
+
+def test_designations(spark, joiner, rows):
+    raw = spark.createDataFrame([
+        ("1", "01001020100", 1.0, "01001020100", "a"), ("2", "26163031199", 0.5, "N/A", None),
+        ("3", "26163031102", 1.5, "x", "c"), ("4", "26163031102", None, "y", "d"), ("5", "00000000000", 1.0, "z", "e"),
+    ], "OID_ string, CTract_GEO string, F48C_Statu double, F48C_Tract string, Label string")
+    out = rows(observations.designations_48c(raw, joiner), "observation_id", "census_geoid", "f48c_status", "f48c_tract", "label")
+    tag = observations.DESIGNATIONS_48C
+    assert out == [
+        (f"{tag}1", "01001020100", observations.DESIGNATED_48C, "01001020100", "a"),
+        (f"{tag}2", "26163031100", observations.NOT_DESIGNATED_48C, None, None),
+        (f"{tag}3", "26163031102", "DEFAULT_UNKNOWN", "x", "c"), (f"{tag}4", "26163031102", "DEFAULT_UNKNOWN", "y", "d")]
+
+
+def test_closed_mines(spark, tracts, rows):
+    raw = spark.createDataFrame([("7", "m1", "Mine", "Surface", "2010", "1001", "AL", "1"), ("8", "m2", "M", "U", "soon", "26163", "MI", "26"),
+                                 ("9", "m3", "M", "U", "2011", "010010", "AL", "1")],
+                                "OID_ string, Mine_ID string, Current_Mine_Name string, Current_Mine_Type string, Year_Closed string, County_GEOID string, State string, `State code` string")
+    out = observations.closed_coal_mines(raw, geography.census_dims(tracts))
+    assert out.columns == ["state_fips", "county_fips", "dataset", "observation_id", "mine_id", "mine_name", "mine_type", "year_closed", "state_name"]
+    assert rows(out, "state_fips", "county_fips", "observation_id", "year_closed") == [
+        ("01", "001", "iwg_closed_coalmines_7", 2010), ("26", "163", "iwg_closed_coalmines_8", None)]
+
+
+def test_retired_plants(spark, tracts, rows):
+    raw = spark.createDataFrame([("7", "Plant", "steam", "1001", 12.5, 1970, 2010)],
+                                "OID_ string, Plant_Name string, Technology string, County_GEOID string, Nameplate_Capacity__MW_ double, Operating_Year int, Retirement_Year int")
+    assert rows(observations.retired_coal_plants(raw, geography.census_dims(tracts))) == [
+        ("01", "001", "iwg_retired_powerplants_coal_", "iwg_retired_powerplants_coal__7", "Plant", 12.5, "steam", 1970, 2010)]
+
+
+FACILITY = ("Unique_ID string, Segment string, Company string, Technology string, Subcategory string, Project_Type string, "
+            "Current_Facility_Status string, Status_Description string, census_tract_2010_id string, census_tract_2010_geoid string, "
+            "Address string, State string, Latitude double, Longitude double, Total_Facility_Capex_Estimated double")
+
+
+@pytest.fixture
+def raw_facilities(spark):
+    return spark.createDataFrame([
+        ("1", "Mfg", "Co", "Wind", "s", "new", "open", "d", "020100", "01001020100", "1 Main St, Town", "AL", 32.0, -86.0, 10.0),
+        ("2", None, "Co", "Solar", "s", "new", "open", "d", "020100", "01001020100", "x", "AL", None, None, 20.0),
+        ("3", "Mfg", "Co", "Solar", "s", "new", "open", "d", "020100", None, "x", "AL", 33.0, -87.0, None),
+        ("4", "Mfg", "Co", "Solar", "s", "new", "open", "d", "020100", "26163031100", "x", "ZZ", 33.5, -87.5, 30.0),
+    ], FACILITY)
+
+
+def test_facilities(raw_facilities, rows):
+    out = observations.facilities(raw_facilities)
+    assert out.columns == ["dataset_name", "observation_id", "segment", "company", "technology", "subcategory", "project_type",
+                           "current_facility_status", "status_description", "census_tract", "latitude", "longitude", "address",
+                           "state_name_abbrev", "total_facility_capex_estimated"]
+    assert rows(out, "observation_id")[0] == ("Clean Investment Monitor__1",)
+    keyed = observations.facilities_by_tract(raw_facilities)
+    assert rows(keyed, "segment_technology", "census_geoid") == [
+        ("Mfg: Solar", "26163031100"), ("Mfg: Wind", "01001020100"), ("NA: Solar", "01001020100")]
+
+
+@pytest.fixture
+def repowering(spark):
+    raw = spark.createDataFrame([(1, "Own", "AL", "Wind", 32.1, -86.1, 100.0), (2, "Own", "AL", "Solar", 32.2, -86.2, None),
+                                 (3, None, "AL", "Solar", 32.3, -86.3, 300.0)],
+                                "rowid long, `Majority Owner` string, STATE string, `Opportunity by Technology` string, Latitude double, Longitude double, `Capacity MW` double")
+    return observations.repowering(raw)
+
+
+def test_repowering(repowering, rows):
+    assert repowering.columns == ["dataset_name", "observation_id", "state_name_abbrev", "majority_owner", "technology", "latitude", "longitude", "capacity_mw"]
+    assert rows(repowering, "observation_id", "capacity_mw")[0] == ("Clean Repowering__1", 100.0)
+
+
+def test_consolidated(states, repowering, raw_facilities, rows):
+    facilities = observations.facilities(raw_facilities)
+    out = consolidated.consolidated_observations(repowering, facilities, geography.state_dims(states))
+    assert rows(out, "dataset_name", "observation_id", "state_name", "capacity_mw", "company") == [
+        ("Clean Investment Monitor", "Clean Investment Monitor__1", "Alabama", None, "Co"),
+        ("Clean Repowering", "Clean Repowering__1", "Alabama", 100.0, None)]
+
+
+def test_point_layer(repowering, raw_facilities):
+    facilities = observations.facilities(raw_facilities)
+    points = consolidated.point_layer(repowering, facilities).collect()
+    assert sorted((r["label"][:5], r["value"]) for r in points) == [("Clean", 10.0), ("Clean", 30.0), ("Clean", 100.0), ("Clean", 300.0)]
+    scores = sorted(round(r["value_std"], 6) for r in points)
+    assert scores == [-0.707107, -0.707107, 0.707107, 0.707107]
+    assert sum(r["n"] for r in consolidated.value_histogram(repowering, facilities).collect()) == 4
+    assert sum(r["n"] for r in consolidated.facility_flows(facilities).collect()) == 4
+    boxes = {r["technology"]: r["median"] for r in consolidated.capacity_boxes(repowering).collect()}
+    assert boxes == {"Wind": 100.0, "Solar": 300.0}
+
+
+INVESTMENT = ("`Unique ID` string, County string, State string, `Agency Name` string, `Bureau Name` string, `Program Name` string, "
+              "`Project Name` string, Category string, Subcategory string, `Funding Source` string, `Funding Amount` string")
+
+
+def investments(spark, places):
+    rest = ["a", "b", "p", "n", "c", "s", "f", "1"]
+    return spark.createDataFrame([(str(i), county, state, *rest) for i, (county, state) in enumerate(places)], INVESTMENT)
+
+
+def test_public_investments(spark):
+    state_dims = spark.createDataFrame([("15", "HI", "Hawaii"), ("35", "NM", "New Mexico"), ("22", "LA", "Louisiana"),
+                                        ("78", "VI", "United States Virgin Islands")], "state_fips string, state_name_abbrev string, state_name string")
+    county_dims = spark.createDataFrame([
+        ("15007", "15", "007", "Kauai"), ("35013", "35", "013", "Doña Ana"), ("22093", "22", "093", "St. James"),
+        ("22001", "22", "001", "Acadia"), ("78010", "78", "010", "St. Croix"), ("22101", "22", "101", "Parish of X")],
+        "county_geoid string, state_fips string, county_fips string, county_name string")
+    places = [("Kaua‘i County", "Hawaii"), ("Dona  Ana county (part)", "New Mexico"), ("St James Parish", "Louisiana"),
+              ("\tAcadia Parish", "Louisiana"), ("St. Croix", "U.S. Virgin Islands"), (None, "Louisiana"),
+              ("Anywhere", "Atlantis"), ("Parish of X", "Louisiana"), ("county county Acadia", "Louisiana"),
+              ("Acadia Parish ", "Louisiana")]  # the ending goes before the spaces are trimmed
+    out = observations.public_investments(investments(spark, places), state_dims, county_dims, county_dims)
+    found = {r["observation_id"]: (r["state_fips"], r["county_geoid"]) for r in out.collect()}
+    assert found == {
+        "Invest.gov_0": ("15", "15007"), "Invest.gov_1": ("35", "35013"), "Invest.gov_2": ("22", "22093"),
+        "Invest.gov_3": ("22", "22001"), "Invest.gov_4": ("78", "78010"), "Invest.gov_5": ("22", None),
+        "Invest.gov_6": (None, None), "Invest.gov_7": ("22", "22101"), "Invest.gov_8": ("22", None),
+        "Invest.gov_9": ("22", None)}
+    assert out.columns == ["dataset_name", "observation_id", "state_fips", "county_geoid", "county_name", "state_name", "agency_name",
+                           "bureau_name", "program_name", "project_name", "category", "subcategory", "funding_source", "funding_amount", "county_fips"]
+    twice = county_dims.union(spark.createDataFrame([("15009", "15", "009", "KAUAI")], county_dims.schema))
+    with pytest.raises(PySparkException, match="many-to-one"):
+        observations.public_investments(investments(spark, places), state_dims, twice, county_dims).collect()
+    # a duplicate that no row asks for is no error
+    unused = county_dims.union(spark.createDataFrame([("35001", "35", "001", "X"), ("35002", "35", "002", "x")], county_dims.schema))
+    assert observations.public_investments(investments(spark, places), state_dims, unused, county_dims).count() == len(places)
+
+
+# --- crosswalks --------------------------------------------------------------------------
+
+@pytest.fixture
+def raw_tracts(spark):
+    return shaped(spark, [("01001020100", "US1", box(0, 0, 1)), ("01001020200", "US2", box(1, 0, 1)), ("01001020300", "US3", box(9, 9, 1))],
+                  ["GEOID", "GEOIDFQ"])
+
+
+def test_cbsa(spark, raw_tracts, rows):
+    raw = shaped(spark, [("10", "10", "F10", "A", "M1", box(0, 0, 1)), ("20", "20", "F20", "B", "M2", box(0.5, 0.5, 0.1)),
+                         ("30", "30", "F30", "C", "M9", box(50, 50, 1))], ["CBSAFP", "GEOID", "GEOIDFQ", "NAME", "LSAD"])
+    out = crosswalks.cbsa_to_tract(raw, raw_tracts)
+    assert out.columns == ["cbsa_name", "cbsa_type", "cbsa_fips", "cbsa_geoid", "cbsa_geoidfq", "census_geoid", "census_geoidfq"]
+    # a tract that only borders the region counts; a region inside a tract counts
+    assert rows(out, "cbsa_name", "cbsa_type", "census_geoid") == [
+        ("A", "metro", "01001020100"), ("A", "metro", "01001020200"), ("B", "micro", "01001020100")]
+    assert no_duplicate_rows(out, "t").first()["passed"]
+    assert rows(unmatched(crosswalks.cbsa_regions(raw), out, "cbsa_geoid"), "cbsa_name", "cbsa_type") == [("C", "M9")]
+    shapes = raw_tracts.select(F.col("GEOIDFQ").alias("census_geoidfq"), "geometry")
+    assert rows(crosswalks.tracts_of_region(out, "cbsa_name", "A", shapes), "census_geoidfq") == [("US1",), ("US2",)]
+
+
+def test_csa_and_edd(spark, raw_tracts, rows):
+    csa = shaped(spark, [("c", "c", "Fc", "N", box(9.5, 9.5, 3))], ["CSAFP", "GEOID", "GEOIDFQ", "NAME"])
+    assert rows(crosswalks.csa_to_tract(csa, raw_tracts)) == [("c", "c", "Fc", "N", "01001020300", "US3")]
+    edd = shaped(spark, [("Zeta", "s", "c", box(0.2, 0.2, 0.1)), ("Ñandú", "s", "c", box(0.5, 0.5, 1)), ("Alpha", "s", "c", box(70, 70, 1))],
+                 ["FullName", "State", "County"])
+    out = crosswalks.edd_to_census_tract(edd, raw_tracts)
+    assert rows(out, "edd_index", "edd_full_name", "census_geoidfq") == [(1, "Zeta", "US1"), (2, "Ñandú", "US1"), (2, "Ñandú", "US2")]
+
+
+# --- metrics --------------------------------------------------------------------------------
+
+@pytest.fixture
+def rollup(spark):
+    data = [("county", f"c{i:02d}", i, float(i % 7), float(10 - i)) for i in range(10)] + [("state", "s", 1, 1.0, 1.0)]
+    return spark.createDataFrame(data, "level string, region string, observations long, dollars double, capacity double")
+
+
+def test_rollup_counts_overlaps_in_each_region(spark, rows):
+    obs = spark.createDataFrame([("t1", 1.0, None), ("t1", 2.0, 5.0), ("t2", 4.0, 1.0), ("t3", 8.0, 1.0)], "t string, dollars double, mw double")
+    levels = {"edd": spark.createDataFrame([("t1", "e1"), ("t2", "e1"), ("t2", "e2")], "t string, region string"),
+              "state": spark.createDataFrame([("t1", "s"), ("t2", "s"), ("t3", "s")], "t string, region string")}
+    out = metrics.metric_rollup(obs, "t", ["dollars", "mw"], levels)
+    assert rows(out) == [("edd", "e1", 3, 7.0, 6.0), ("edd", "e2", 1, 4.0, 1.0), ("state", "s", 4, 15.0, 7.0)]
+    assert metrics.ratio_by_region(out, "mw", "dollars").filter("region = 'e2'").first()["ratio"] == 0.25
+
+
+def test_ranks_agree_on_both_ways(spark, rollup, rows, monkeypatch):
+    columns = ["level", "region", "dollars_rank", "capacity_rank", "score", "place"]
+    by_window = rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns)
+    flags = ["region", "high_metrics", "competitive"]
+    high = rows(metrics.competitive_regions(rollup, ["dollars", "capacity"], 0.5, 2), *flags)
+    monkeypatch.setattr(metrics, "few_rows", lambda df: False)
+    assert rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns) == by_window
+    assert rows(metrics.competitive_regions(rollup, ["dollars", "capacity"], 0.5, 2), *flags) == high
+    ranked = {r[1]: r for r in by_window}
+    assert ranked["c06"][2] == 1.0 and ranked["c00"][3] == 1.0 and ranked["s"][5] == 1
+    assert sorted(r[5] for r in by_window if r[0] == "county")[0] == 1
+
+
+def test_drill_down(spark, rows):
+    obs = spark.createDataFrame([("a", "d1", 1), ("b", "d1", 2), ("a", "d2", 3)], "region string, dataset_name string, v int")
+    chosen = spark.createDataFrame([("a",), ("a",)], "region string")
+    assert rows(metrics.drill_down(chosen, "region", metrics.of_dataset(obs, "d1")), "v") == [(1,)]
+
+
+def test_dyads_fold_copies(spark):
+    left = spark.createDataFrame([("plant", 0.0, 0.0, 1.0)] * 50 + [("plant", 5.0, 5.0, 1.0)], "kind string, lon double, lat double, v double")
+    right = spark.createDataFrame([("factory", 0.1, 0.0, 2.0)] * 40 + [("lab", 0.0, 0.2, 3.0)], "kind string, lon double, lat double, v double")
+    pairs = metrics.dyads(left, right, 30_000.0, value="v")
+    got = {(r["l_kind"], r["r_kind"]): (r["quantity"], r["l_value"], r["r_value"]) for r in pairs.collect()}
+    assert got == {("plant", "factory"): (2000, 50.0, 80.0), ("plant", "lab"): (50, 50.0, 3.0)}
+    summary = {r["r_kind"]: r for r in metrics.dyad_summary(pairs).collect()}
+    assert summary["factory"]["dyads"] == 2000 and summary["lab"]["nearest"] == pytest.approx(22239.0, abs=1)
+
+
+def test_dyad_lag(spark):
+    left = spark.createDataFrame([("a", 0.0, 0.0, "2024-01-01")], "kind string, lon double, lat double, d string").withColumn("d", F.to_date("d"))
+    right = spark.createDataFrame([("b", 0.0, 0.0, "2024-02-01"), ("b", 0.0, 0.0, "2023-12-31")], "kind string, lon double, lat double, d string").withColumn("d", F.to_date("d"))
+    assert sorted(r["lag_days"] for r in metrics.dyads(left, right, 1.0, day="d").collect()) == [-1, 31]
+
+
+def test_pinned_frames_survive_without_a_folder_setting(spark):
+    assert pinned(spark.range(3)).count() == 3
