@@ -143,19 +143,26 @@ def _value_counts(df: DataFrame, group: str, value: str) -> DataFrame:
     return df.filter(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_ranks(df: DataFrame, group: str, value: str, blocks: int = 64) -> DataFrame:
+MAX_BLOCKS = 1024
+
+
+def value_ranks(df: DataFrame, group: str, value: str, rows_per_block: int = 1_000_000) -> DataFrame:
     """Per group and distinct value: its count ``n``, the rows below it ``below`` and the group size ``total``.
 
-    Equal values are counted first.  A sketch then cuts each group into ``blocks`` value ranges, and
-    running counts are taken inside a range and offset by the ranges below it, so no task sees a whole
-    group.  The cuts only balance the work; the counts are exact.
+    Equal values are counted first.  A sketch then cuts each group into value ranges of about
+    ``rows_per_block`` rows, and running counts are taken inside a range and offset by the ranges below
+    it, so no task sees a whole group.  The cuts only balance the work; the counts are exact.
     """
-    counted = _value_counts(df, group, value)
-    cuts = [i / blocks for i in range(1, blocks)]
+    held = df.filter(F.col(value).isNotNull())
+    counted = _value_counts(held, group, value)
+    cuts = [i / MAX_BLOCKS for i in range(1, MAX_BLOCKS)]
+    sketch = held.groupBy(group).agg(
+        F.percentile_approx(value, cuts, 4 * MAX_BLOCKS).alias("__cuts"), F.count(F.lit(1)).alias("__rows"))
+    blocks = F.least(F.ceil(F.col("__rows") / rows_per_block), F.lit(MAX_BLOCKS))
+    step = F.ceil(F.lit(MAX_BLOCKS) / blocks).cast("int")
     # A sketch may differ between evaluations, and the cuts are used twice: fix them.
-    edges = counted_side(
-        df.filter(F.col(value).isNotNull()).groupBy(group).agg(
-            F.percentile_approx(value, cuts, 1000).alias("__edges")))
+    edges = counted_side(sketch.withColumn("__step", step).select(
+        group, F.filter("__cuts", lambda _, i: (i + 1) % F.col("__step") == 0).alias("__edges")))
     blocked = equi_join(counted, edges, [group]).withColumn(
         "__block", F.size(F.filter("__edges", lambda e: e < F.col(value)))).drop("__edges")
     lower = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.functions.text import GEOID_PREFIX_LENGTH, first_match, geoid_prefix, pad_left, rate_message
+from placeweave.functions.text import first_match, geoid_prefix, pad_left, rate_message
 from placeweave.operators.aggregate import member_rates
 from placeweave.operators.joins import equi_join, member_flag
 
@@ -21,39 +21,55 @@ def geoid_aliases(dims: DataFrame, key: str = "census_geoid", alias: str = "cens
     return keys.withColumn(alias, F.col(key)).unionByName(by_prefix)
 
 
+def _lookup(joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
+    """One row per prefix: the full keys that start with it and the tract its alias stands for.
+
+    A prefix leaves two digits open, so it has at most a hundred full keys.  A key without a prefix is
+    a group of its own.
+    """
+    key, short = F.col(joiner_key), geoid_prefix(joiner_key)
+    return joiner.groupBy(F.coalesce(short, key).alias("__group")).agg(
+        F.collect_set(key).alias("__keys"),
+        F.max(short.isNotNull()).alias("__has_prefix"),
+        F.min(F.when(F.col(alias) == short, key)).alias("__lowest"))
+
+
+def _looked_up(df: DataFrame, key: str, joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
+    """``df`` with its lookup row and the flags ``__full`` and ``__short``: one join on the prefix answers both."""
+    grouped = df.withColumn("__own", F.coalesce(geoid_prefix(key), F.col(key)))
+    joined = grouped.join(_lookup(joiner, joiner_key, alias), F.col("__own") == F.col("__group"), "left")
+    return joined.withColumns({
+        "__full": F.coalesce(F.array_contains("__keys", F.col(key)), F.lit(False)),
+        "__short": F.coalesce(F.col("__has_prefix") & geoid_prefix(key).isNotNull(), F.lit(False)),
+    })
+
+
+_LOOKUP_COLUMNS = ("__own", "__group", "__keys", "__has_prefix", "__lowest", "__full", "__short")
+
+
 def resolve_geoid(df: DataFrame, key: str, joiner: DataFrame, out: str = "census_geoid_joiner",
-                  joiner_key: str = "census_geoid") -> DataFrame:
-    """The key itself where it is known, else its nine digits where those are known, else ``NO_MATCH``."""
-    prefixes = joiner.select(geoid_prefix(joiner_key).alias("__prefixes"))
-    flagged = member_flag(df, key, joiner, joiner_key, "__full")
-    flagged = flagged.withColumn("__prefix", geoid_prefix(key))
-    flagged = member_flag(flagged, "__prefix", prefixes, "__prefixes", "__short")
+                  joiner_key: str = "census_geoid", alias: str = "census_geoid_joiner") -> DataFrame:
+    """The key itself where it is known, else its nine digits where those are known, else ``NO_MATCH``.
+
+    A missing key is ``NO_MATCH``.
+    """
+    found = _looked_up(df, key, joiner, joiner_key, alias)
     resolved = first_match(
-        [(F.col("__full"), F.col(key)), (F.col("__short"), F.col("__prefix"))], NO_MATCH)
-    return flagged.withColumn(out, resolved).drop("__full", "__prefix", "__short")
+        [(F.col("__full"), F.col(key)), (F.col("__short"), geoid_prefix(key))], NO_MATCH)
+    return found.withColumn("__resolved", resolved).drop(*_LOOKUP_COLUMNS).withColumnRenamed("__resolved", out)
 
 
 def conform_to_tract(df: DataFrame, key: str, joiner: DataFrame, out: str = "census_geoid",
                      joiner_key: str = "census_geoid", alias: str = "census_geoid_joiner") -> DataFrame:
-    """Resolve ``key`` and map it to a tract in one step; rows that resolve nowhere drop out.
+    """Resolve ``key`` and map it to a tract in one join; rows that resolve nowhere drop out.
 
-    Same rows as ``resolve_geoid`` followed by an inner join on the alias, with one lookup less:
-    a full key is its own tract, so only prefixes need the alias row.
+    Same rows as ``resolve_geoid`` followed by an inner join on the alias: a full key is its own tract,
+    and the prefix row already names the tract its alias stands for.
     """
-    full = joiner.select(F.col(joiner_key).alias("__full")).distinct()
-    by_prefix = (
-        joiner.filter((F.length(alias) == GEOID_PREFIX_LENGTH) | F.col(alias).isNull())
-        .select(F.col(alias).alias("__alias"), F.col(joiner_key).alias("__tract"))
-    )
-    looked_up = df.join(full, F.col(key).eqNullSafe(F.col("__full")), "left").withColumn(
-        # A matched key needs no prefix lookup; this text equals no alias.
-        "__prefix", F.when(F.col("__full").isNotNull(), F.lit("")).otherwise(geoid_prefix(key)))
-    looked_up = looked_up.join(by_prefix, F.col("__prefix").eqNullSafe(F.col("__alias")), "left")
-    tract = F.coalesce("__full", "__tract")
-    return (
-        looked_up.withColumn(out, tract).filter(F.col(out).isNotNull())
-        .drop("__full", "__prefix", "__alias", "__tract")
-    )
+    found = _looked_up(df, key, joiner, joiner_key, alias)
+    tract = F.when(F.col("__full"), F.col(key)).when(F.col("__short"), F.col("__lowest"))
+    located = found.withColumn("__tract", tract).filter(F.col("__tract").isNotNull())
+    return located.drop(*_LOOKUP_COLUMNS).withColumnRenamed("__tract", out)
 
 
 def geoid_coverage(df: DataFrame, key: str, joiner: DataFrame, joiner_key: str = "census_geoid") -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql.window import Window
 
 from placeweave.operators.aggregate import exact_quantiles, value_ranks
 from placeweave.operators.joins import equi_join
-from placeweave.operators.reshape import stack_rows
 from placeweave.operators.spatial import places_within
 from placeweave.session import few_rows, pinned
 
@@ -27,24 +26,24 @@ def _total(metric: str) -> Column:
     return F.sum(F.col(metric).cast(MONEY)).alias(metric)
 
 
-def metric_rollup(observations: DataFrame, key: str, metrics: Sequence[str],
-                  levels: Mapping[str, DataFrame]) -> DataFrame:
-    """Each metric summed per region of each level.
+def region_levels(dims: DataFrame, key: str, levels: Mapping[str, str]) -> DataFrame:
+    """Crosswalk ``(key, level, region)`` from a dimension whose columns name the region of each level."""
+    named = dims.select(key, *[F.col(column).alias(level) for level, column in levels.items()])
+    return named.unpivot([key], list(levels), "level", "region")
 
-    ``levels`` maps a level name to a crosswalk ``(key, region)``.  Observations are summed per key once,
-    before any crosswalk multiplies or concentrates them.  Regions of one level may overlap, so their
-    totals must not be added up.
+
+def metric_rollup(observations: DataFrame, key: str, metrics: Sequence[str], crosswalk: DataFrame) -> DataFrame:
+    """Each metric summed per region of each level of ``crosswalk(key, level, region)``.
+
+    Observations are summed per key once, before the crosswalk multiplies or concentrates them, and all
+    levels share one join and one aggregate.  Regions of a level may overlap, so their totals must not
+    be added up.
     """
     per_key = observations.groupBy(key).agg(
         F.count(F.lit(1)).alias("observations"), *[_total(m) for m in metrics])
-    rolled = []
-    for level, crosswalk in levels.items():
-        joined = equi_join(per_key, crosswalk.select(key, "region"), [key])
-        rolled.append(joined.groupBy("region").agg(
-            F.sum("observations").alias("observations"),
-            *[F.sum(m).cast("double").alias(m) for m in metrics],
-        ).withColumn("level", F.lit(level)))
-    return stack_rows(*rolled).select("level", "region", "observations", *metrics)
+    joined = equi_join(per_key, crosswalk.select(key, "level", "region"), [key])
+    return joined.groupBy("level", "region").agg(
+        F.sum("observations").alias("observations"), *[F.sum(m).cast("double").alias(m) for m in metrics])
 
 
 def _with_ranks(regions: DataFrame, few: bool, metric: str, below: str, total: str, ties: str) -> DataFrame:

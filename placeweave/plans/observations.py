@@ -11,7 +11,7 @@ from placeweave.functions.text import (
     drop_first, drop_first_word, first_match, glue, round_even, squeeze_spaces, text_to_int, trim_all, unite,
 )
 from placeweave.operators.aggregate import flattened_flags
-from placeweave.operators.joins import equi_join, many_to_one, present_in
+from placeweave.operators.joins import many_to_one, present_in
 from placeweave.operators.keys import conform_to_tract, padded_county_join
 from placeweave.operators.reshape import drop_missing
 from placeweave.sources.readers import front, lower_names, replace_in_names, select_as
@@ -244,12 +244,11 @@ def recode_by_table(df: DataFrame, scope: str, value: str, rules: DataFrame) ->
         "__exact", "__inside", "__scope", "__text", "__has_scope")
 
 
-def public_investments(raw: DataFrame, state_dims: DataFrame, county_unique: DataFrame,
-                       county_dims: DataFrame) -> DataFrame:
+def public_investments(raw: DataFrame, state_dims: DataFrame, county_unique: DataFrame) -> DataFrame:
     """Public investments with the county their free-text place names mean.
 
-    Both name lookups are many-to-one.  The final county key comes from a key-unique projection, and
-    the columns travel along, so no join back by ``observation_id`` is needed.
+    Both name lookups are many-to-one.  The county table with unique names already carries the county
+    key, so neither a further lookup nor a join back by ``observation_id`` is needed.
     """
     tidy = raw.select(
         F.lit(PUBLIC_INVESTMENTS).alias("dataset_name"),
@@ -260,8 +259,7 @@ def public_investments(raw: DataFrame, state_dims: DataFrame, county_unique: Dat
     cleaned = with_state.withColumn("county_name_lower", clean_county_name("county_name"))
     cleaned = cleaned.withColumn(
         "county_name_lower", recode_by_rules(F.col("state_fips"), F.col("county_name_lower"), COUNTY_RULES))
-    by_name = county_unique.select("state_fips", F.lower("county_name").alias("county_name_lower"), "county_fips")
-    with_county = many_to_one(cleaned, by_name, ["state_fips", "county_name_lower"])
-    keys = county_dims.select("state_fips", "county_fips", "county_geoid").distinct()
-    located = equi_join(with_county, keys, ["state_fips", "county_fips"], "left").drop("county_name_lower")
+    by_name = county_unique.select(
+        "state_fips", F.lower("county_name").alias("county_name_lower"), "county_fips", "county_geoid")
+    located = many_to_one(cleaned, by_name, ["state_fips", "county_name_lower"]).drop("county_name_lower")
     return front(located, "dataset_name", "observation_id", "state_fips", "county_geoid")

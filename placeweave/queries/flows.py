@@ -340,4 +340,4 @@ def conformed_investment_flow(spark, sf_dir):
         F.lit("category").alias("Category"), F.lit("subcategory").alias("Subcategory"), F.lit("fund").alias("Funding Source"),
         F.floor("o_totalprice").cast("long").cast("string").alias("Funding Amount"))
     dims = place.select("county_geoid", "state_fips", "county_fips", "county_name")
-    return observations.public_investments(raw, state_dims(raw_state(spark, sf_dir)), dims, dims)
+    return observations.public_investments(raw, state_dims(raw_state(spark, sf_dir)), dims)

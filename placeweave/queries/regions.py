@@ -17,19 +17,16 @@ def _observations(spark, sf_dir):
     return joined.select("o_orderkey", geoid_of("o_custkey").alias("census_geoid"), "dollars", "capacity")
 
 
-def _levels(spark, sf_dir):
+def _tracts(spark, sf_dir):
     place = place_of_nation(spark, sf_dir).select("n_nationkey", "county_name", "state_name")
-    tracts = table(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return table(spark, sf_dir, "customer").join(place, F.col("c_nationkey") == F.col("n_nationkey")).select(
         geoid_of("c_custkey").alias("census_geoid"), "county_name", "state_name")
-    return {
-        "state": tracts.select("census_geoid", F.col("state_name").alias("region")),
-        "county": tracts.select("census_geoid", F.col("county_name").alias("region")),
-        "tract": tracts.select("census_geoid", F.col("census_geoid").alias("region")),
-    }
 
 
 def _rollup(spark, sf_dir):
-    return metrics.metric_rollup(_observations(spark, sf_dir), "census_geoid", ["dollars", "capacity"], _levels(spark, sf_dir))
+    levels = metrics.region_levels(
+        _tracts(spark, sf_dir), "census_geoid", {"state": "state_name", "county": "county_name", "tract": "census_geoid"})
+    return metrics.metric_rollup(_observations(spark, sf_dir), "census_geoid", ["dollars", "capacity"], levels)
 
 
 ROLLUP_SQL = PLACE_SQL + """,
@@ -81,7 +78,8 @@ def drill_down(spark, sf_dir):
     counties = metrics.competitive_regions(
         _rollup(spark, sf_dir).filter(F.col("level") == "county"), ["dollars", "capacity", "observations"]
     ).filter("competitive")
-    placed = equi_join(_observations(spark, sf_dir), _levels(spark, sf_dir)["county"], ["census_geoid"])
+    tracts = _tracts(spark, sf_dir).select("census_geoid", F.col("county_name").alias("region"))
+    placed = equi_join(_observations(spark, sf_dir), tracts, ["census_geoid"])
     return metrics.drill_down(counties, "region", placed).select("o_orderkey", "dollars", "region")
 
 

@@ -265,7 +265,10 @@ def quantile(values, q):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
-def test_exact_quantiles_with_a_hot_value(spark):
+@pytest.mark.parametrize("rows_per_block", [1_000_000, 50, 1])
+def test_exact_quantiles_with_a_hot_value(spark, monkeypatch, rows_per_block):
+    ranks = aggregate.value_ranks
+    monkeypatch.setattr(aggregate, "value_ranks", lambda *a: ranks(*a, rows_per_block=rows_per_block))
     rng = random.Random(11)
     groups = {"hot": [7.0] * 400 + [rng.gauss(0, 50) for _ in range(500)], "one": [3.0],
               "two": [1.0, 2.0], "even": [float(v) for v in range(100)], None: [1.0, 5.0, 9.0]}
@@ -288,10 +291,9 @@ def test_box_stats(spark):
     assert (r["whisker_low"], r["whisker_high"], r["outliers"]) == (1.0, 3.0, 1)
 
 
-def test_value_ranks_without_broadcast(spark):
-    """The running counts are the same when the edges are joined by shuffle."""
+def test_value_ranks_over_many_blocks(spark):
     df = spark.createDataFrame([("a", float(v % 17)) for v in range(300)], "g string, v double")
-    ranks = {r["v"]: (r["below"], r["n"], r["total"]) for r in aggregate.value_ranks(df, "g", "v", blocks=4).collect()}
+    ranks = {r["v"]: (r["below"], r["n"], r["total"]) for r in aggregate.value_ranks(df, "g", "v", rows_per_block=20).collect()}
     values = sorted(float(v % 17) for v in range(300))
     assert ranks == {v: (values.index(v), values.count(v), 300) for v in set(values)}
     assert statistics.median(values) == aggregate.exact_quantiles(df, "g", "v", {"m": 0.5}).first()["m"]

@@ -246,7 +246,7 @@ def test_public_investments(spark):
               ("\tAcadia Parish", "Louisiana"), ("St. Croix", "U.S. Virgin Islands"), (None, "Louisiana"),
               ("Anywhere", "Atlantis"), ("Parish of X", "Louisiana"), ("county county Acadia", "Louisiana"),
               ("Acadia Parish ", "Louisiana")]  # the ending goes before the spaces are trimmed
-    out = observations.public_investments(investments(spark, places), state_dims, county_dims, county_dims)
+    out = observations.public_investments(investments(spark, places), state_dims, county_dims)
     found = {r["observation_id"]: (r["state_fips"], r["county_geoid"]) for r in out.collect()}
     assert found == {
         "Invest.gov_0": ("15", "15007"), "Invest.gov_1": ("35", "35013"), "Invest.gov_2": ("22", "22093"),
@@ -257,10 +257,10 @@ def test_public_investments(spark):
                            "bureau_name", "program_name", "project_name", "category", "subcategory", "funding_source", "funding_amount", "county_fips"]
     twice = county_dims.union(spark.createDataFrame([("15009", "15", "009", "KAUAI")], county_dims.schema))
     with pytest.raises(PySparkException, match="many-to-one"):
-        observations.public_investments(investments(spark, places), state_dims, twice, county_dims).collect()
+        observations.public_investments(investments(spark, places), state_dims, twice).collect()
     # a duplicate that no row asks for is no error
     unused = county_dims.union(spark.createDataFrame([("35001", "35", "001", "X"), ("35002", "35", "002", "x")], county_dims.schema))
-    assert observations.public_investments(investments(spark, places), state_dims, unused, county_dims).count() == len(places)
+    assert observations.public_investments(investments(spark, places), state_dims, unused).count() == len(places)
 
 
 # --- crosswalks --------------------------------------------------------------------------
@@ -304,8 +304,9 @@ def rollup(spark):
 
 def test_rollup_counts_overlaps_in_each_region(spark, rows):
     obs = spark.createDataFrame([("t1", 1.0, None), ("t1", 2.0, 5.0), ("t2", 4.0, 1.0), ("t3", 8.0, 1.0)], "t string, dollars double, mw double")
-    levels = {"edd": spark.createDataFrame([("t1", "e1"), ("t2", "e1"), ("t2", "e2")], "t string, region string"),
-              "state": spark.createDataFrame([("t1", "s"), ("t2", "s"), ("t3", "s")], "t string, region string")}
+    dims = spark.createDataFrame([("t1", "s"), ("t2", "s"), ("t3", "s")], "t string, state_name string")
+    districts = spark.createDataFrame([("t1", "edd", "e1"), ("t2", "edd", "e1"), ("t2", "edd", "e2")], "t string, level string, region string")
+    levels = metrics.region_levels(dims, "t", {"state": "state_name"}).unionByName(districts)
     out = metrics.metric_rollup(obs, "t", ["dollars", "mw"], levels)
     assert rows(out) == [("edd", "e1", 3, 7.0, 6.0), ("edd", "e2", 1, 4.0, 1.0), ("state", "s", 4, 15.0, 7.0)]
     assert metrics.ratio_by_region(out, "mw", "dollars").filter("region = 'e2'").first()["ratio"] == 0.25
