@@ -37,7 +37,9 @@ def _lookup(joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
 def _looked_up(df: DataFrame, key: str, joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
     """``df`` with its lookup row and the flags ``__full`` and ``__short``: one join on the prefix answers both."""
     grouped = df.withColumn("__own", F.coalesce(geoid_prefix(key), F.col(key)))
-    joined = grouped.join(_lookup(joiner, joiner_key, alias), F.col("__own") == F.col("__group"), "left")
+    # Compared null-safely, the lookup is exchanged anew rather than taken as it was aggregated, which
+    # leaves a hot key of ``df`` open to adaptive splitting.
+    joined = grouped.join(_lookup(joiner, joiner_key, alias), F.col("__own").eqNullSafe(F.col("__group")), "left")
     return joined.withColumns({
         "__full": F.coalesce(F.array_contains("__keys", F.col(key)), F.lit(False)),
         "__short": F.coalesce(F.col("__has_prefix") & geoid_prefix(key).isNotNull(), F.lit(False)),

@@ -224,7 +224,7 @@ def recode_by_rules(scope: Column, value: Column, rules) -> Column:
 def recode_by_table(df: DataFrame, scope: str, value: str, rules: DataFrame) -> DataFrame:
     """The same for rules held in a table ``(scope, kind, text, good, priority)`` of any length.
 
-    Whole-name rules are an equi-join on (scope, text).  The texts to look inside for are gathered per
+    Whole-name rules are an equi-join on (scope, text); scopes and texts of rules are never missing.  The texts to look inside for are gathered per
     scope and searched in the row.  The lowest priority wins.
     """
     exact = rules.filter(F.col("kind") == "is").groupBy("scope", "text").agg(
@@ -234,8 +234,8 @@ def recode_by_table(df: DataFrame, scope: str, value: str, rules: DataFrame) ->
         F.array_sort(F.collect_list(F.struct("priority", "good", "text"))).alias("__inside")
     ).withColumnRenamed("scope", "__has_scope")
     joined = (
-        df.join(exact, (F.col(scope) == F.col("__scope")) & (F.col(value) == F.col("__text")), "left")
-        .join(inside, F.col(scope) == F.col("__has_scope"), "left")
+        df.join(exact, F.col(scope).eqNullSafe(F.col("__scope")) & F.col(value).eqNullSafe(F.col("__text")), "left")
+        .join(inside, F.col(scope).eqNullSafe(F.col("__has_scope")), "left")
     )
     hit = F.get(F.filter("__inside", lambda r: F.col(value).contains(r["text"])), F.lit(0))
     by_text = F.when(hit.isNotNull(), F.struct(hit["priority"].alias("priority"), hit["good"].alias("good")))

@@ -13,7 +13,7 @@ from placeweave.operators.keys import county_geoids, geoid_coverage as coverage,
 from placeweave.operators.quality import (
     count_of, key_coverage, missing_share, no_duplicate_rows, no_fan_out, same_row_count, surviving_share, unique_key,
 )
-from placeweave.operators.rank import highest_per_key
+from placeweave.operators.rank import highest_per_key, lowest_per_key
 from placeweave.operators.reshape import stack_rows
 from placeweave.plans import geography
 from placeweave.queries.registry import (
@@ -147,6 +147,18 @@ def semi_latest_vintage(spark, sf_dir):
     return highest_per_key(orders, ["o_custkey"], "year")
 
 
+@query("""
+SELECT o_custkey, o_orderkey, year::BIGINT AS year
+FROM (SELECT *, rank() OVER (PARTITION BY o_custkey ORDER BY year) AS r
+      FROM (SELECT o_custkey, o_orderkey, year(o_orderdate) AS year FROM orders)) WHERE r = 1
+""")
+def first_vintage(spark, sf_dir):
+    """All rows of each key's earliest vintage."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderkey", F.year("o_orderdate").cast("long").alias("year"))
+    return lowest_per_key(orders, ["o_custkey"], "year")
+
+
 @query(f"""
 WITH {TRACT_SQL}, v AS (SELECT census_geoid, state_fips, county_fips, census_tract, year(o_orderdate)::BIGINT AS year
                         FROM tract JOIN orders ON census_geoid = lpad(CAST(o_custkey AS VARCHAR), 11, '0') GROUP BY ALL)

@@ -40,6 +40,26 @@ def latest_shape_per_key(spark, sf_dir):
     return geography.census_shapes(tracts).select("census_geoid", to_wkt("geometry", 4).alias("wkt"))
 
 
+@query(f"""
+WITH {triangle_sql('tri')},
+v AS (SELECT '01' || lpad(CAST(label AS VARCHAR), 3, '0') AS county_geoid, 1990 AS year, * FROM tri
+      UNION ALL SELECT '01' || lpad(CAST(label AS VARCHAR), 3, '0'), 2018, * FROM tri WHERE label < 5 AND vec_id % 2 = 0),
+r AS (SELECT *, rank() OVER (PARTITION BY county_geoid ORDER BY year DESC) AS r FROM v)
+SELECT county_geoid, printf('POLYGON ((%.4f %.4f, %.4f %.4f, %.4f %.4f, %.4f %.4f))', ax, ay, bx, by_, cx, cy, ax, ay) AS county_geometry
+FROM r WHERE r = 1
+""")
+def county_shapes_export(spark, sf_dir):
+    """All polygons of each county's latest vintage, as a table of keys and texts."""
+    shapes = triangles(spark, sf_dir)
+    code = F.lpad(F.col("label").cast("string"), 3, "0")
+    old = shapes.select(F.lit("01").alias("ST"), code.alias("CO"), F.concat(F.lit("County "), code).alias("NAME"), "geometry")
+    new = shapes.filter((F.col("label") < 5) & (F.col("vec_id") % 2 == 0)).select(
+        F.lit("01").alias("STATEFP"), code.alias("COUNTYFP"), F.concat(F.lit("01"), code).alias("GEOID"),
+        F.concat(F.lit("County "), code).alias("NAME"), "geometry")
+    latest = geography.county_shapes(geography.county_vintage_1990(old), geography.county_vintage_2018(new))
+    return latest.select("county_geoid", to_wkt("geometry", 4).alias("county_geometry"))
+
+
 @query("""
 SELECT lpad(CAST(label AS VARCHAR), 11, '0') AS census_geoid, vec_id / 8 AS longitude, -(vec_id / 4) AS latitude
 FROM (SELECT *, rank() OVER (PARTITION BY label ORDER BY vec_id % 3 DESC) AS r FROM embeddings) WHERE r = 1

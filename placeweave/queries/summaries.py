@@ -95,6 +95,16 @@ def flag_table(spark, sf_dir):
     return aggregate.share(aggregate.row_counts(flagged, "is_large"))
 
 
+@query("""
+SELECT count(*) AS n, sum(CASE WHEN p_size > 25 THEN 1 ELSE 0 END)::BIGINT AS num_matches,
+       sum(CASE WHEN p_size > 25 THEN 0 ELSE 1 END)::BIGINT AS num_bad, avg(CASE WHEN p_size > 25 THEN 1::DOUBLE ELSE 0 END) AS prop FROM part
+""")
+def overall_rate(spark, sf_dir):
+    """Grand total and overall rate of a boolean."""
+    flagged = table(spark, sf_dir, "part").select((F.col("p_size") > 25).alias("is_large"))
+    return aggregate.flag_rates(flagged, "is_large").withColumn("n", F.col("num_matches") + F.col("num_bad"))
+
+
 @query("""
 WITH c(variable, kind, n_rows, n_missing, n_distinct, lowest, highest, mean, deviation) AS (
 SELECT 'p_partkey', 1, count(*), 0, count(DISTINCT p_partkey), CAST(min(p_partkey) AS VARCHAR), CAST(max(p_partkey) AS VARCHAR), avg(p_partkey), stddev_samp(p_partkey) FROM part

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,13 +46,15 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     Only where ``spark.checkpoint.dir`` is unset (tests) does a local temporary
     folder stand in.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="placeweave-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _local_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="placeweave-")
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Checkpoint ``df``, so that every later use sees the same rows.
 
