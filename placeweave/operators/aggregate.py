@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from placeweave.functions.text import missing
 from placeweave.operators.joins import equi_join, member_flag
 from placeweave.operators.rank import lump_levels
 from placeweave.session import counted_side
@@ -57,10 +58,15 @@ def member_rates(df: DataFrame, column: str, values: DataFrame, values_column: s
     return flag_rates(member_flag(counted, column, values, values_column, "__hit"), "__hit", *keys, weight="n")
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """Null, or NaN where the column is a floating one."""
+    return missing(F.col(f"`{column}`"), isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)))
+
+
 def missing_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column with its share of missing values."""
     columns = list(columns) if columns else df.columns
-    wide = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in columns])
+    wide = df.agg(*[F.avg(is_missing(df, c).cast("double")).alias(c) for c in columns])
     return wide.unpivot([], columns, "variable", "missing_rate")
 
 
@@ -90,37 +96,45 @@ def flattened_flags(df: DataFrame, labels: Sequence[Column], out: str = "info",
     return df.filter(held).withColumn(out, F.concat_ws(sep, *labels))
 
 
-def profile(df: DataFrame, exact_distinct: bool = False) -> DataFrame:
-    """One row per column: rows, missing, distinct, smallest, largest, mean and deviation.
+def profile(df: DataFrame, exact: bool = False) -> DataFrame:
+    """One row per column: rows, missing, distinct, smallest, largest, mean, deviation and quartiles.
 
-    One pass with partial aggregation.  Exact distinct counts, where asked for, come from a second
-    aggregate over (column, value) pairs, which no hot value can overload.
+    One pass with partial aggregation; distinct counts and quartiles are sketched.  Where ``exact`` ones
+    are asked for, they come from aggregates over (column, value) pairs, which no hot value overloads.
     """
-    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
+    numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    unknown = F.lit(None).cast("double")
     stats = []
     for c in df.columns:
         column = F.col(f"`{c}`")
-        number = column.cast("double") if c in numeric else F.lit(None).cast("double")
+        number = column.cast("double") if c in numeric else unknown
+        quartiles = (
+            F.percentile_approx(number, [0.25, 0.5, 0.75], 10_000) if c in numeric and not exact
+            else F.array(unknown, unknown, unknown))
         stats.append(F.struct(
             F.lit(c).alias("variable"),
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(column.isNull().cast("long")).alias("n_missing"),
-            (F.lit(None).cast("long") if exact_distinct else F.approx_count_distinct(column)).alias("n_distinct"),
+            F.sum(is_missing(df, c).cast("long")).alias("n_missing"),
+            (F.lit(None).cast("long") if exact else F.approx_count_distinct(column)).alias("n_distinct"),
             F.min(column).cast("string").alias("lowest"),
             F.max(column).cast("string").alias("highest"),
             F.avg(number).alias("mean"),
             F.stddev_samp(number).alias("deviation"),
+            *[F.get(quartiles, F.lit(i)).alias(name) for i, name in enumerate(("q1", "median", "q3"))],
         ))
     table = df.agg(F.array(*stats).alias("s")).select(F.inline("s"))
-    if not exact_distinct:
+    if not exact:
         return table
     texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     pairs = texts.unpivot([], df.columns, "variable", "value").filter(F.col("value").isNotNull())
     distinct = row_counts(pairs.distinct(), "variable").withColumnRenamed("n", "__distinct")
-    return (
-        equi_join(table, distinct, ["variable"], "left")
-        .withColumn("n_distinct", F.coalesce("__distinct", F.lit(0))).drop("__distinct")
-    )
+    table = equi_join(table, distinct, ["variable"], "left").withColumn(
+        "n_distinct", F.coalesce("__distinct", F.lit(0))).drop("__distinct")
+    if not numeric:
+        return table
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in numeric]).unpivot([], numeric, "variable", "value")
+    quartiles = exact_quantiles(numbers, "variable", "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}).drop("n")
+    return equi_join(table.drop("q1", "median", "q3"), quartiles, ["variable"], "left")
 
 
 def histogram(df: DataFrame, label: str, value: str, bins: int = 30) -> DataFrame:

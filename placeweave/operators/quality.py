@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.operators.aggregate import repeated_keys
+from placeweave.operators.aggregate import is_missing, repeated_keys
 from placeweave.operators.joins import absent_from, member_flag
 from placeweave.operators.reshape import stack_rows
 
@@ -32,7 +32,7 @@ def no_duplicate_rows(df: DataFrame, subject: str) -> DataFrame:
 
 
 def same_row_count(a: DataFrame, b: DataFrame, subject: str) -> DataFrame:
-    """Result and reference have as many rows; the value is the difference."""
+    """Both frames have as many rows; the value is the difference."""
     rows = a.agg(F.count(F.lit(1)).alias("n")).select(
         (F.col("n") - b.agg(F.count(F.lit(1)).alias("n")).scalar()).alias("d"))
     return _row(rows, "same_row_count", subject, F.col("d") == 0, F.col("d"))
@@ -62,7 +62,7 @@ def key_coverage(df: DataFrame, key: str, known: DataFrame, known_key: str, subj
 
 
 def missing_share(df: DataFrame, column: str, subject: str, at_most: float = 0.0) -> DataFrame:
-    rate = df.agg(F.avg(F.col(column).isNull().cast("double")).alias("rate"))
+    rate = df.agg(F.avg(is_missing(df, column).cast("double")).alias("rate"))
     return _row(rate, "missing_share", subject, F.col("rate") <= at_most, F.col("rate"))
 
 

@@ -14,7 +14,7 @@ from placeweave.operators.aggregate import flattened_flags
 from placeweave.operators.joins import many_to_one, present_in
 from placeweave.operators.keys import conform_to_tract, padded_county_join
 from placeweave.operators.reshape import drop_missing
-from placeweave.sources.readers import front, lower_names, replace_in_names, select_as
+from placeweave.sources.readers import front, lower_names, replace_in_names
 
 # Dataset tags.
 COAL_CLOSURES = "clean_energy_tax_credit__coal_closures"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from placeweave.operators.rank import scan_row_id
 from placeweave.plans import consolidated, observations
 from placeweave.queries.registry import (
-    JOINER_SQL, ORDER_KEY_SQL, PLACE_SQL, STATE_SQL, TRACT_SQL, customer_joiner, geoid_of, place_of_nation, query,
+    JOINER_SQL, ORDER_KEY_SQL, PLACE_SQL, STATE_SQL, customer_joiner, geoid_of, place_of_nation, query,
     raw_state, table, tract_dims_of_customer, tract_key_of_order,
 )
 from placeweave.plans.geography import state_dims

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from placeweave.functions.geometry import from_wkt, mercator_x, mercator_y, point, to_wkt, vertices
 from placeweave.operators.quality import unmatched
-from placeweave.operators.reshape import stack_rows
 from placeweave.operators.spatial import crop, points_within, polygons_intersect
 from placeweave.plans import crosswalks, geography
 from placeweave.queries.registry import (
@@ -43,7 +42,7 @@ def latest_shape_per_key(spark, sf_dir):
 @query(f"""
 WITH {triangle_sql('tri')},
 v AS (SELECT '01' || lpad(CAST(label AS VARCHAR), 3, '0') AS county_geoid, 1990 AS year, * FROM tri
-      UNION ALL SELECT '01' || lpad(CAST(label AS VARCHAR), 3, '0'), 2018, * FROM tri WHERE label < 5 AND vec_id % 2 = 0),
+      UNION ALL SELECT '01' || lpad(CAST(label AS VARCHAR), 3, '0'), 2018, * FROM tri WHERE label < 5 AND ax > 0),
 r AS (SELECT *, rank() OVER (PARTITION BY county_geoid ORDER BY year DESC) AS r FROM v)
 SELECT county_geoid, printf('POLYGON ((%.4f %.4f, %.4f %.4f, %.4f %.4f, %.4f %.4f))', ax, ay, bx, by_, cx, cy, ax, ay) AS county_geometry
 FROM r WHERE r = 1
@@ -53,7 +52,8 @@ def county_shapes_export(spark, sf_dir):
     shapes = triangles(spark, sf_dir)
     code = F.lpad(F.col("label").cast("string"), 3, "0")
     old = shapes.select(F.lit("01").alias("ST"), code.alias("CO"), F.concat(F.lit("County "), code).alias("NAME"), "geometry")
-    new = shapes.filter((F.col("label") < 5) & (F.col("vec_id") % 2 == 0)).select(
+    east = vertices("geometry")[0]["x"] > 0  # what the newer vintage still lists
+    new = shapes.filter((F.col("label") < 5) & east).select(
         F.lit("01").alias("STATEFP"), code.alias("COUNTYFP"), F.concat(F.lit("01"), code).alias("GEOID"),
         F.concat(F.lit("County "), code).alias("NAME"), "geometry")
     latest = geography.county_shapes(geography.county_vintage_1990(old), geography.county_vintage_2018(new))

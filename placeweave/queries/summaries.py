@@ -105,22 +105,30 @@ def overall_rate(spark, sf_dir):
     return aggregate.flag_rates(flagged, "is_large").withColumn("n", F.col("num_matches") + F.col("num_bad"))
 
 
-@query("""
-WITH c(variable, kind, n_rows, n_missing, n_distinct, lowest, highest, mean, deviation) AS (
-SELECT 'p_partkey', 1, count(*), 0, count(DISTINCT p_partkey), CAST(min(p_partkey) AS VARCHAR), CAST(max(p_partkey) AS VARCHAR), avg(p_partkey), stddev_samp(p_partkey) FROM part
-UNION ALL SELECT 'p_name', 0, count(*), 0, count(DISTINCT p_name), min(p_name), max(p_name), NULL, NULL FROM part
-UNION ALL SELECT 'p_brand', 0, count(*), 0, count(DISTINCT p_brand), min(p_brand), max(p_brand), NULL, NULL FROM part
-UNION ALL SELECT 'p_type', 0, count(*), 0, count(DISTINCT p_type), min(p_type), max(p_type), NULL, NULL FROM part
-UNION ALL SELECT 'p_size', 1, count(*), 0, count(DISTINCT p_size), CAST(min(p_size) AS VARCHAR), CAST(max(p_size) AS VARCHAR), avg(p_size), stddev_samp(p_size) FROM part
-UNION ALL SELECT 'p_retailprice', 1, count(*), 0, count(DISTINCT p_retailprice), CAST(min(p_retailprice) AS VARCHAR), CAST(max(p_retailprice) AS VARCHAR), avg(p_retailprice), stddev_samp(p_retailprice) FROM part
-UNION ALL SELECT 'p_class', 0, count(*), count(*) FILTER (p_size <= 40), count(DISTINCT CASE WHEN p_size > 40 THEN 'large' END), min(CASE WHEN p_size > 40 THEN 'large' END), max(CASE WHEN p_size > 40 THEN 'large' END), NULL, NULL FROM part)
-SELECT variable, n_rows, n_missing::BIGINT AS n_missing, n_distinct, lowest, highest,
-       CAST(CAST(mean AS DECIMAL(18,6)) AS DOUBLE) AS mean, CAST(CAST(deviation AS DECIMAL(18,6)) AS DOUBLE) AS deviation FROM c
+def _profile_sql(column: str, number: bool, expression: str | None = None) -> str:
+    e = expression or column
+    moments = (f"avg({e}), stddev_samp({e}), quantile_cont({e}::DOUBLE, 0.25), quantile_cont({e}::DOUBLE, 0.5), quantile_cont({e}::DOUBLE, 0.75)"
+               if number else "NULL, NULL, NULL, NULL, NULL")
+    return (f"SELECT '{column}', count(*), count(*) - count({e}), count(DISTINCT {e}), CAST(min({e}) AS VARCHAR), "
+            f"CAST(max({e}) AS VARCHAR), {moments} FROM part")
+
+
+_PROFILED = " UNION ALL ".join([
+    _profile_sql("p_partkey", True), _profile_sql("p_name", False), _profile_sql("p_brand", False), _profile_sql("p_type", False),
+    _profile_sql("p_size", True), _profile_sql("p_retailprice", True),
+    _profile_sql("p_class", False, "CASE WHEN p_size > 40 THEN 'large' END")])
+_PROFILE_NUMBERS = ("mean", "deviation", "q1", "median", "q3")
+
+
+@query(f"""
+WITH c(variable, n_rows, n_missing, n_distinct, lowest, highest, mean, deviation, q1, median, q3) AS ({_PROFILED})
+SELECT variable, n_rows, n_missing, n_distinct, lowest, highest,
+       {', '.join(f'CAST(CAST({c} AS DECIMAL(18,6)) AS DOUBLE) AS {c}' for c in _PROFILE_NUMBERS)} FROM c
 """)
 def profile_table(spark, sf_dir):
     part = table(spark, sf_dir, "part").withColumn("p_class", F.when(F.col("p_size") > 40, F.lit("large")))
-    profiled = aggregate.profile(part, exact_distinct=True)
-    return profiled.withColumns({c: F.col(c).cast("decimal(18,6)").cast("double") for c in ("mean", "deviation")})
+    profiled = aggregate.profile(part, exact=True)
+    return profiled.withColumns({c: F.col(c).cast("decimal(18,6)").cast("double") for c in _PROFILE_NUMBERS})
 
 
 # --- levels ------------------------------------------------------------------------------

@@ -244,11 +244,15 @@ def test_flattening_long_and_wide_agree(spark, rows):
 
 
 def test_profile(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "a"), (None, None)], "n int, s string")
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", float("nan")), (None, None, 2.0)], "n int, s string, d double")
     for exact in (False, True):
-        table = {r["variable"]: r for r in aggregate.profile(df, exact_distinct=exact).collect()}
+        table = {r["variable"]: r for r in aggregate.profile(df.select("n", "s"), exact).collect()}
         assert (table["n"]["n_rows"], table["n"]["n_missing"], table["n"]["n_distinct"], table["n"]["mean"]) == (3, 1, 2, 1.5)
-        assert (table["s"]["n_distinct"], table["s"]["lowest"], table["s"]["mean"]) == (1, "a", None)
+        assert (table["s"]["n_distinct"], table["s"]["lowest"], table["s"]["mean"], table["s"]["median"]) == (1, "a", None, None)
+        assert table["n"]["median"] == (1.5 if exact else 1.0) and table["n"]["q3"] == (1.75 if exact else 2.0)
+    assert aggregate.profile(df.select("s"), True).first()["n_distinct"] == 1
+    rates = {r["variable"]: r["missing_rate"] for r in aggregate.missing_rates(df).collect()}
+    assert rates == {"n": 1 / 3, "s": 1 / 3, "d": 1 / 3}
 
 
 def test_histogram_counts_every_value(spark):
