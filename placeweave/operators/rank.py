@@ -109,6 +109,18 @@ def ordered_row_id(df: DataFrame, order: Sequence[Column], row_id: str = "rowid"
     return numbered.withColumn(row_id, F.col(row_id) + (first - 1))
 
 
+def text_row_id(df: DataFrame, row_id: str = "rowid") -> DataFrame:
+    """``scan_row_id`` for a frame read directly from text files, whose reader gives no row positions.
+
+    A block is read in order by one task, so file, block and the running id of the task order all rows.
+    """
+    located = df.select(
+        "*", F.col("_metadata.file_path").alias("__source"), F.col("_metadata.file_block_start").alias("__source_block"),
+        F.monotonically_increasing_id().alias("__source_place"))
+    places = ["__source", "__source_block", "__source_place"]
+    return ordered_row_id(located, [F.col(c) for c in places], row_id).drop(*places)
+
+
 def seeded_sample(df: DataFrame, n: int, key: Sequence[str], seed: str) -> DataFrame:
     """``n`` rows in an order drawn from ``seed``: the same rows on every run."""
     draw = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key], F.lit(seed)))
