@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placeweave.session import counted_side
+
 KeyPair = str | tuple[str, str]
 
 
@@ -36,6 +38,25 @@ def equi_join(
     return joined.drop(*[f"__right_{r}" for _, r in pairs])
 
 
+def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: Sequence[str],
+                 chunks: int = 1000, least: int = 10_000) -> DataFrame:
+    """Inner join for a left side whose keys may hold any share of the rows and match many right rows.
+
+    Splitting by bytes does not see how many rows a key will yield.  Keys with more than a ``chunks``-th
+    of the rows (there are fewer than ``chunks`` of them) are cut into pieces of about that many rows, by
+    a hash of the ``spread`` columns, and their right rows are repeated for each piece.
+    """
+    piece = F.greatest(left.agg(F.count(F.lit(1)).alias("n")).scalar() / chunks, F.lit(least))
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = counted_side(counts.filter(F.col("__rows") > piece).select(*on, F.ceil(F.col("__rows") / piece).alias("__pieces")))
+    cut = equi_join(left, hot, on, "left", missing_matches=False)
+    cut = cut.withColumn("__piece", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__pieces")), F.lit(0)))
+    repeated = equi_join(right, hot, on, "left", missing_matches=False)
+    repeated = repeated.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("__pieces"), F.lit(1)) - 1)))
+    return equi_join(
+        cut.drop("__pieces"), repeated.drop("__pieces"), [*on, "__piece"], missing_matches=False).drop("__piece")
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on every column name the two sides share."""
     shared = [c for c in left.columns if c in right.columns]

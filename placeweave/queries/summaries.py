@@ -20,10 +20,12 @@ SELECT coverage, n, round_even(n / (SELECT sum(n) FROM c), 2) AS prop FROM c
 """)
 def coverage_pivot(spark, sf_dir):
     """Keys present in both of two vintages or in one only."""
-    vintages = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("census_geoid"), F.year("o_orderdate").alias("year"))
-    two = vintages.filter(F.col("year").isin(1995, 1996)).distinct()
-    return census_coverage(two, 1995, 1996)
+    day = F.col("o_orderdate")
+    # A range on the column itself reaches the scan; its year would not.
+    two = table(spark, sf_dir, "orders").filter(
+        (day >= F.lit("1995-01-01").cast("timestamp_ntz")) & (day < F.lit("1997-01-01").cast("timestamp_ntz")))
+    vintages = two.select(F.col("o_custkey").alias("census_geoid"), F.year(day).alias("year")).distinct()
+    return census_coverage(vintages, 1995, 1996)
 
 
 @query("""

@@ -25,6 +25,14 @@ def test_join_on_differently_named_keys_keeps_the_left_name(spark):
     assert joins.equi_join(left, right, [("county_geoid", "County_ID")]).columns == ["county_geoid", "v", "w"]
 
 
+def test_hot_keys_are_cut_and_nothing_is_lost(spark, rows):
+    left = spark.createDataFrame([("hot", i) for i in range(200)] + [(f"k{i % 9}", 1000 + i) for i in range(90)] + [(None, 5)], "k string, i int")
+    right = spark.createDataFrame([("hot", j) for j in range(7)] + [(f"k{j}", j) for j in range(5)] + [(None, 1)], "k string, j int")
+    plain = joins.equi_join(left, right, ["k"], missing_matches=False)
+    for chunks, least in ((1000, 10_000), (10, 1), (3, 20)):
+        assert rows(joins.hot_key_join(left, right, ["k"], ["i"], chunks, least), "k", "i", "j") == rows(plain, "k", "i", "j")
+
+
 def test_natural_join_uses_shared_names(spark, rows):
     left = spark.createDataFrame([(1, 2, "x"), (1, 3, "y")], "a int, b int, v string")
     right = spark.createDataFrame([(1, 2, "z")], "a int, b int, w string")
