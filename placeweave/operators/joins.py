@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placeweave.session import counted_side
+from placeweave.session import pinned
 
 KeyPair = str | tuple[str, str]
 
@@ -48,7 +48,8 @@ def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: S
     """
     piece = F.greatest(left.agg(F.count(F.lit(1)).alias("n")).scalar() / chunks, F.lit(least))
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
-    hot = counted_side(counts.filter(F.col("__rows") > piece).select(*on, F.ceil(F.col("__rows") / piece).alias("__pieces")))
+    hot = F.broadcast(pinned(
+        counts.filter(F.col("__rows") > piece).select(*on, F.ceil(F.col("__rows") / piece).alias("__pieces"))))
     cut = equi_join(left, hot, on, "left", missing_matches=False)
     cut = cut.withColumn("__piece", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__pieces")), F.lit(0)))
     repeated = equi_join(right, hot, on, "left", missing_matches=False)
