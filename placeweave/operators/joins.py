@@ -46,8 +46,8 @@ def hot_key_join(left: DataFrame, right: DataFrame, on: Sequence[str], spread: S
     of the rows (there are fewer than ``chunks`` of them) are cut into pieces of about that many rows, by
     a hash of the ``spread`` columns, and their right rows are repeated for each piece.
     """
-    piece = F.greatest(left.agg(F.count(F.lit(1)).alias("n")).scalar() / chunks, F.lit(least))
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows"))
+    piece = F.greatest(counts.agg(F.sum("__rows").alias("n")).scalar() / chunks, F.lit(least))
     hot = F.broadcast(pinned(
         counts.filter(F.col("__rows") > piece).select(*on, F.ceil(F.col("__rows") / piece).alias("__pieces"))))
     cut = equi_join(left, hot, on, "left", missing_matches=False)

@@ -68,7 +68,7 @@ def conform_to_tract(df: DataFrame, key: str, joiner: DataFrame, out: str = "cen
     Same rows as ``resolve_geoid`` followed by an inner join on the alias: a full key is its own tract,
     and the prefix row already names the tract its alias stands for.
     """
-    found = _looked_up(df, key, joiner, joiner_key, alias)
+    found = _looked_up(df.filter(F.col(key).isNotNull()), key, joiner, joiner_key, alias)
     tract = F.when(F.col("__full"), F.col(key)).when(F.col("__short"), F.col("__lowest"))
     located = found.withColumn("__tract", tract).filter(F.col("__tract").isNotNull())
     return located.drop(*_LOOKUP_COLUMNS).withColumnRenamed("__tract", out)

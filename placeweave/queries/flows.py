@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from placeweave.operators.rank import scan_row_id
-from placeweave.plans import consolidated, observations
+from placeweave.plans import consolidated, metrics, observations
 from placeweave.queries.registry import (
     JOINER_SQL, ORDER_KEY_SQL, PLACE_SQL, STATE_SQL, customer_joiner, geoid_of, place_of_nation, query,
     raw_state, table, tract_dims_of_customer, tract_key_of_order,
@@ -245,6 +245,18 @@ def consolidated_observations(spark, sf_dir):
         state_dims(raw_state(spark, sf_dir)))
 
 
+@query(f"""
+WITH {PLACE_SQL}, {REPOWERING_SQL}, {STATE_SQL}
+SELECT state_name, technology, count(*) AS n, sum(capacity_mw::DECIMAL(18,2))::DOUBLE AS capacity_mw
+FROM repower LEFT JOIN state USING (state_name_abbrev) WHERE capacity_mw IS NOT NULL GROUP BY 1, 2
+""")
+def dataset_filter(spark, sf_dir):
+    """One dataset out of the consolidated table, summed by state and technology."""
+    chosen = metrics.of_dataset(consolidated_observations(spark, sf_dir), observations.REPOWERING)
+    return chosen.groupBy("state_name", "technology").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("capacity_mw").cast(metrics.MONEY)).cast("double").alias("capacity_mw"))
+
+
 @query(f"""
 WITH {FACILITY_SQL}, {REPOWERING_SQL},
 v AS (SELECT longitude, latitude, capacity_mw AS value, 'Clean Repowering: Capacity MW' AS label FROM repower
