@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from placeweave.operators.aggregate import exact_quantiles, value_ranks
 from placeweave.operators.joins import equi_join
 from placeweave.operators.spatial import places_within
-from placeweave.session import few_rows, pinned
+from placeweave.session import WINDOW_ROWS, few_rows, pinned
 
 MONEY = "decimal(18,2)"
 
@@ -67,7 +67,7 @@ def region_rank(rollup: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     ranked by window, any other number from running counts over value ranges.  Missing totals count as 0.
     """
     scored = pinned(rollup.fillna(0, subset=list(weights)))
-    few = few_rows(scored)
+    few = few_rows(scored, WINDOW_ROWS)
     for metric in weights:
         scored = _with_ranks(scored, few, metric, "__below", "__total", "__ties")
         percent = F.coalesce(F.col("__below") / F.nullif(F.col("__total") - 1, F.lit(0)), F.lit(0.0))
@@ -82,10 +82,10 @@ def competitive_regions(rollup: DataFrame, metrics: Sequence[str], quantile: flo
                         needed: int = 2) -> DataFrame:
     """Flag regions of which at least ``needed`` metrics reach their level's quantile."""
     regions = pinned(rollup)
-    if few_rows(regions):  # counted: an aggregate may hold all values of a level
+    if few_rows(regions, WINDOW_ROWS):  # counted: an aggregate may hold all values of a level
         limits = regions.groupBy("level").agg(
             *[F.percentile(m, F.lit(quantile)).alias(f"__limit_{m}") for m in metrics])
-        flagged = equi_join(regions, F.broadcast(limits), ["level"], "left")
+        flagged = equi_join(regions, limits, ["level"], "left")
     else:
         flagged = regions
         for metric in metrics:

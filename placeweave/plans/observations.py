@@ -213,12 +213,19 @@ def clean_county_name(name: Column | str) -> Column:
 
 
 def recode_by_rules(scope: Column, value: Column, rules) -> Column:
-    """First rule of the list that holds for the row, else the value; a short list folds into one expression."""
-    def holds(code, kind, text):
-        found = value == text if kind == "is" else value.contains(text)
-        return (scope == code) & found
+    """Replacement of the first rule of the list that holds for the row, else the value.
 
-    return first_match([(holds(code, kind, text), good) for code, kind, text, good in rules], value)
+    The rules are one constant array that is searched, not a branch each: generated code for dozens of
+    branches grows beyond what the virtual machine compiles.
+    """
+    listed = F.array(*[
+        F.struct(F.lit(code).alias("scope"), F.lit(kind == "is").alias("whole"), F.lit(text).alias("text"), F.lit(good).alias("good"))
+        for code, kind, text, good in rules])
+
+    def holds(rule: Column) -> Column:
+        return (rule["scope"] == scope) & F.when(rule["whole"], rule["text"] == value).otherwise(value.contains(rule["text"]))
+
+    return F.coalesce(F.get(F.filter(listed, holds), F.lit(0))["good"], value)
 
 
 def recode_by_table(df: DataFrame, scope: str, value: str, rules: DataFrame) -> DataFrame:

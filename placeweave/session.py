@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # A side is broadcast by hint only when it was counted and holds at most this many rows.
 BROADCAST_ROWS = 100_000
+# A window may take a whole group only when the frame was counted and holds at most this many rows.
+WINDOW_ROWS = 1_000_000
 
 # Settings a cluster session should carry: adaptive execution splits hot join
 # partitions and sizes broadcasts from measured, not guessed, row counts.

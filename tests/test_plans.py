@@ -317,7 +317,7 @@ def test_ranks_agree_on_both_ways(spark, rollup, rows, monkeypatch):
     by_window = rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns)
     flags = ["region", "high_metrics", "competitive"]
     high = rows(metrics.competitive_regions(rollup, ["dollars", "capacity"], 0.5, 2), *flags)
-    monkeypatch.setattr(metrics, "few_rows", lambda df: False)
+    monkeypatch.setattr(metrics, "few_rows", lambda *_: False)
     assert rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns) == by_window
     assert rows(metrics.competitive_regions(rollup, ["dollars", "capacity"], 0.5, 2), *flags) == high
     ranked = {r[1]: r for r in by_window}
