@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from placeweave.functions.geometry import from_wkt
 from placeweave.operators.aggregate import repeated_keys
+from placeweave.operators.joins import equi_join
 from placeweave.operators.keys import geoid_coverage
 from placeweave.operators.quality import no_duplicate_rows, require, same_row_count, unique_key, unmatched
 from placeweave.operators.rank import text_row_id
@@ -164,15 +165,28 @@ def build_consolidated(ws: Workspace) -> None:
 
 
 def build_metrics(ws: Workspace) -> None:
-    """Dollars per district, county and state, ranked; facilities are placed by their tract key."""
+    """Dollars and capacity per district, county and state, ranked.
+
+    Facilities carry a tract key; repowering candidates only coordinates, so the tract that holds them is
+    looked up first (the lower of two that share a border).
+    """
     dims = ws.clean("census_dims").withColumn("county_geoid", F.concat("state_fips", "county_fips"))
     levels = metrics.region_levels(dims, "census_geoid", {"state": "state_fips", "county": "county_geoid"})
     districts = ws.clean("edd_to_census_tract").select(
         "census_geoid", F.lit("edd").alias("level"), F.col("edd_full_name").alias("region"))
-    placed = ws.facilities().select(
+    dollars = ws.facilities().select(
         F.col("census_tract_2010_geoid").alias("census_geoid"), F.col("total_facility_capex_estimated").alias("dollars"))
-    rollup = metrics.metric_rollup(placed, "census_geoid", ["dollars"], levels.unionByName(districts))
-    ws.write(metrics.region_rank(rollup, {"dollars": 1.0}), "region_ranks")
+    repowering = ws.clean("repowering")
+    tracts = crosswalks.points_to_regions(
+        repowering, "observation_id", "longitude", "latitude",
+        ws.clean("tract_shapes_2023").withColumnRenamed("GEOID", "census_geoid"), "census_geoid")
+    tracts = tracts.groupBy("observation_id").agg(F.min("census_geoid").alias("census_geoid"))
+    capacity = equi_join(repowering.select("observation_id", "capacity_mw"), tracts, ["observation_id"]).drop("observation_id")
+    rollup = metrics.metric_rollup(
+        stack_rows(dollars, capacity, fill=True), "census_geoid", ["dollars", "capacity_mw"], levels.unionByName(districts))
+    ranked = ws.write(metrics.region_rank(rollup, {"dollars": 0.5, "capacity_mw": 0.5}), "region_ranks")
+    flagged = metrics.competitive_regions(ranked.select("level", "region", "dollars", "capacity_mw"), ["dollars", "capacity_mw"])
+    ws.write(metrics.ratio_by_region(flagged, "capacity_mw", "dollars", "mw_per_dollar"), "competitive_regions")
 
 
 STEPS = (build_geography, build_crosswalks, build_observations, build_consolidated, build_metrics)

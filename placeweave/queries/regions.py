@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from placeweave.operators.joins import equi_join
 from placeweave.plans import metrics
-from placeweave.queries.registry import PLACE_SQL, geoid_of, place_of_nation, query, table
+from placeweave.plans.crosswalks import points_to_regions
+from placeweave.queries.registry import (
+    PLACE_SQL, geoid_of, place_of_nation, query, table, triangle_sql, triangles,
+)
 
 
 def _observations(spark, sf_dir):
@@ -88,6 +91,23 @@ def ratio_by_region(spark, sf_dir):
     return metrics.ratio_by_region(_rollup(spark, sf_dir), "capacity", "dollars")
 
 
+@query(f"""
+WITH {triangle_sql('t')}, p AS (SELECT vec_id AS id, embedding[7]::DOUBLE AS x, embedding[8]::DOUBLE AS y, vec_id::DECIMAL(18,2) AS mw FROM embeddings),
+s AS (SELECT label, t.vec_id AS region, mw, sign((bx - ax) * (y - ay) - (by_ - ay) * (x - ax)) AS s1,
+             sign((cx - bx) * (y - by_) - (cy - by_) * (x - bx)) AS s2, sign((ax - cx) * (y - cy) - (ay - cy) * (x - cx)) AS s3 FROM p, t)
+SELECT 'district' AS level, CAST(region AS VARCHAR) AS region, count(*) AS observations, sum(mw)::DOUBLE AS capacity_mw
+FROM s WHERE (s1 >= 0 AND s2 >= 0 AND s3 >= 0) OR (s1 <= 0 AND s2 <= 0 AND s3 <= 0) GROUP BY region
+""")
+def capacity_by_district(spark, sf_dir):
+    """Capacity of observations that have coordinates only, per overlapping region."""
+    e = F.col("embedding")
+    points = table(spark, sf_dir, "embeddings").select(
+        "vec_id", e[6].cast("double").alias("x"), e[7].cast("double").alias("y"), F.col("vec_id").cast("double").alias("capacity_mw"))
+    regions = triangles(spark, sf_dir).select(F.col("vec_id").cast("string").alias("region"), "geometry")
+    districts = points_to_regions(points, "vec_id", "x", "y", regions, "region").withColumn("level", F.lit("district"))
+    return metrics.metric_rollup(points, "vec_id", ["capacity_mw"], districts)
+
+
 # --- dyads -----------------------------------------------------------------------------------
 
 RADIUS = 400_000.0

@@ -106,8 +106,13 @@ def test_consolidated_and_metrics(workspace):
         "Clean Investment Monitor__1", "Clean Repowering__1", "Clean Repowering__3"]
     assert len(got(workspace, "observation_points")) == 3
     assert got(workspace, "map_base", "state_name") == [("Alabama",), ("Michigan",)]
-    assert got(workspace, "region_ranks", "level", "region", "dollars", "place") == [
-        ("county", "01001", 40.0, 1), ("edd", "Bayou", 10.0, 2), ("edd", "Delta", 40.0, 1), ("state", "01", 40.0, 1)]
+    ranks = {(r["level"], r["region"]): (r["dollars"], r["capacity_mw"], r["place"]) for r in workspace.clean("region_ranks").collect()}
+    assert ranks == {
+        ("county", "01001"): (40.0, 100.0, 1), ("county", "26163"): (0.0, 300.0, 1),
+        ("state", "01"): (40.0, 100.0, 1), ("state", "26"): (0.0, 300.0, 1),
+        ("edd", "Bayou"): (10.0, 100.0, 2), ("edd", "Delta"): (40.0, 100.0, 1)}
+    flags = {r["region"]: (r["competitive"], r["mw_per_dollar"]) for r in workspace.clean("competitive_regions").collect()}
+    assert flags["Delta"] == (True, 2.5) and flags["26163"] == (False, None)
 
 
 def test_row_ids_of_split_text_files(spark, tmp_path):
