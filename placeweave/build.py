@@ -2,9 +2,10 @@
 
     python -m placeweave.build RAW_FOLDER CLEAN_FOLDER
 
-``RAW_FOLDER`` holds one file or folder per input, named as in ``RAW_COLUMNS``; boundary inputs carry their
-shape as WKT text in the column ``wkt``.  ``tract/2013`` and ``tract/2023`` may be nested at will.  Every step
-reads earlier results back from ``CLEAN_FOLDER``, so a step can be run again on its own.
+``RAW_FOLDER`` holds one file or folder per input, named as in ``RAW_COLUMNS``; columns are found by header name,
+and further ones are ignored.  Boundary inputs carry their shape as WKT text in the column ``wkt``.  ``tract/2013``
+and ``tract/2023`` may be nested at will.  Every step reads earlier results back from ``CLEAN_FOLDER``, so a step can
+be run again on its own.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from placeweave.sources import readers, sinks
 
 SHAPE = "wkt"
 
-# Columns of the raw inputs, in file order.
+# Columns used of the raw inputs.
 RAW_COLUMNS = {
     "state": ["STATEFP", "STUSPS", "NAME", SHAPE],
     "county_1990": ["ST", "CO", "NAME", SHAPE],
@@ -54,6 +55,7 @@ RAW_TYPES = {
     "repowering": {"Latitude": "double", "Longitude": "double", "Capacity MW": "double"},
 }
 FACILITY_PREAMBLE = 5
+TRACT_VINTAGES = (2013, 2023)
 
 
 class Workspace:
@@ -72,11 +74,14 @@ class Workspace:
             self.spark, f"{self.raw_root}/facilities", RAW_COLUMNS["facilities"], FACILITY_PREAMBLE, RAW_TYPES["facilities"])
 
     def tracts(self) -> DataFrame:
-        """Both vintages in one scan, with their year."""
-        tagged = readers.read_vintages(
-            self.spark, f"{self.raw_root}/tract", r"/tract/(\d{4})/", "*.csv", "csv",
-            readers.string_schema(RAW_COLUMNS["tract"]))
-        return tagged.withColumn("geometry", from_wkt(SHAPE)).drop(SHAPE)
+        """Both vintages with their year; only the later one has fully qualified keys."""
+        vintages = []
+        for year in TRACT_VINTAGES:
+            tagged = readers.read_vintages(
+                self.spark, f"{self.raw_root}/tract/{year}", r"/tract/(\d{4})/", "*.csv", "csv")
+            known = {c.lower() for c in tagged.columns}
+            vintages.append(tagged.select("year", *[c for c in RAW_COLUMNS["tract"] if c.lower() in known]))
+        return stack_rows(*vintages, fill=True).withColumn("geometry", from_wkt(SHAPE)).drop(SHAPE)
 
     def clean(self, name: str) -> DataFrame:
         return readers.read_parquet(self.spark, f"{self.clean_root}/{name}")

@@ -3,6 +3,7 @@ types would turn fixed-width keys into numbers and lose their leading zeros."""
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -30,42 +31,49 @@ def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 def read_text_table(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str],
+    columns: Sequence[str] | None = None,
     types: Mapping[str, str] | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Delimited text with a header; every column text unless ``types`` says otherwise.
+    """Delimited text with a header; every column is text unless ``types`` says otherwise.
 
-    ``multiline`` allows quoted line breaks, at the price of one task per file.
+    ``columns`` picks columns by header name, in any case and order.  Files of one path must share
+    their header, which is checked.  ``multiline`` allows quoted line breaks, at one task per file.
     """
-    df = spark.read.schema(string_schema(columns)).csv(
-        path, header=True, multiLine=multiline, **CSV_OPTIONS)
-    return cast_columns(df, types or {})
+    df = spark.read.csv(
+        path, header=True, inferSchema=False, enforceSchema=False, multiLine=multiline, **CSV_OPTIONS)
+    return cast_columns(_picked(df, columns), types or {})
+
+
+def _picked(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in columns]) if columns else df
 
 
 def read_text_after_preamble(
     spark: SparkSession,
     path: str | Sequence[str],
-    columns: Sequence[str],
-    skip: int,
+    columns: Sequence[str] | None = None,
+    skip: int = 0,
     types: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Delimited text whose files each start with ``skip`` banner lines and then a header.
 
     A task reads the lines of a file block in order, so the lines to leave out are the first ones of a
     block that starts at byte 0.  They are sliced off Arrow batches in the reading task: one scan and
-    no shuffle, however large or small the files.  Quoted line breaks are not supported: see
-    ``unbalanced_quotes``.
+    no shuffle, however large or small the files.  The column names are taken from the header of the
+    first file.  Quoted line breaks are not supported: see ``unbalanced_quotes``.
     """
-    lines = spark.read.text(path).select(
+    text = spark.read.text(path)
+    heading = spark.read.text(text.inputFiles()[0]).head(skip + 1)[-1]["value"]
+    names = next(csv.reader([heading]))
+    lines = text.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
     body = lines.mapInArrow(_without_heads(skip + 1), "value string").filter(F.length("value") > 0)
-    ddl = ", ".join(f"`{c}` string" for c in columns)
-    parsed = body.select(F.from_csv("value", ddl, CSV_OPTIONS).alias("row")).select("row.*")
-    return cast_columns(parsed, types or {})
+    parsed = body.select(F.from_csv("value", string_schema(names).toDDL(), CSV_OPTIONS).alias("row")).select("row.*")
+    return cast_columns(_picked(parsed, columns), types or {})
 
 
 def _without_heads(count: int):
@@ -112,20 +120,22 @@ def read_vintages(
 ) -> DataFrame:
     """Every matching file below ``root`` in one scan, each row tagged with the vintage in its path.
 
-    ``vintage_pattern`` is a regular expression with one group that captures the vintage.
+    ``vintage_pattern`` is a regular expression with one group that captures the vintage.  Text files
+    need a common header, which names the columns; vintages laid out differently are read one by one
+    and stacked by name.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", file_glob)
     if schema is not None:
         reader = reader.schema(schema)
     if file_format == "csv":
-        reader = reader.options(header="true", **CSV_OPTIONS)
+        reader = reader.options(header="true", **({} if schema else {"enforceSchema": "false"}), **CSV_OPTIONS)
     df = reader.format(file_format).load(root)
     vintage = F.regexp_extract(F.col("_metadata.file_path"), vintage_pattern, 1).try_cast("int")
     return df.withColumn(vintage_column, vintage)
 
 
 def read_wkt_table(
-    spark: SparkSession, path: str, columns: Sequence[str], wkt_column: str, srid: int = 4269
+    spark: SparkSession, path: str, columns: Sequence[str] | None, wkt_column: str, srid: int = 4269
 ) -> DataFrame:
     """A boundary table whose shapes are WKT text."""
     df = read_text_table(spark, path, columns)

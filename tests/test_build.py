@@ -15,7 +15,10 @@ def box(x, y, size):
 
 
 def write(path: Path, columns, rows, banner=()):
+    """Raw files have more columns than are used, in another order and case."""
     path.parent.mkdir(parents=True, exist_ok=True)
+    columns = ["unused 1", *[c.upper() if i % 3 == 0 and c != "Unique ID" else c for i, c in enumerate(columns)][::-1], "unused 2"]
+    rows = [["x", *row[::-1], "NA"] for row in rows]
     with open(path, "w", newline="", encoding="utf-8") as f:
         f.writelines(f"{line}\n" for line in banner)
         out = csv.writer(f)
@@ -34,7 +37,9 @@ def workspace(spark, tmp_path_factory):
     table("county_1990", [("01", "001", "Autaga", box(-90, 30, 1)), ("26", "163", "Wayne", box(-85, 41, 1))])
     table("county_2018", [("01", "001", "01001", "Autauga", box(-90, 30, 1)), ("26", "163", "26163", "Wayne", box(-85, 41, 1))])
     tract = lambda s, c, t, x, y: (s, c, t, s + c + t, f"1400000US{s + c + t}", f"-0{abs(x)}.5", f"+{y}.5", box(x, y, 1))
-    table("tract", [tract("01", "001", "020100", -90, 30), tract("26", "163", "031100", -85, 41)], "tract/2013/01/a.csv")
+    old = [c for c in RAW_COLUMNS["tract"] if c != "GEOIDFQ"]
+    write(raw / "tract/2013/01/a.csv", old, [
+        (t[:4] + t[5:]) for t in (tract("01", "001", "020100", -90, 30), tract("26", "163", "031100", -85, 41))])
     table("tract", [tract("01", "001", "020100", -90, 30), tract("01", "001", "020200", -89, 30)], "tract/2023/01/a.csv")
     table("tract", [tract("26", "163", "031102", -85, 41)], "tract/2023/26/b.csv")
     table("cbsa", [("10", "10", "F10", "A", "M1", box(-90, 30, 0.5)), ("20", "20", "F20", "B", "M2", box(0, 0, 1))])

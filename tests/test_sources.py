@@ -20,6 +20,16 @@ def test_text_table_keeps_zeros_and_quotes(spark, folder):
     assert [tuple(r) for r in table] == [("01001020100", 'a, "b"', 2010), ("0400", None, None), (None, "x", None)]
 
 
+def test_columns_are_found_by_name(spark, folder):
+    (folder / "t.csv").write_text("extra,B b,A\n1,2,3\n", encoding="utf-8")
+    table = readers.read_text_table(spark, str(folder / "t.csv"), ["a", "B b"], {"a": "int"})
+    assert table.columns == ["a", "B b"] and tuple(table.first()) == (3, "2")
+    assert readers.read_text_table(spark, str(folder / "t.csv")).columns == ["extra", "B b", "A"]
+    (folder / "u.csv").write_text("A,extra,B b\n1,2,3\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header does not conform"):
+        readers.read_text_table(spark, str(folder)).collect()
+
+
 def test_quoted_line_breaks(spark, folder):
     (folder / "t.csv").write_text('a,b\n1,"two\nlines"\n', encoding="utf-8")
     path = str(folder / "t.csv")
@@ -57,7 +67,7 @@ def test_preamble_with_small_batches(spark, folder):
         (folder / f"f{i}.csv").write_text("b1\nb2\nb3\nid\n" + "".join(f"{i * 10 + j}\n" for j in range(10)), encoding="utf-8")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
     try:
-        df = readers.read_text_after_preamble(spark, str(folder), ["id"], skip=3, types={"id": "int"})
+        df = readers.read_text_after_preamble(spark, str(folder), skip=3, types={"id": "int"})
         assert sorted(r["id"] for r in df.collect()) == list(range(40))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
