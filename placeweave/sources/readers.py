@@ -34,6 +34,7 @@ def read_text_table(
     columns: Sequence[str] | None = None,
     types: Mapping[str, str] | None = None,
     multiline: bool = False,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """Delimited text with a header; every column is text unless ``types`` says otherwise.
 
@@ -41,7 +42,7 @@ def read_text_table(
     their header, which is checked.  ``multiline`` allows quoted line breaks, at one task per file.
     """
     df = spark.read.csv(
-        path, header=True, inferSchema=False, enforceSchema=False, multiLine=multiline, **CSV_OPTIONS)
+        path, header=True, inferSchema=False, enforceSchema=False, multiLine=multiline, encoding=encoding, **CSV_OPTIONS)
     return cast_columns(_picked(df, columns), types or {})
 
 
@@ -135,10 +136,11 @@ def read_vintages(
 
 
 def read_wkt_table(
-    spark: SparkSession, path: str, columns: Sequence[str] | None, wkt_column: str, srid: int = 4269
+    spark: SparkSession, path: str, columns: Sequence[str] | None, wkt_column: str, srid: int = 4269,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """A boundary table whose shapes are WKT text."""
-    df = read_text_table(spark, path, columns)
+    df = read_text_table(spark, path, columns, encoding=encoding)
     return (
         df.withColumn("geometry", from_wkt(wkt_column))
         .withColumn("srid", F.lit(srid))

@@ -30,6 +30,11 @@ def test_columns_are_found_by_name(spark, folder):
         readers.read_text_table(spark, str(folder)).collect()
 
 
+def test_other_encodings(spark, folder):
+    (folder / "t.csv").write_bytes("name\nDoña Ana\n".encode("latin-1"))
+    assert readers.read_text_table(spark, str(folder / "t.csv"), encoding="ISO-8859-1").first()["name"] == "Doña Ana"
+
+
 def test_quoted_line_breaks(spark, folder):
     (folder / "t.csv").write_text('a,b\n1,"two\nlines"\n', encoding="utf-8")
     path = str(folder / "t.csv")

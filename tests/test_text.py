@@ -1,3 +1,6 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from placeweave.functions import text
@@ -51,6 +54,24 @@ def test_rounding_is_half_to_even(one):
     assert one(*[text.round_even(F.lit(v)) for v in (0.5, 1.5, 2.5, -0.5)]) == (0.0, 2.0, 2.0, 0.0)
 
 
+def test_random_text_against_python(spark):
+    rng = random.Random(2)
+    pieces = ["county", "County", "area", "parish", "(part)", "(", ")", " ", "  ", "\t", "\u00a0", "x", "é", "9", "12345678901", "-", ",", "\n"]
+    values = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 9))) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select(
+        "v", text.drop_first_word("v", "county").alias("word"), text.drop_first("v", r"\(.*\)").alias("brackets"),
+        text.trim_all("v").alias("trimmed"), text.squeeze_spaces("v").alias("squeezed"),
+        text.pad_left("v", 8).alias("padded"), text.geoid_prefix("v").alias("prefix"))
+    for r in df.collect():
+        v = r["v"]
+        assert r["word"] == re.sub(r"\bcounty\b", "", v, count=1)
+        assert r["brackets"] == re.sub(r"\(.*\)", "", v, count=1)
+        assert r["trimmed"] == re.sub(r"^\s+|\s+$", "", v)
+        assert r["squeezed"] == re.sub(r"\s{2,}", " ", v)
+        assert r["padded"] == v.rjust(8, "0")
+        assert r["prefix"] == (re.match(r"[0-9]{9}", v) or [None])[0]
+
+
 def test_missing_condition_falls_through(one):
     unknown = F.lit(None).cast("boolean")
     assert one(text.first_match([(unknown, "a"), (F.lit(True), "b")], "c")) == "b"
