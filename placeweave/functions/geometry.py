@@ -123,10 +123,10 @@ def to_wkt(geometry: Column | str, digits: int | None = None) -> Column:
 
 
 def from_wkt(text: Column | str) -> Column:
-    """Parse POINT, POLYGON and MULTIPOLYGON text; null for anything else."""
+    """Parse POINT, POLYGON and MULTIPOLYGON text; further ordinates are dropped; null for anything else."""
     t = F.trim(_col(text))
     kind = F.upper(F.regexp_extract(t, r"^([A-Za-z]+)", 1))
-    body = F.regexp_replace(t, r"^[A-Za-z]+\s*", "")
+    body = F.regexp_replace(t, r"^[A-Za-z]+\s*(?i:(?:ZM|Z|M)\b\s*)?", "")
     # Depth of the innermost lists differs by kind; strip down to the ring lists of the parts.
     inner = (
         F.when(kind == "POINT", F.regexp_replace(body, r"^\(\s*|\s*\)$", ""))
