@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from placeweave.llm.shared import ascii_lower, query, stored, table_path
 from placeweave.session import scratch_folder
 
-STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Keyed state on disk. Space is not claimed ahead: every state partition would hold megabytes of empty file.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # Input taken up by one micro-batch; larger inputs go through the state batch by batch.
 BATCH_BYTES = 1 << 40
 # Digests of groups with several rows are broadcast to the byte check when there are at most this many (32 bytes each);
@@ -52,13 +55,15 @@ def fold_into_state(spark: SparkSession, path: str, state: str, *, text: str = "
               .parquet(f"{parent}/{{{name}}}"))  # as a pattern, so that a table may be one file or a folder
     folded = (_located(stream, text, key, digest).groupBy("digest")
               .agg(F.max(F.struct("doc_id", "file", "row")).alias("keeper"), F.count("*").alias("group_size")))
-    before = spark.conf.get(STATE_PROVIDER)
-    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         (folded.writeStream.format("noop").outputMode("update").option("checkpointLocation", state)
          .trigger(availableNow=True).start().awaitTermination())
     finally:
-        spark.conf.set(STATE_PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     if spark.read.parquet(path).isEmpty():  # no batch ran, so there is no state to read
         return spark.createDataFrame([], "digest binary, keep_id long, keep_file string, keep_row long, group_size long")
     kept = spark.read.format("statestore").load(state)
