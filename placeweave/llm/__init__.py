@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 from importlib import import_module
 
+from pyspark import cloudpickle
+
 from placeweave.llm.shared import QUERIES, SQL
 
-for _module in ("exact", "urls"):
+# Functions that run in tasks travel whole, so executors need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+for _module in ("exact", "near", "urls"):
     import_module(f"placeweave.llm.{_module}")
 
 __all__ = ["QUERIES", "SQL"]
