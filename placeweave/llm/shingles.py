@@ -67,7 +67,7 @@ class Hasher:
             total = np.zeros(runs, dtype=np.uint64)
             for i in range(SHINGLE):
                 total += (h[i:i + runs] ^ (h[i:i + runs] >> np.uint64(29))) * _PLACE[i]
-            return np.unique(_mixed(total))
+            return np.unique(mixed(total))
 
     def signature(self, shingles: np.ndarray) -> np.ndarray:
         """One number a coordinate: the coordinate above, the least permuted hash in the low 32 bits."""
@@ -79,7 +79,7 @@ class Hasher:
         return self.coordinate + least.astype(np.int64)
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
