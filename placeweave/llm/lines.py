@@ -53,7 +53,6 @@ def spread_lines(docs: DataFrame, *, text: str = "text", site: str = "source", s
     return guessed.where(F.col("guess") > sites + margin).select("key").union(counted)
 
 
-@F.pandas_udf("text string, n_removed long")
 def _without(texts: pd.Series, marked: pd.Series, max_share: pd.Series) -> pd.DataFrame:
     """The text without its marked lines, unless these hold more than the given share of its characters."""
     out = []
@@ -80,7 +79,8 @@ def without_boilerplate(docs: DataFrame, *, text: str = "text", site: str = "sou
               .groupBy("whole").agg(F.collect_set("at").alias("marked")))
     rows = docs.select(F.struct("*").alias("row"), F.unhex(F.md5(text)).alias("whole")).join(marked, "whole", "left")
     old = F.col("row").getField(text)
-    changed = _without(F.when(F.col("marked").isNotNull(), old), "marked", F.lit(float(max_share)))
+    rewritten = F.pandas_udf(_without, "text string, n_removed long")
+    changed = rewritten(F.when(F.col("marked").isNotNull(), old), "marked", F.lit(float(max_share)))
     rows = rows.select("row", changed.alias("new"))
     columns = [F.coalesce("new.text", old).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
     return rows.select(*columns, F.coalesce("new.n_removed", F.lit(0)).alias("n_removed"))
