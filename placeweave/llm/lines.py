@@ -71,7 +71,7 @@ def _without(texts: pd.Series, marked: pd.Series, max_share: pd.Series) -> pd.Da
 
 def without_boilerplate(docs: DataFrame, *, text: str = "text", site: str = "source", sites: int = SITES,
                         max_share: float = MAX_SHARE) -> DataFrame:
-    """``docs`` with widely spread lines taken out of the text column, and a column ``n_removed`` (lines taken out)."""
+    """``docs`` with widely spread lines taken out of the text column, and a column ``n_removed`` (lines taken out; it replaces one of that name)."""
     spread = stored(spread_lines(docs, text=text, site=site, sites=sites), "spread-lines")
     # What is marked depends on the text alone, so positions are kept per distinct text: no row identifier is needed.
     places = docs.select(F.unhex(F.md5(text)).alias("whole"), F.posexplode(_lines(F.col(text))).alias("at", "line"))
@@ -82,7 +82,8 @@ def without_boilerplate(docs: DataFrame, *, text: str = "text", site: str = "sou
     rewritten = F.pandas_udf(_without, "text string, n_removed long")
     changed = rewritten(F.when(F.col("marked").isNotNull(), old), "marked", F.lit(float(max_share)))
     rows = rows.select("row", changed.alias("new"))
-    columns = [F.coalesce("new.text", old).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns]
+    columns = [F.coalesce("new.text", old).alias(c) if c == text else F.col("row").getField(c).alias(c)
+               for c in docs.columns if c != "n_removed"]
     return rows.select(*columns, F.coalesce("new.n_removed", F.lit(0)).alias("n_removed"))
 
 

@@ -127,7 +127,10 @@ def _cuts(placed: DataFrame, leaves: DataFrame, levels, seed: int) -> DataFrame:
 def mixed_to_weights(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", key: str = "doc_id",
                      weights: Mapping[str, Mapping[str, int]] = WEIGHTS, percent: int = BUDGET_PERCENT, epochs: int = EPOCHS,
                      seed: int = SEED, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """The selected rows of ``docs`` with ``domain``, ``tokens`` and ``copies`` (how often to read the document)."""
+    """The selected rows of ``docs`` with ``mix_domain``, ``mix_tokens`` and ``mix_copies`` (how often to read the document).
+
+    Columns of these names in ``docs`` are replaced.
+    """
     levels = list(LEVELS)
     placed = _placed(docs, text, lang, source, key)
     counted = placed.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
@@ -139,7 +142,8 @@ def mixed_to_weights(docs: DataFrame, *, text: str = "text", lang: str = "lang",
     chosen = placed.join(cuts, levels)
     copies = F.col("whole") + F.when(_order_key(seed) <= F.col("cut"), 1).otherwise(0)
     chosen = chosen.withColumn("copies", copies.cast("long")).where("copies > 0")
-    return chosen.select("row.*", F.col("domain").alias("mix_domain"), F.col("tokens").alias("mix_tokens"), F.col("copies").alias("mix_copies"))
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in ("mix_domain", "mix_tokens", "mix_copies")]
+    return chosen.select(*own, F.col("domain").alias("mix_domain"), F.col("tokens").alias("mix_tokens"), F.col("copies").alias("mix_copies"))
 
 
 def _oracle() -> str:
