@@ -161,14 +161,16 @@ def main_text(html: str | None) -> str:
     lines = lines_of(html or "")
     if not lines:
         return ""
-    ratios = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines], dtype=float))
+    own = np.array([len(text) / max(1, tags) for text, tags, *_ in lines], dtype=float)
+    ratios = smoothed(own)
     cut = threshold(ratios)
     inside = [i for i, line in enumerate(lines) if not line[4]]
     marked = [i for i in inside if lines[i][2]]
     inside = marked or inside  # where the page marks its article, nothing outside it is content
     if not inside:
         return ""
-    voters = [i for i in inside if ratios[i] >= cut] or [max(inside, key=lambda i: (ratios[i], -i))]
+    # A line at the edge of a cluster that is itself below the threshold was only lifted by its neighbours.
+    voters = [i for i in inside if min(ratios[i], own[i]) >= cut] or [max(inside, key=lambda i: (ratios[i], -i))]
     place = 2 if marked else 3
     regions = {lines[i][place] for i in voters}
     if not marked:  # a paragraph is a region of its own: its neighbours between two voters belong to the same text

@@ -82,13 +82,20 @@ def path_of(url: Column) -> Column:
 
 def _grams(host: Column, path: Column) -> Column:
     """Distinct character n-grams of host and path; the two ends of each are marked, and host and path never share one."""
-    def cut(text: Column, n: int, tag: str) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - F.lit(n - 1), F.lit(1))),
-                           lambda i: F.concat(F.lit(tag), F.substring(text, i, F.lit(n))))
+    def cut(text: Column, tag: str) -> list[Column]:
+        # Each size grows from the one below by one character, so that a very long URL costs no more than its length.
+        letters = F.filter(F.split(text, ""), lambda c: c != "")
+        grams, out = letters, []
+        for n in range(2, max(SIZES) + 1):
+            later = F.slice(letters, F.lit(n), F.greatest(F.size(letters) - F.lit(n - 1), F.lit(0)))
+            grams = F.array_compact(F.zip_with(grams, later, lambda g, c: F.concat(g, c)))
+            if n in SIZES:
+                out.append(F.transform(grams, lambda g: F.concat(F.lit(tag), g)))
+        return out
     # The last two labels of a host name the registry and the owner's domain, not the site.
     site = F.concat(F.lit("^"), F.regexp_replace(host, r"\.[^.]*\.[^.]*$", ""), F.lit("$"))
     words = F.concat(F.lit("^"), F.regexp_replace(path, r"[0-9]+", "0"), F.lit("$"))
-    return F.array_distinct(F.flatten(F.array(*[cut(site, n, "h") for n in SIZES], *[cut(words, n, "p") for n in SIZES])))
+    return F.array_distinct(F.flatten(F.array(*cut(site, "h"), *cut(words, "p"))))
 
 
 def _features(urls: DataFrame, host: Column, path: Column, buckets: int) -> DataFrame:
