@@ -42,7 +42,7 @@ UNITS = frozenset(
     "kilograms pound pounds ounce ounces ton tons litre litres liter liters percent degrees degree dollar dollars euro euros cent "
     "cents usd eur gbp mph kmh kw kwh w v a hz kb mb gb tb".split())
 
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]|[%$€£°]")
+_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_][^\W_]*|[.!?\n]|[%$€£°]")
 _ENDS = frozenset(".!?\n")
 _MARKS = frozenset("%$€£°")
 _NUM, _NAME, _UNIT = (np.uint64(xxhash.xxh3_64_intdigest(f"<{kind}>")) for kind in ("num", "name", "unit"))
@@ -93,9 +93,9 @@ class Canonical:
         plain = np.where(number, _NUM, np.where(unit, _UNIT, hashes[ids]))
 
         def over(values, slots):
-            total = np.zeros(runs, dtype=np.uint64)
+            total, spread = np.zeros(runs, dtype=np.uint64), mixed(values)
             for i in range(WINDOW):
-                total += mixed(values[i:i + runs]) * _TIMES[i]
+                total += spread[i:i + runs] * _TIMES[i]
             filled = np.convolve(slots, np.ones(WINDOW, dtype=np.int64), "valid")
             return mixed(total), filled
         with np.errstate(over="ignore"):
