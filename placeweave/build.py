@@ -23,6 +23,7 @@ from placeweave.operators.quality import no_duplicate_rows, require, same_row_co
 from placeweave.operators.rank import text_row_id
 from placeweave.operators.reshape import stack_rows
 from placeweave.plans import consolidated, crosswalks, geography, metrics, observations
+from placeweave.session import SCALE_SETTINGS, scratch_released
 from placeweave.sources import readers, sinks
 
 SHAPE = "wkt"
@@ -131,12 +132,12 @@ def build_geography(ws: Workspace) -> None:
 def build_crosswalks(ws: Workspace) -> None:
     tracts = ws.clean("tract_shapes_2023")
     regions = {
-        "cbsa_to_tract": (crosswalks.cbsa_to_tract, "cbsa"),
-        "csa_to_tract": (crosswalks.csa_to_tract, "csa"),
-        "edd_to_census_tract": (crosswalks.edd_to_census_tract, "edd"),
+        "cbsa_to_tract": (crosswalks.cbsa_to_tract, ws.raw("cbsa")),
+        "csa_to_tract": (crosswalks.csa_to_tract, ws.raw("csa")),
+        "edd_to_census_tract": (crosswalks.edd_to_census_tract, text_row_id(ws.raw("edd"), "edd_index", first=0)),
     }
     for name, (crosswalk, source) in regions.items():
-        require(no_duplicate_rows(ws.write(crosswalk(ws.raw(source), tracts), name), name)).collect()
+        require(no_duplicate_rows(ws.write(crosswalk(source, tracts), name), name)).collect()
     cbsa = crosswalks.cbsa_regions(ws.raw("cbsa")).drop("geometry")
     ws.write(unmatched(cbsa, ws.clean("cbsa_to_tract"), "cbsa_geoid"), "cbsa_without_tract")
 
@@ -145,8 +146,8 @@ def build_observations(ws: Workspace) -> None:
     joiner, dims = ws.clean("census_joiner"), ws.clean("census_dims")
     closures = text_row_id(ws.raw("coal_closures"))
     ws.write(geoid_coverage(closures, "geoid_tract_2020", joiner), "coal_closures_coverage")
-    ws.write(observations.coal_closures(closures, joiner), "energy_communities_coal_closures")
-    ws.write(observations.fossil_fuel_employment(text_row_id(ws.raw("fossil_fuel_emp")), dims), "energy_communities_fossil_fuels")
+    ws.write(observations.coal_closures(closures, joiner), "coal_closures")
+    ws.write(observations.fossil_fuel_employment(text_row_id(ws.raw("fossil_fuel_emp")), dims), "fossil_fuel_employment")
     ws.write(observations.designations_48c(ws.raw("designations_48c"), joiner), "designations_48c")
     ws.write(observations.closed_coal_mines(ws.raw("closed_coal"), dims), "iwg_closed_coal")
     ws.write(observations.retired_coal_plants(ws.raw("retired_plants"), dims), "iwg_retired_powerplants_coal")
@@ -201,9 +202,13 @@ def build_all(spark: SparkSession, raw: str, clean: str) -> Workspace:
     """Every step, in the order in which they need each other."""
     workspace = Workspace(spark, raw, clean)
     for step in STEPS:
-        step(workspace)
+        with scratch_released(spark):
+            step(workspace)
     return workspace
 
 
 if __name__ == "__main__":
-    build_all(SparkSession.builder.appName("placeweave").getOrCreate(), *sys.argv[1:3])
+    builder = SparkSession.builder.appName("placeweave").config(map=SCALE_SETTINGS)
+    if len(sys.argv) > 3:  # a folder that all executors reach
+        builder = builder.config("spark.checkpoint.dir", sys.argv[3])
+    build_all(builder.getOrCreate(), *sys.argv[1:3])

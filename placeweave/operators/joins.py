@@ -91,11 +91,8 @@ def many_to_one(left: DataFrame, right: DataFrame, on: Sequence[KeyPair]) -> Dat
     joined = equi_join(left, folded, pairs, "left")
     message = F.concat(F.lit("many-to-one join: several right rows for key "),
                        F.concat_ws(", ", *[F.col(l).cast("string") for l, _ in pairs]))
-    guarded = {
-        c: F.when(F.col("__rows") > 1, F.raise_error(message).cast(right.schema[c].dataType)).otherwise(F.col(c))
-        for c in payload
-    }
-    return joined.withColumns(guarded).drop("__rows")
+    # In a condition on the rows, so that no later projection or count can drop it.
+    return joined.filter(F.when(F.col("__rows") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("__rows")
 
 
 def member_flag(df: DataFrame, column: str, values: DataFrame, values_column: str, flag: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from placeweave.operators.joins import equi_join
-from placeweave.session import BROADCAST_ROWS, counted_side, pinned, scratch_folder
+from placeweave.session import counted_side, pinned, scratch_folder
 
 
 def highest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -74,24 +74,27 @@ def lump_levels(df: DataFrame, column: str, keep: int, other: str = "Other",
     return joined.withColumn(column, lumped).drop("__level", "__kept")
 
 
-def scan_row_id(df: DataFrame, row_id: str = "rowid") -> DataFrame:
-    """1-based dense row number in file order, for a frame read directly from Parquet.
+def _file_order(file: Column) -> list[Column]:
+    """Files in the order of the numbers in their names (part-99999 before part-100000), then by name."""
+    padded = F.regexp_replace(F.regexp_replace(file, "([0-9]+)", "00000000000000000000$1"), "[0-9]*([0-9]{20})(?![0-9])", "$1")
+    return [padded, file]
+
+
+def scan_row_id(df: DataFrame, row_id: str = "rowid", first: int = 1) -> DataFrame:
+    """Dense row number in file order, for a frame read directly from Parquet.
 
     The reader knows each row's place in its file; only the per-file row counts are accumulated and
-    joined back, so no row is shuffled or passes through Python.  The counts are one row per file of
-    a listing the driver holds anyway, and are broadcast only up to a fixed number of files.
+    broadcast, so no row is shuffled or passes through Python. The counts are one row per file of
+    a listing the driver holds anyway.
     """
-    files = len(df.inputFiles())
     located = df.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
     sizes = located.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(*_file_order(F.col("__file"))).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
-    if files <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     return (
-        equi_join(located, offsets, ["__file"], missing_matches=False)
-        .withColumn(row_id, F.col("__offset") + F.col("__index") + 1)
+        equi_join(located, F.broadcast(offsets), ["__file"], missing_matches=False)
+        .withColumn(row_id, F.col("__offset") + F.col("__index") + first)
         .drop("__file", "__index", "__offset")
     )
 
@@ -99,17 +102,30 @@ def scan_row_id(df: DataFrame, row_id: str = "rowid") -> DataFrame:
 def ordered_row_id(df: DataFrame, order: Sequence[Column], row_id: str = "rowid", first: int = 1) -> DataFrame:
     """Dense row number by a total order, without one global sort task.
 
-    The frame is range-sorted into a written table once; its files hold consecutive ranges, so the
-    number is the rows of earlier files plus the place in the file.
+    The frame is range-sorted and written once, each row with its partition's number and its place in it.
+    The number is then the rows of earlier partitions, one small sum a partition, plus the place.
     """
     path = scratch_folder(df.sparkSession, "ordered")
-    df.orderBy(*order).write.parquet(path)
-    stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    numbered = scan_row_id(stored, row_id)
-    return numbered.withColumn(row_id, F.col(row_id) + (first - 1))
+    running = F.monotonically_increasing_id()  # the partition above, the place in it in the low 33 bits
+    placed = df.orderBy(*order).withColumn("__running", running)
+    placed.write.parquet(path)
+    stored = df.sparkSession.read.schema(placed.schema).parquet(path).withColumn("__part", F.shiftright("__running", 33))
+    return _numbered(stored, F.col("__running").bitwiseAND((1 << 33) - 1), row_id, first).drop("__running")
+
+
+def _numbered(stored: DataFrame, place: Column, row_id: str, first: int) -> DataFrame:
+    """``first`` plus the rows of earlier ``__part`` numbers plus the row's ``place`` in its own."""
+    sizes = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
+    return (
+        equi_join(stored, F.broadcast(offsets), ["__part"], missing_matches=False)  # one row a partition
+        .withColumn(row_id, F.col("__offset") + place + first)
+        .drop("__part", "__offset")
+    )
 
 
-def text_row_id(df: DataFrame, row_id: str = "rowid") -> DataFrame:
+def text_row_id(df: DataFrame, row_id: str = "rowid", first: int = 1) -> DataFrame:
     """``scan_row_id`` for a frame read directly from text files, whose reader gives no row positions.
 
     A block is read in order by one task, so file, block and the running id of the task order all rows.
@@ -117,8 +133,8 @@ def text_row_id(df: DataFrame, row_id: str = "rowid") -> DataFrame:
     located = df.select(
         "*", F.col("_metadata.file_path").alias("__source"), F.col("_metadata.file_block_start").alias("__source_block"),
         F.monotonically_increasing_id().alias("__source_place"))
-    places = ["__source", "__source_block", "__source_place"]
-    return ordered_row_id(located, [F.col(c) for c in places], row_id).drop(*places)
+    places = [*_file_order(F.col("__source")), F.col("__source_block"), F.col("__source_place")]
+    return ordered_row_id(located, places, row_id, first).drop("__source", "__source_block", "__source_place")
 
 
 def seeded_sample(df: DataFrame, n: int, key: Sequence[str], seed: str) -> DataFrame:

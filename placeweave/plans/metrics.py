@@ -16,14 +16,12 @@ from pyspark.sql.window import Window
 from placeweave.operators.aggregate import exact_quantiles, value_ranks
 from placeweave.operators.joins import equi_join
 from placeweave.operators.spatial import places_within
-from placeweave.session import WINDOW_ROWS, few_rows, pinned
-
-MONEY = "decimal(18,2)"
+from placeweave.session import pinned
 
 
 def _total(metric: str) -> Column:
-    """Exact sums: the order of partial sums cannot change the result."""
-    return F.sum(F.col(metric).cast(MONEY)).alias(metric)
+    """The values as they are given: a decimal column is summed exactly, any other as doubles."""
+    return F.sum(metric).alias(metric)
 
 
 def region_levels(dims: DataFrame, key: str, levels: Mapping[str, str]) -> DataFrame:
@@ -46,15 +44,8 @@ def metric_rollup(observations: DataFrame, key: str, metrics: Sequence[str], cro
         F.sum("observations").alias("observations"), *[F.sum(m).cast("double").alias(m) for m in metrics])
 
 
-def _with_ranks(regions: DataFrame, few: bool, metric: str, below: str, total: str, ties: str) -> DataFrame:
-    """Regions of the same level with a smaller value, in all, and with the same value."""
-    if few:  # counted: one window task holds a bounded number of rows
-        level = Window.partitionBy("level")
-        return regions.withColumns({
-            below: F.rank().over(level.orderBy(metric)) - 1,
-            total: F.count(metric).over(level),
-            ties: F.count(metric).over(Window.partitionBy("level", metric)),
-        })
+def _with_ranks(regions: DataFrame, metric: str, below: str, total: str, ties: str) -> DataFrame:
+    """Regions of the same level with a smaller value, in all, and with the same value, from running counts over value ranges."""
     ranks = value_ranks(regions, "level", metric).select(
         "level", metric, F.col("below").alias(below), F.col("total").alias(total), F.col("n").alias(ties))
     return equi_join(regions, ranks, ["level", metric], "left")
@@ -63,17 +54,15 @@ def _with_ranks(regions: DataFrame, few: bool, metric: str, below: str, total: s
 def region_rank(rollup: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     """Percent rank of every metric within its level, their weighted sum, and the rank of that sum.
 
-    The rollup is pinned, since every metric ranks it anew.  A counted, small number of regions is
-    ranked by window, any other number from running counts over value ranges.  Missing totals count as 0.
+    The rollup is pinned, since every metric ranks it anew.  Missing totals count as 0.
     """
     scored = pinned(rollup.fillna(0, subset=list(weights)))
-    few = few_rows(scored, WINDOW_ROWS)
     for metric in weights:
-        scored = _with_ranks(scored, few, metric, "__below", "__total", "__ties")
+        scored = _with_ranks(scored, metric, "__below", "__total", "__ties")
         percent = F.coalesce(F.col("__below") / F.nullif(F.col("__total") - 1, F.lit(0)), F.lit(0.0))
         scored = scored.withColumn(f"{metric}_rank", percent).drop("__below", "__total", "__ties")
     score = sum((F.lit(float(w)) * F.col(f"{m}_rank") for m, w in weights.items()), F.lit(0.0))
-    scored = _with_ranks(scored.withColumn("score", score), few, "score", "__below", "__total", "__ties")
+    scored = _with_ranks(scored.withColumn("score", score), "score", "__below", "__total", "__ties")
     place = F.col("__total") - F.col("__below") - F.col("__ties") + 1
     return scored.withColumn("place", place).drop("__below", "__total", "__ties")
 
@@ -82,15 +71,10 @@ def competitive_regions(rollup: DataFrame, metrics: Sequence[str], quantile: flo
                         needed: int = 2) -> DataFrame:
     """Flag regions of which at least ``needed`` metrics reach their level's quantile."""
     regions = pinned(rollup)
-    if few_rows(regions, WINDOW_ROWS):  # counted: an aggregate may hold all values of a level
-        limits = regions.groupBy("level").agg(
-            *[F.percentile(m, F.lit(quantile)).alias(f"__limit_{m}") for m in metrics])
-        flagged = equi_join(regions, limits, ["level"], "left")
-    else:
-        flagged = regions
-        for metric in metrics:
-            limit = exact_quantiles(regions, "level", metric, {f"__limit_{metric}": quantile}).drop("n")
-            flagged = equi_join(flagged, limit, ["level"], "left")
+    flagged = regions
+    for metric in metrics:
+        limit = exact_quantiles(regions, "level", metric, {f"__limit_{metric}": quantile}).drop("n")
+        flagged = equi_join(flagged, limit, ["level"], "left")
     high = sum((F.coalesce((F.col(m) >= F.col(f"__limit_{m}")).cast("int"), F.lit(0)) for m in metrics), F.lit(0))
     flagged = flagged.withColumn("high_metrics", high).withColumn("competitive", F.col("high_metrics") >= needed)
     return flagged.drop(*[f"__limit_{m}" for m in metrics])
@@ -113,7 +97,7 @@ def drill_down(regions: DataFrame, region_key: str, observations: DataFrame) ->
 def _places(df: DataFrame, value: str | None, day: str | None) -> DataFrame:
     """Co-located rows of one kind (and day) as one place with a quantity: copies cannot multiply pairs."""
     keys = ["kind", "lon", "lat", *([day] if day else [])]
-    total = [F.sum(F.col(value).cast(MONEY)).cast("double").alias("value")] if value else []
+    total = [F.sum(value).cast("double").alias("value")] if value else []
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("quantity"), *total)
 
 

@@ -19,7 +19,7 @@ from placeweave.sources.readers import front, lower_names, replace_in_names
 # Dataset tags.
 COAL_CLOSURES = "clean_energy_tax_credit__coal_closures"
 FOSSIL_FUELS = "clean_energy_tax_credit__fossil_fuels"
-DESIGNATIONS_48C = "energy_communities_48c_census_tract_designations_"
+DESIGNATIONS_48C = "designations_48c_"
 CLOSED_COAL = "iwg_closed_coalmines"
 RETIRED_PLANTS = "iwg_retired_powerplants_coal_"
 FACILITIES = "Clean Investment Monitor"

@@ -87,8 +87,8 @@ WITH {JOINER_SQL},
 raw AS (SELECT o_orderkey, o_orderstatus AS s, o_orderpriority AS p, {ORDER_KEY_SQL} AS geoid FROM orders),
 resolved AS (SELECT *, CASE WHEN geoid IN (SELECT census_geoid FROM joiner) THEN geoid
                             WHEN regexp_matches(geoid, '^[0-9]{{9}}') THEN substr(geoid, 1, 9) END AS k FROM raw)
-SELECT 'energy_communities_48c_census_tract_designations_' AS dataset_name,
-       'energy_communities_48c_census_tract_designations_' || o_orderkey AS observation_id, census_geoid,
+SELECT 'designations_48c_' AS dataset_name,
+       'designations_48c_' || o_orderkey AS observation_id, census_geoid,
        CASE WHEN s = 'O' AND p < '3' THEN 'Census tract is eligible for 48C tax credit as a designated energy community'
             WHEN s = 'O' THEN 'Census tract is eligible for 48C tax credit but NOT as a designated energy community'
             ELSE 'DEFAULT_UNKNOWN' END AS f48c_status,
@@ -247,14 +247,14 @@ def consolidated_observations(spark, sf_dir):
 
 @query(f"""
 WITH {PLACE_SQL}, {REPOWERING_SQL}, {STATE_SQL}
-SELECT state_name, technology, count(*) AS n, sum(capacity_mw::DECIMAL(18,2))::DOUBLE AS capacity_mw
+SELECT state_name, technology, count(*) AS n, sum(capacity_mw * 1.0625)::DECIMAL(20,6)::DOUBLE AS capacity_mw
 FROM repower LEFT JOIN state USING (state_name_abbrev) WHERE capacity_mw IS NOT NULL GROUP BY 1, 2
 """)
 def dataset_filter(spark, sf_dir):
     """One dataset out of the consolidated table, summed by state and technology."""
     chosen = metrics.of_dataset(consolidated_observations(spark, sf_dir), observations.REPOWERING)
     return chosen.groupBy("state_name", "technology").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("capacity_mw").cast(metrics.MONEY)).cast("double").alias("capacity_mw"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("capacity_mw") * 1.0625).cast("decimal(20,6)").cast("double").alias("capacity_mw"))
 
 
 @query(f"""

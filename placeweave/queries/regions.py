@@ -15,7 +15,7 @@ from placeweave.queries.registry import (
 def _observations(spark, sf_dir):
     """Dollars and capacity per order, keyed by tract."""
     capacity = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("capacity"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("dollars"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_totalprice") * 0.0125).alias("dollars"))
     joined = equi_join(orders, capacity, [("o_orderkey", "l_orderkey")], "left", missing_matches=False)
     return joined.select("o_orderkey", geoid_of("o_custkey").alias("census_geoid"), "dollars", "capacity")
 
@@ -34,17 +34,24 @@ def _rollup(spark, sf_dir):
 
 ROLLUP_SQL = PLACE_SQL + """,
 cap AS (SELECT l_orderkey, sum(l_quantity) AS capacity FROM lineitem GROUP BY 1),
-obs AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 11, '0') AS g, o_totalprice::DECIMAL(18,2) AS dollars, capacity::DECIMAL(18,2) AS capacity,
+obs AS (SELECT lpad(CAST(o_custkey AS VARCHAR), 11, '0') AS g, o_totalprice * 0.0125::DOUBLE AS dollars, capacity,
                county_name, state_name
         FROM orders LEFT JOIN cap ON o_orderkey = l_orderkey JOIN customer ON o_custkey = c_custkey JOIN place ON c_nationkey = n_nationkey),
 u AS (SELECT 'state' AS level, state_name AS region, dollars, capacity FROM obs
       UNION ALL SELECT 'county', county_name, dollars, capacity FROM obs UNION ALL SELECT 'tract', g, dollars, capacity FROM obs),
-rollup_ AS (SELECT level, region, count(*) AS observations, sum(dollars)::DOUBLE AS dollars, sum(capacity)::DOUBLE AS capacity FROM u GROUP BY 1, 2)"""
+rollup_ AS (SELECT level, region, count(*) AS observations, sum(dollars) AS dollars, sum(capacity)::DOUBLE AS capacity FROM u GROUP BY 1, 2)"""
 
+# Values are summed as they come; only what is shown is rounded, to six places.
+SHOWN_SQL = "level, region, observations, dollars::DECIMAL(20,6)::DOUBLE AS dollars, capacity::DECIMAL(20,6)::DOUBLE AS capacity"
 
-@query(f"WITH {ROLLUP_SQL} SELECT * FROM rollup_")
+
+def _shown(df, *columns):
+    return df.withColumns({c: F.col(c).cast("decimal(20,6)").cast("double") for c in columns})
+
+
+@query(f"WITH {ROLLUP_SQL} SELECT {SHOWN_SQL} FROM rollup_")
 def metric_rollup(spark, sf_dir):
-    return _rollup(spark, sf_dir)
+    return _shown(_rollup(spark, sf_dir), "dollars", "capacity")
 
 
 @query(f"""
@@ -52,10 +59,10 @@ WITH {ROLLUP_SQL},
 p AS (SELECT *, percent_rank() OVER (PARTITION BY level ORDER BY dollars) AS dollars_rank,
              percent_rank() OVER (PARTITION BY level ORDER BY capacity) AS capacity_rank FROM rollup_),
 s AS (SELECT *, 0.5::DOUBLE * dollars_rank + 0.5::DOUBLE * capacity_rank AS score FROM p)
-SELECT *, rank() OVER (PARTITION BY level ORDER BY score DESC) AS place FROM s
+SELECT {SHOWN_SQL}, dollars_rank, capacity_rank, score, rank() OVER (PARTITION BY level ORDER BY score DESC) AS place FROM s
 """)
 def region_rank(spark, sf_dir):
-    return metrics.region_rank(_rollup(spark, sf_dir), {"dollars": 0.5, "capacity": 0.5})
+    return _shown(metrics.region_rank(_rollup(spark, sf_dir), {"dollars": 0.5, "capacity": 0.5}), "dollars", "capacity")
 
 
 COMPETITIVE_SQL = ROLLUP_SQL + """,
@@ -65,15 +72,15 @@ comp AS (SELECT level, region, observations, dollars, capacity,
          FROM rollup_ JOIN lim USING (level))"""
 
 
-@query(f"WITH {COMPETITIVE_SQL} SELECT *, high_metrics >= 2 AS competitive FROM comp")
+@query(f"WITH {COMPETITIVE_SQL} SELECT {SHOWN_SQL}, high_metrics, high_metrics >= 2 AS competitive FROM comp")
 def competitive_regions(spark, sf_dir):
     flagged = metrics.competitive_regions(_rollup(spark, sf_dir), ["dollars", "capacity", "observations"])
-    return flagged.withColumn("high_metrics", F.col("high_metrics").cast("long"))
+    return _shown(flagged.withColumn("high_metrics", F.col("high_metrics").cast("long")), "dollars", "capacity")
 
 
 @query(f"""
 WITH {COMPETITIVE_SQL}
-SELECT o_orderkey, o_totalprice AS dollars, n_name AS region FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+SELECT o_orderkey, o_totalprice * 0.0125::DOUBLE AS dollars, n_name AS region FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 WHERE n_name IN (SELECT region FROM comp WHERE level = 'county' AND high_metrics >= 2)
 """)
 def drill_down(spark, sf_dir):
@@ -86,26 +93,27 @@ def drill_down(spark, sf_dir):
     return metrics.drill_down(counties, "region", placed).select("o_orderkey", "dollars", "region")
 
 
-@query(f"WITH {ROLLUP_SQL} SELECT level, region, observations, dollars, capacity, capacity / nullif(dollars, 0) AS ratio FROM rollup_")
+@query(f"WITH {ROLLUP_SQL} SELECT {SHOWN_SQL}, (capacity / nullif(dollars, 0))::DECIMAL(20,9)::DOUBLE AS ratio FROM rollup_")
 def ratio_by_region(spark, sf_dir):
-    return metrics.ratio_by_region(_rollup(spark, sf_dir), "capacity", "dollars")
+    rates = metrics.ratio_by_region(_rollup(spark, sf_dir), "capacity", "dollars")
+    return _shown(rates, "dollars", "capacity").withColumn("ratio", F.col("ratio").cast("decimal(20,9)").cast("double"))
 
 
 @query(f"""
-WITH {triangle_sql('t')}, p AS (SELECT vec_id AS id, embedding[7]::DOUBLE AS x, embedding[8]::DOUBLE AS y, vec_id::DECIMAL(18,2) AS mw FROM embeddings),
+WITH {triangle_sql('t')}, p AS (SELECT vec_id AS id, embedding[7]::DOUBLE AS x, embedding[8]::DOUBLE AS y, vec_id * 1.0625::DOUBLE AS mw FROM embeddings),
 s AS (SELECT label, t.vec_id AS region, mw, sign((bx - ax) * (y - ay) - (by_ - ay) * (x - ax)) AS s1,
              sign((cx - bx) * (y - by_) - (cy - by_) * (x - bx)) AS s2, sign((ax - cx) * (y - cy) - (ay - cy) * (x - cx)) AS s3 FROM p, t)
-SELECT 'district' AS level, CAST(region AS VARCHAR) AS region, count(*) AS observations, sum(mw)::DOUBLE AS capacity_mw
+SELECT 'district' AS level, CAST(region AS VARCHAR) AS region, count(*) AS observations, sum(mw)::DECIMAL(20,6)::DOUBLE AS capacity_mw
 FROM s WHERE (s1 >= 0 AND s2 >= 0 AND s3 >= 0) OR (s1 <= 0 AND s2 <= 0 AND s3 <= 0) GROUP BY region
 """)
 def capacity_by_district(spark, sf_dir):
     """Capacity of observations that have coordinates only, per overlapping region."""
     e = F.col("embedding")
     points = table(spark, sf_dir, "embeddings").select(
-        "vec_id", e[6].cast("double").alias("x"), e[7].cast("double").alias("y"), F.col("vec_id").cast("double").alias("capacity_mw"))
+        "vec_id", e[6].cast("double").alias("x"), e[7].cast("double").alias("y"), (F.col("vec_id") * 1.0625).alias("capacity_mw"))
     regions = triangles(spark, sf_dir).select(F.col("vec_id").cast("string").alias("region"), "geometry")
     districts = points_to_regions(points, "vec_id", "x", "y", regions, "region").withColumn("level", F.lit("district"))
-    return metrics.metric_rollup(points, "vec_id", ["capacity_mw"], districts)
+    return _shown(metrics.metric_rollup(points, "vec_id", ["capacity_mw"], districts), "capacity_mw")
 
 
 # --- dyads -----------------------------------------------------------------------------------
@@ -120,14 +128,14 @@ def _places(spark, sf_dir, low: bool):
     return table(spark, sf_dir, "embeddings").filter(side).select(
         F.concat(F.lit("kind "), F.col("label").cast("string")).alias("kind"),
         (e[0].cast("double") * 400).alias("lon"), (e[1].cast("double") * 200).alias("lat"),
-        F.col("vec_id").cast("double").alias("worth"),
+        (F.col("vec_id") * 1.0625).alias("worth"),
         F.date_add(F.lit("2024-01-01").cast("date"), F.col("vec_id").cast("int") % 100).alias("day"))
 
 
 DYAD_SQL = """
 pl AS (SELECT label < 5 AS low, 'kind ' || label AS kind, embedding[1]::DOUBLE * 400 AS lon, embedding[2]::DOUBLE * 200 AS lat,
-              DATE '2024-01-01' + (vec_id % 100)::INT AS day, vec_id::DECIMAL(18,2) AS worth FROM embeddings),
-g AS (SELECT low, kind, lon, lat, day, count(*) AS quantity, sum(worth)::DOUBLE AS worth FROM pl GROUP BY 1, 2, 3, 4, 5),
+              DATE '2024-01-01' + (vec_id % 100)::INT AS day, vec_id * 1.0625::DOUBLE AS worth FROM embeddings),
+g AS (SELECT low, kind, lon, lat, day, count(*) AS quantity, sum(worth)::DECIMAL(20,6)::DOUBLE AS worth FROM pl GROUP BY 1, 2, 3, 4, 5),
 d AS (SELECT l.kind AS l_kind, r.kind AS r_kind, l.worth AS l_value, r.worth AS r_value, l.quantity * r.quantity AS quantity,
              (r.day - l.day)::BIGINT AS lag_days,
              2 * 6371008.8 * asin(sqrt(least(1::DOUBLE, pow(sin(radians(r.lat - l.lat) / 2), 2)
@@ -143,7 +151,7 @@ SELECT l_kind, r_kind, l_value, r_value, quantity, lag_days, CAST(CAST(distance
 def dyad_within_radius(spark, sf_dir):
     """Pairs of places of two kinds within 400 km, with quantity, distance and lag."""
     pairs = metrics.dyads(_places(spark, sf_dir, True), _places(spark, sf_dir, False), RADIUS, value="worth", day="day")
-    return pairs.select("l_kind", "r_kind", "l_value", "r_value", "quantity", F.col("lag_days").cast("long").alias("lag_days"),
+    return _shown(pairs, "l_value", "r_value").select("l_kind", "r_kind", "l_value", "r_value", "quantity", F.col("lag_days").cast("long").alias("lag_days"),
                         F.col("distance").cast("decimal(18,3)").cast("double").alias("distance"))
 
 

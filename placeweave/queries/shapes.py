@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from placeweave.functions.geometry import from_wkt, mercator_x, mercator_y, point, to_wkt, vertices
 from placeweave.operators.quality import unmatched
+from placeweave.operators.rank import scan_row_id
 from placeweave.operators.spatial import crop, points_within, polygons_intersect
 from placeweave.plans import crosswalks, geography
 from placeweave.queries.registry import (
@@ -125,8 +126,11 @@ def point_in_triangle(spark, sf_dir):
 
 # --- crosswalks -------------------------------------------------------------------------------
 
-def _tracts(spark, sf_dir, scale=1.0, labels=(0, 1, 2, 3, 4)):
-    shapes = triangles(spark, sf_dir, scale).filter(F.col("label").isin(*labels))
+HIGH = (5, 6, 7, 8, 9)  # regions; the other labels are tracts
+
+
+def _tracts(spark, sf_dir, scale=1.0):
+    shapes = triangles(spark, sf_dir, scale).filter(~F.col("label").isin(*HIGH))
     geoid = F.lpad(F.col("vec_id").cast("string"), 11, "0")
     return shapes.select(geoid.alias("GEOID"), F.concat(F.lit("1400000US"), geoid).alias("GEOIDFQ"), "geometry")
 
@@ -136,7 +140,7 @@ def _regions(spark, sf_dir, labels, scale=1.0):
 
 
 def raw_cbsa(spark, sf_dir):
-    return _regions(spark, sf_dir, (5, 6)).select(
+    return _regions(spark, sf_dir, HIGH).select(
         F.col("code").alias("CBSAFP"), F.col("code").alias("GEOID"), F.concat(F.lit("310M700US"), "code").alias("GEOIDFQ"),
         F.concat(F.lit("Area "), "code").alias("NAME"), F.when(F.col("label") == 5, F.lit("M1")).otherwise(F.lit("M2")).alias("LSAD"),
         "geometry")
@@ -146,7 +150,7 @@ TRACT_ID_SQL = "lpad(CAST(r AS VARCHAR), 11, '0') AS census_geoid, '1400000US' |
 
 
 @query(f"""
-WITH {triangle_sql('area', 'label IN (5, 6)')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
+WITH {triangle_sql('area', 'label >= 5')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
 SELECT 'Area ' || l AS cbsa_name, CASE label WHEN 5 THEN 'metro' ELSE 'micro' END AS cbsa_type, CAST(l AS VARCHAR) AS cbsa_fips,
        CAST(l AS VARCHAR) AS cbsa_geoid, '310M700US' || l AS cbsa_geoidfq, {TRACT_ID_SQL}
 FROM pairs JOIN area ON l = vec_id
@@ -156,12 +160,12 @@ def cbsa_crosswalk(spark, sf_dir):
 
 
 @query(f"""
-WITH {triangle_sql('area', 'label IN (7, 8)')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
+WITH {triangle_sql('area', 'label >= 5')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
 SELECT CAST(l AS VARCHAR) AS csa_fips, CAST(l AS VARCHAR) AS csa_geoid, '330M700US' || l AS csa_geoidfq, 'Combined ' || l AS csa_name, {TRACT_ID_SQL}
 FROM pairs
 """)
 def csa_crosswalk(spark, sf_dir):
-    raw = _regions(spark, sf_dir, (7, 8)).select(
+    raw = _regions(spark, sf_dir, HIGH).select(
         F.col("code").alias("CSAFP"), F.col("code").alias("GEOID"), F.concat(F.lit("330M700US"), "code").alias("GEOIDFQ"),
         F.concat(F.lit("Combined "), "code").alias("NAME"), "geometry")
     return crosswalks.csa_to_tract(raw, _tracts(spark, sf_dir))
@@ -172,31 +176,32 @@ _LAT = "6378137 * ln(tan(pi() / 4 + radians({}) / 2))"
 
 
 @query(f"""
-WITH {triangle_sql('area', 'label = 9', '100', _LON, _LAT)}, {triangle_sql('tract', 'label < 5', '100', _LON, _LAT)},
+WITH {triangle_sql('area', 'label >= 5', '100', _LON, _LAT)}, {triangle_sql('tract', 'label < 5', '100', _LON, _LAT)},
 {triangle_pairs_sql('area', 'tract')},
-n AS (SELECT vec_id, row_number() OVER (ORDER BY 'District ' || lpad(CAST(vec_id AS VARCHAR), 6, '0')) - 1 AS edd_index FROM area)
-SELECT edd_index, 'District ' || lpad(CAST(l AS VARCHAR), 6, '0') AS edd_full_name, {TRACT_ID_SQL} FROM pairs JOIN n ON l = vec_id
+n AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS edd_index FROM embeddings)
+SELECT edd_index, 'District ' || CAST(999999 - l AS VARCHAR) AS edd_full_name, {TRACT_ID_SQL} FROM pairs JOIN n ON l = vec_id
 """)
 def edd_crosswalk(spark, sf_dir):
-    """Districts against tracts in Web Mercator, with the district ordinal."""
-    raw = _regions(spark, sf_dir, (9,), 100.0).select(
-        F.concat(F.lit("District "), F.lpad("code", 6, "0")).alias("FullName"), "geometry")
+    """Districts against tracts in Web Mercator, with the district's place in its file, which is not the order of the names."""
+    places = scan_row_id(table(spark, sf_dir, "embeddings"), "edd_index", first=0).select("vec_id", "edd_index")
+    raw = _regions(spark, sf_dir, HIGH, 100.0).join(places, "vec_id").select(
+        "edd_index", F.concat(F.lit("District "), (999_999 - F.col("vec_id")).cast("string")).alias("FullName"), "geometry")
     return crosswalks.edd_to_census_tract(raw, _tracts(spark, sf_dir, 100.0))
 
 
 @query(f"""
-WITH {triangle_sql('area', 'label IN (5, 6)')}, {triangle_sql('tract', 'label = 0')}, {triangle_pairs_sql('area', 'tract')}
+WITH {triangle_sql('area', 'label >= 5')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
 SELECT CAST(vec_id AS VARCHAR) AS cbsa_geoid, 'Area ' || vec_id AS cbsa_name FROM area WHERE vec_id NOT IN (SELECT l FROM pairs)
 """)
 def regions_without_tract(spark, sf_dir):
-    """Regions that meet none of the tracts of one label."""
-    raw, tracts = raw_cbsa(spark, sf_dir), _tracts(spark, sf_dir, labels=(0,))
+    """Regions that meet no tract."""
+    raw, tracts = raw_cbsa(spark, sf_dir), _tracts(spark, sf_dir)
     regions = crosswalks.cbsa_regions(raw).select("cbsa_geoid", "cbsa_name")
     return unmatched(regions, crosswalks.cbsa_to_tract(raw, tracts), "cbsa_geoid")
 
 
 @query(f"""
-WITH {triangle_sql('area', 'label IN (5, 6)')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
+WITH {triangle_sql('area', 'label >= 5')}, {triangle_sql('tract', 'label < 5')}, {triangle_pairs_sql('area', 'tract')}
 SELECT 'metro' AS cbsa_type, '1400000US' || lpad(CAST(r AS VARCHAR), 11, '0') AS census_geoidfq,
        printf('POLYGON ((%.4f %.4f, %.4f %.4f, %.4f %.4f, %.4f %.4f))', t.ax, t.ay, t.bx, t.by_, t.cx, t.cy, t.ax, t.ay) AS wkt
 FROM pairs JOIN area a ON l = a.vec_id JOIN tract t ON r = t.vec_id WHERE a.label = 5

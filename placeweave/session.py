@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +13,6 @@ from pyspark.sql import functions as F
 
 # A side is broadcast by hint only when it was counted and holds at most this many rows.
 BROADCAST_ROWS = 100_000
-# A window may take a whole group only when the frame was counted and holds at most this many rows.
-WINDOW_ROWS = 1_000_000
 
 # Settings a cluster session should carry: adaptive execution splits hot join
 # partitions and sizes broadcasts from measured, not guessed, row counts.
@@ -45,11 +45,36 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new path below the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests) does a local temporary
-    folder stand in.
+    Only where ``spark.checkpoint.dir`` is unset and the master is local (tests) does a local
+    temporary folder stand in: on a cluster other machines could not read it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or _local_folder()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors reach (master: {master})")
+        base = _local_folder()
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _in_use.append(path)
+    return path
+
+
+# Scratch folders handed out and not yet deleted.
+_in_use: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end every scratch folder that was handed out inside; results must be written by then."""
+    before = len(_in_use)
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for name in _in_use[before:]:
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+        del _in_use[before:]
 
 
 @cache

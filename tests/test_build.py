@@ -88,14 +88,14 @@ def test_crosswalks(workspace):
     # a region that ends on the edge of two tracts meets both
     assert got(workspace, "csa_to_tract", "census_geoid") == [("01001020100",), ("01001020200",)]
     assert got(workspace, "edd_to_census_tract", "edd_index", "edd_full_name", "census_geoid") == [
-        (0, "Bayou", "01001020100"), (1, "Delta", "01001020100"), (1, "Delta", "01001020200")]
+        (0, "Delta", "01001020100"), (0, "Delta", "01001020200"), (1, "Bayou", "01001020100")]
 
 
 def test_observations(workspace):
     tag = "clean_energy_tax_credit__coal_closures"
-    assert got(workspace, "energy_communities_coal_closures", "observation_id", "census_geoid", "info") == [
+    assert got(workspace, "coal_closures", "observation_id", "census_geoid", "info") == [
         (f"{tag}_1", "01001020100", "Mine closure: Adjacent to closure"), (f"{tag}_3", "26163031100", "Generator closure")]
-    assert [r[0][-1] for r in got(workspace, "energy_communities_fossil_fuels", "observation_id")] == ["1", "3"]
+    assert [r[0][-1] for r in got(workspace, "fossil_fuel_employment", "observation_id")] == ["1", "3"]
     assert got(workspace, "coal_closures_coverage", "match_kind", "matched") == [("abbreviated", 2), ("as_is", 1)]
     assert {r[0] for r in got(workspace, "designations_48c", "f48c_tract")} == {None, "t"}
     assert got(workspace, "iwg_closed_coal", "state_fips", "county_fips", "year_closed") == [("01", "001", 2010)]

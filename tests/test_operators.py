@@ -54,6 +54,15 @@ def test_many_to_one_raises_only_for_matched_keys(spark, rows):
         joins.many_to_one(left.union(spark.createDataFrame([("b",)], "k string")), right, ["k"]).collect()
 
 
+@pytest.mark.parametrize("use", [lambda df: df.count(), lambda df: df.select("i").collect(), lambda df: df.agg({"i": "max"}).collect()])
+@pytest.mark.parametrize("payload", [True, False])
+def test_many_to_one_raises_whatever_is_read(spark, use, payload):
+    left = spark.createDataFrame([("a", 1), ("b", 2)], "k string, i int")
+    right = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "k string, v int")
+    with pytest.raises(PySparkException, match="many-to-one"):
+        use(joins.many_to_one(left, right if payload else right.select("k"), ["k"]))
+
+
 def test_membership_is_never_missing(spark, rows):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     with_null = spark.createDataFrame([("a",), (None,), ("a",)], "v string")
@@ -215,6 +224,44 @@ def test_scan_ids_follow_file_order(spark):
     assert numbered.filter("id >= 990").agg(F.min("rowid")).first()[0] == 991  # given before any filter
 
 
+def test_scan_ids_follow_numbers_in_file_names(spark, tmp_path):
+    for i, name in enumerate(["part-99998", "part-99999", "part-100000", "part-100001"]):
+        written = str(tmp_path / "one")
+        spark.range(i * 10, i * 10 + 10).coalesce(1).write.mode("overwrite").parquet(written)
+        file = next(p for p in (tmp_path / "one").iterdir() if p.suffix == ".parquet")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        file.rename(tmp_path / "all" / f"{name}.parquet")
+    numbered = rank.scan_row_id(spark.read.parquet(str(tmp_path / "all")))
+    assert numbered.filter("rowid <> id + 1").count() == 0 and numbered.count() == 40
+
+
+def test_scratch_needs_a_shared_folder_off_a_local_master(spark, monkeypatch):
+    from placeweave import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Cluster:
+        sparkContext = Context
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_folder(Cluster, "x")
+    Context.master = "local[2]"
+    assert session.scratch_folder(Cluster, "x")
+
+
+def test_scratch_is_released(spark, tmp_path):
+    from pathlib import Path
+
+    from placeweave import session
+    with session.scratch_released(spark):
+        path = scratch_folder(spark, "gone")
+        spark.range(3).write.parquet(path)
+        assert Path(path.removeprefix("file:")).exists()
+    assert not Path(path.removeprefix("file:")).exists()
+
+
 def test_sample_is_repeatable(spark, rows):
     df = spark.range(100)
     first = rows(rank.seeded_sample(df, 10, ["id"], "s"))

@@ -285,13 +285,20 @@ def test_cbsa(spark, raw_tracts, rows):
     assert rows(crosswalks.tracts_of_region(out, "cbsa_name", "A", shapes), "census_geoidfq") == [("US1",), ("US2",)]
 
 
+def test_shapes_that_share_a_key_keep_their_own_tracts(spark, raw_tracts, rows):
+    raw = shaped(spark, [("c", "c", "Fc", "N", box(9.5, 9.5, 3)), ("c", "c", "Fc", "M", box(0.2, 0.2, 0.1))], ["CSAFP", "GEOID", "GEOIDFQ", "NAME"])
+    assert rows(crosswalks.csa_to_tract(raw, raw_tracts), "csa_name", "census_geoidfq") == [("M", "US1"), ("N", "US3")]
+
+
 def test_csa_and_edd(spark, raw_tracts, rows):
     csa = shaped(spark, [("c", "c", "Fc", "N", box(9.5, 9.5, 3))], ["CSAFP", "GEOID", "GEOIDFQ", "NAME"])
     assert rows(crosswalks.csa_to_tract(csa, raw_tracts)) == [("c", "c", "Fc", "N", "01001020300", "US3")]
     edd = shaped(spark, [("Zeta", "s", "c", box(0.2, 0.2, 0.1)), ("Ñandú", "s", "c", box(0.5, 0.5, 1)), ("Alpha", "s", "c", box(70, 70, 1))],
                  ["FullName", "State", "County"])
+    places = spark.createDataFrame([("Zeta", 0), ("Ñandú", 1), ("Alpha", 2)], "FullName string, edd_index long")
+    edd = edd.join(places, "FullName")
     out = crosswalks.edd_to_census_tract(edd, raw_tracts)
-    assert rows(out, "edd_index", "edd_full_name", "census_geoidfq") == [(1, "Zeta", "US1"), (2, "Ñandú", "US1"), (2, "Ñandú", "US2")]
+    assert rows(out, "edd_index", "edd_full_name", "census_geoidfq") == [(0, "Zeta", "US1"), (1, "Ñandú", "US1"), (1, "Ñandú", "US2")]
 
 
 # --- metrics --------------------------------------------------------------------------------
@@ -312,17 +319,18 @@ def test_rollup_counts_overlaps_in_each_region(spark, rows):
     assert metrics.ratio_by_region(out, "mw", "dollars").filter("region = 'e2'").first()["ratio"] == 0.25
 
 
-def test_ranks_agree_on_both_ways(spark, rollup, rows, monkeypatch):
+def test_totals_are_not_rounded(spark, rows):
+    obs = spark.createDataFrame([("t1", 0.125), ("t1", 0.125), ("t1", 0.004), ("t2", 0.004), ("t2", 1e17)], "t string, v double")
+    levels = spark.createDataFrame([("t1", "l", "a"), ("t2", "l", "b")], "t string, level string, region string")
+    assert rows(metrics.metric_rollup(obs, "t", ["v"], levels), "region", "v") == [("a", 0.254), ("b", 1e17 + 0.004)]
+
+
+def test_ranks(spark, rollup, rows):
     columns = ["level", "region", "dollars_rank", "capacity_rank", "score", "place"]
-    by_window = rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns)
-    flags = ["region", "high_metrics", "competitive"]
-    high = rows(metrics.competitive_regions(rollup, ["dollars", "capacity"], 0.5, 2), *flags)
-    monkeypatch.setattr(metrics, "few_rows", lambda *_: False)
-    assert rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns) == by_window
-    assert rows(metrics.competitive_regions(rollup, ["dollars", "capacity"], 0.5, 2), *flags) == high
-    ranked = {r[1]: r for r in by_window}
+    ranks = rows(metrics.region_rank(rollup, {"dollars": 0.75, "capacity": 0.25}), *columns)
+    ranked = {r[1]: r for r in ranks}
     assert ranked["c06"][2] == 1.0 and ranked["c00"][3] == 1.0 and ranked["s"][5] == 1
-    assert sorted(r[5] for r in by_window if r[0] == "county")[0] == 1
+    assert sorted(r[5] for r in ranks if r[0] == "county")[0] == 1
 
 
 def test_drill_down(spark, rows):
