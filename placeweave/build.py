@@ -67,7 +67,7 @@ class Workspace:
 
     def raw(self, name: str) -> DataFrame:
         table = readers.read_text_table(
-            self.spark, f"{self.raw_root}/{name}", RAW_COLUMNS[name], RAW_TYPES.get(name))
+            self.spark, f"{self.raw_root}/{name}", RAW_COLUMNS[name], RAW_TYPES.get(name), multiline=True)
         return table.withColumn("geometry", from_wkt(SHAPE)).drop(SHAPE) if SHAPE in table.columns else table
 
     def facilities(self) -> DataFrame:

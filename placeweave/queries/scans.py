@@ -16,23 +16,24 @@ from placeweave.sources import readers, sinks
 
 
 @query("""
-SELECT p_partkey AS part_id, p_name AS part_name,
+SELECT p_partkey AS part_id, CASE WHEN p_partkey % 5 = 0 THEN replace(p_name, ' ', chr(10)) ELSE p_name END AS part_name,
        CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_brand END AS brand,
        CASE WHEN p_size > 40 THEN NULL ELSE CAST(p_size AS BIGINT) END AS size,
        p_retailprice AS retail_price
 FROM part
 """)
 def typed_scan_cast(spark, sf_dir):
-    """Text file with spaced headers and bad cells, read as text and then typed."""
+    """Text file with spaced headers, quoted line breaks and bad cells, read as text and then typed."""
     path = scratch_folder(spark, "parts")
     part = table(spark, sf_dir, "part")
     sinks.write_text_table(part.select(
-        F.col("p_partkey").alias("Part ID"), F.col("p_name").alias("Part Name"),
+        F.col("p_partkey").alias("Part ID"),
+        F.when(F.col("p_partkey") % 5 == 0, F.replace("p_name", F.lit(" "), F.lit("\n"))).otherwise(F.col("p_name")).alias("Part Name"),
         F.when(F.col("p_type") != "PROMO", F.col("p_brand")).alias("Brand"),
         F.when(F.col("p_size") > 40, F.lit("unknown")).otherwise(F.col("p_size").cast("string")).alias("Part Size"),
         F.col("p_retailprice").alias("Retail Price")), path)
     read = readers.read_text_table(
-        spark, path, ["Part ID", "Part Name", "Brand", "Part Size", "Retail Price"], {"Part ID": "long"})
+        spark, path, ["Part ID", "Part Name", "Brand", "Part Size", "Retail Price"], {"Part ID": "long"}, multiline=True)
     typed = map_columns(map_columns(read, ["Part Size"], text_to_int), ["Retail Price"], text_to_double)
     return typed.select(
         F.col("`Part ID`").alias("part_id"), F.col("`Part Name`").alias("part_name"), F.col("Brand").alias("brand"),

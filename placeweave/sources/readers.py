@@ -5,10 +5,8 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,45 +57,32 @@ def read_text_after_preamble(
 ) -> DataFrame:
     """Delimited text whose files each start with ``skip`` banner lines and then a header.
 
-    A task reads the lines of a file block in order, so the lines to leave out are the first ones of a
-    block that starts at byte 0.  They are sliced off Arrow batches in the reading task: one scan and
-    no shuffle, however large or small the files.  The column names are taken from the header of the
-    first file.  Quoted line breaks are not supported: see ``unbalanced_quotes``.
+    A task reads the lines of a file block in order, so a line's place in a file's first block is its running
+    id less the smallest of that block; the smallest ids are one row a file.  All of it stays on the JVM.
+    Files whose header differs from the first file's, or that end before it, stop the job.
+    Quoted line breaks are not supported: see ``unbalanced_quotes``.
     """
     text = spark.read.text(path)
-    heading = spark.read.text(text.inputFiles()[0]).head(skip + 1)[-1]["value"]
+    top = spark.read.text(text.inputFiles()[0]).head(skip + 1)
+    if len(top) <= skip:
+        raise ValueError(f"{text.inputFiles()[0]}: no header after {skip} lines")
+    heading = top[-1]["value"]
     names = next(csv.reader([heading]))
     lines = text.select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-    body = lines.mapInArrow(_without_heads(skip + 1), "value string").filter(F.length("value") > 0)
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("running"))
+    begins = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("running").alias("first"), F.count(F.lit(1)).alias("begun"))
+    placed = lines.join(F.broadcast(begins), "file").withColumn(  # one row a file
+        "place", F.when(F.col("block") == 0, F.col("running") - F.col("first")))
+    differs = (F.col("place") == skip) & (F.col("value") != heading)
+    short = (F.col("place") == 0) & (F.col("begun") <= skip)
+    faulty = F.raise_error(F.concat("file", F.lit(": no header like the first file's"))).cast("boolean")
+    body = placed.filter(F.when(F.coalesce(differs | short, F.lit(False)), faulty).otherwise(
+        F.coalesce(F.col("place") > skip, F.lit(True)))).filter(F.length("value") > 0)
     parsed = body.select(F.from_csv("value", string_schema(names).toDDL(), CSV_OPTIONS).alias("row")).select("row.*")
     return cast_columns(_picked(parsed, columns), types or {})
 
 
-def _without_heads(count: int):
-    """Drop the first ``count`` lines of each file from batches of (value, file, block)."""
-    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, seen = None, 0
-        for batch in batches:
-            start = 0
-            while start < batch.num_rows:
-                file, block = batch.column(1)[start].as_py(), batch.column(2)[start].as_py()
-                same = pc.and_(pc.equal(batch.column(1), file), pc.equal(batch.column(2), block)).slice(start)
-                change = pc.index(same, False).as_py()
-                stop = batch.num_rows if change < 0 else start + change
-                if (file, block) != current:
-                    current, seen = (file, block), 0
-                leave = min(stop, start + max(0, count - seen)) if block == 0 else start
-                seen += stop - start
-                if leave < stop:
-                    yield batch.slice(leave, stop - leave).select([0])
-                start = stop
-    return drop
-
-
 def unbalanced_quotes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Number of lines with an odd count of quotes, i.e. of quoted line breaks."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))

@@ -2,6 +2,7 @@ import gzip
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from placeweave.functions.geometry import polygon
@@ -67,6 +68,20 @@ def test_preamble_with_split_files(spark, folder):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("second", ["b1\nb2\nv,id\n1,2\n", "b1\n"])
+def test_preamble_files_must_share_their_header(spark, folder, second):
+    (folder / "a.csv").write_text("b1\nb2\nid,v\n1,2\n", encoding="utf-8")
+    (folder / "b.csv").write_text(second, encoding="utf-8")
+    with pytest.raises(PySparkException, match="no header like"):
+        readers.read_text_after_preamble(spark, str(folder), skip=2).collect()
+
+
+def test_preamble_needs_a_header(spark, folder):
+    (folder / "a.csv").write_text("b1\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="no header"):
+        readers.read_text_after_preamble(spark, str(folder), skip=2)
+
+
 def test_preamble_with_small_batches(spark, folder):
     for i in range(4):
         (folder / f"f{i}.csv").write_text("b1\nb2\nb3\nid\n" + "".join(f"{i * 10 + j}\n" for j in range(10)), encoding="utf-8")
