@@ -31,7 +31,7 @@ UNDETERMINED = "und"
 # The bound of the training sample: rows a language, drawn by hash of the identifier.
 SAMPLE_ROWS = 1000
 ROUNDS = 4
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 # Longer words are scored on their own, with rescaling, and not remembered.
 LONG_WORD = 40
 MIN_SCORE = 0.5
@@ -39,6 +39,7 @@ MIN_SCORE = 0.5
 _WORD = re.compile(r"[^\W\d_]+")
 _START = "▁"
 _UNKNOWN = 0
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def read_pieces(path: str = VOCABULARY) -> list[str]:
@@ -57,31 +58,48 @@ class Lattice:
     """Every piece that a word can be cut into, as edges between positions."""
 
     def __init__(self, pieces: list[str]):
-        self.step: dict[str, int] = {p[:i]: -1 for p in pieces[1:] for i in range(1, len(p))}  # -1: only the beginning of one
-        self.step |= {p: i for i, p in enumerate(pieces) if i}
-
-    def edges(self, word: str) -> list[tuple[int, int, int]]:
-        """(start, end, piece) over the marked word; a character that is no piece is the unknown one."""
-        marked, step, out = _START + word, self.step, []
-        n = len(marked)
-        for start in range(n):
-            single = step.get(marked[start])
-            if single is None or single < 0:
-                out.append((start, start + 1, _UNKNOWN))
-            end = start + 1
-            while single is not None:
-                if single >= 0:
-                    out.append((start, end, single))
-                end += 1
-                if end > n:
-                    break
-                single = step.get(marked[start:end])
-        return out
+        step = {p[:i]: -1 for p in pieces[1:] for i in range(1, len(p))}  # -1: only the beginning of one
+        step |= {p: i for i, p in enumerate(pieces) if i}
+        hashes = np.array([self._hash(p) for p in step], dtype=np.uint64)
+        order = np.argsort(hashes)
+        self.hashes, self.ids = hashes[order], np.array(list(step.values()), dtype=np.int64)[order]
+
+    @staticmethod
+    def _hash(piece: str) -> int:
+        value = 0
+        for c in piece:
+            value = (value * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+        return value
 
     def packed(self, words: list[str]) -> tuple[np.ndarray, int]:
-        """Edges of many words as columns (word, start, end, piece), and the longest word's end."""
-        rows = [(k, *edge) for k, word in enumerate(words) for edge in self.edges(word)]
-        return np.array(rows, dtype=np.int64).reshape(-1, 4), max((len(w) + 1 for w in words), default=0)
+        """Edges of many marked words as columns (word, start, end, piece), and the longest word's end.
+
+        All beginnings of pieces grow by one character at a time, at every position of every word at once, until no
+        piece begins like that. A character that is no piece is the unknown one.
+        """
+        codes = np.frombuffer("".join(_START + w for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+        lengths = np.array([len(w) + 1 for w in words], dtype=np.int64)
+        ends = np.cumsum(lengths)
+        word = np.repeat(np.arange(len(words)), lengths)
+        at, size = np.arange(len(codes)), 0
+        value = np.zeros(len(codes), dtype=np.uint64)
+        found = []
+        with np.errstate(over="ignore"):
+            while len(at):
+                value = value * _BASE + codes[at + size]
+                size += 1
+                slot = np.minimum(np.searchsorted(self.hashes, value), len(self.hashes) - 1)
+                known = self.hashes[slot] == value
+                piece = np.where(known, self.ids[slot], -2)
+                whole = piece >= 0
+                if size == 1:
+                    piece, whole = np.where(whole, piece, _UNKNOWN), np.ones(len(at), dtype=bool)
+                found.append(np.stack([at[whole], np.full(whole.sum(), size), piece[whole]], axis=1))
+                grows = known & (at + size < ends[word[at]])
+                at, value = at[grows], value[grows]
+        rows = np.concatenate(found) if found else np.empty((0, 3), dtype=np.int64)
+        start = rows[:, 0] - (ends - lengths)[word[rows[:, 0]]]
+        return np.stack([word[rows[:, 0]], start, start + rows[:, 1], rows[:, 2]], axis=1), int(lengths.max(initial=0))
 
 
 def _sweep(edges: np.ndarray, weight: np.ndarray, words: int, last: int, backward: bool, ends: np.ndarray) -> np.ndarray:
@@ -141,11 +159,12 @@ class Scorer:
         self.logs = np.zeros((1 << 12, len(model.languages)))
 
     def learn(self, texts: list[list[str]]) -> None:
-        new = {w for words in texts for w in words if len(w) <= LONG_WORD and w not in self.known}
+        seen = set().union(*texts)
+        new = [w for w in seen.difference(self.known) if len(w) <= LONG_WORD]
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = {w for words in texts for w in words if len(w) <= LONG_WORD}
-        new = list(new)
+            new = [w for w in seen if len(w) <= LONG_WORD]
+        new.sort(key=len)  # words of like length share a batch of short lattices
         while len(self.known) + len(new) > len(self.logs):
             self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
         for i in range(0, len(new), 5000):
@@ -162,7 +181,8 @@ class Scorer:
         sums, scale = {0: np.ones(self.probability.shape[1])}, np.zeros(self.probability.shape[1])
         by_end: dict[int, list[tuple[int, int]]] = {}
         done = 0
-        for start, end, piece in self.lattice.edges(word):  # by ascending start
+        edges, _ = self.lattice.packed([word])
+        for start, end, piece in edges[np.argsort(edges[:, 1], kind="stable"), 1:].tolist():
             while done < start:
                 done += 1
                 sums[done] = sum((sums[s] * self.probability[p] for s, p in by_end.pop(done, ())), np.zeros(len(scale)))
@@ -176,9 +196,13 @@ class Scorer:
         return np.log(np.maximum(last, 1e-300)) + scale
 
     def text(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter((self.known[w] for w in words if len(w) <= LONG_WORD), dtype=np.int64)
+        longs = Counter()
+        if max(map(len, words)) > LONG_WORD:
+            longs = Counter(w for w in words if len(w) > LONG_WORD)
+            words = [w for w in words if len(w) <= LONG_WORD]
+        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         total = self.logs[at].sum(axis=0)
-        for word, n in Counter(w for w in words if len(w) > LONG_WORD).items():
+        for word, n in longs.items():
             total = total + n * self.long_word(word)
         return total
 
