@@ -56,6 +56,7 @@ RAW_TYPES = {
     "repowering": {"Latitude": "double", "Longitude": "double", "Capacity MW": "double"},
 }
 FACILITY_PREAMBLE = 5
+DYAD_METRES = 100_000.0
 TRACT_VINTAGES = (2013, 2023)
 
 
@@ -188,14 +189,29 @@ def build_metrics(ws: Workspace) -> None:
         ws.clean("tract_shapes_2023").withColumnRenamed("GEOID", "census_geoid"), "census_geoid")
     tracts = tracts.groupBy("observation_id").agg(F.min("census_geoid").alias("census_geoid"))
     capacity = equi_join(repowering.select("observation_id", "capacity_mw"), tracts, ["observation_id"]).drop("observation_id")
-    rollup = metrics.metric_rollup(
-        stack_rows(dollars, capacity, fill=True), "census_geoid", ["dollars", "capacity_mw"], levels.unionByName(districts))
+    areas = ws.clean("cbsa_to_tract").select(
+        "census_geoid", F.lit("cbsa").alias("level"), F.col("cbsa_name").alias("region"))
+    placed, values = stack_rows(dollars, capacity, fill=True), ["dollars", "capacity_mw"]
+    crosswalk = levels.unionByName(districts).unionByName(areas)
+    ws.write(metrics.unplaced_totals(placed, "census_geoid", values, crosswalk), "observations_without_region")
+    rollup = metrics.metric_rollup(placed, "census_geoid", values, crosswalk)
     ranked = ws.write(metrics.region_rank(rollup, {"dollars": 0.5, "capacity_mw": 0.5}), "region_ranks")
     flagged = metrics.competitive_regions(ranked.select("level", "region", "dollars", "capacity_mw"), ["dollars", "capacity_mw"])
     ws.write(metrics.ratio_by_region(flagged, "capacity_mw", "dollars", "mw_per_dollar"), "competitive_regions")
 
 
-STEPS = (build_geography, build_crosswalks, build_observations, build_consolidated, build_metrics)
+def build_dyads(ws: Workspace) -> None:
+    """Facilities and repowering candidates near each other."""
+    def places(df: DataFrame, kind: str, lon: str, lat: str, value: str) -> DataFrame:
+        placed = df.select(F.coalesce(F.col(kind), F.lit("NA")).alias("kind"), F.col(lon).alias("lon"), F.col(lat).alias("lat"), F.col(value).alias("value"))
+        return placed.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    facilities = places(ws.facilities(), "segment", "longitude", "latitude", "total_facility_capex_estimated")
+    candidates = places(ws.clean("repowering"), "technology", "longitude", "latitude", "capacity_mw")
+    dyads = ws.write(metrics.dyads(facilities, candidates, DYAD_METRES, value="value"), "dyads")
+    ws.write(metrics.dyad_summary(dyads), "dyad_summary")
+
+
+STEPS = (build_geography, build_crosswalks, build_observations, build_consolidated, build_metrics, build_dyads)
 
 
 def build_all(spark: SparkSession, raw: str, clean: str) -> Workspace:

@@ -44,6 +44,16 @@ def metric_rollup(observations: DataFrame, key: str, metrics: Sequence[str], cro
         F.sum("observations").alias("observations"), *[F.sum(m).cast("double").alias(m) for m in metrics])
 
 
+def unplaced_totals(observations: DataFrame, key: str, metrics: Sequence[str], crosswalk: DataFrame) -> DataFrame:
+    """What ``metric_rollup`` leaves out: per level, the observations whose key has no region there, and their totals."""
+    per_key = observations.groupBy(key).agg(F.count(F.lit(1)).alias("observations"), *[_total(m) for m in metrics])
+    known = crosswalk.filter(F.col("region").isNotNull()).groupBy(key).agg(F.collect_set("level").alias("__known"))
+    levels = crosswalk.agg(F.collect_set("level").alias("levels")).scalar()
+    joined = equi_join(per_key, known, [key], "left").withColumn(
+        "level", F.explode(F.array_except(levels, F.coalesce("__known", F.array().cast("array<string>")))))
+    return joined.groupBy("level").agg(F.sum("observations").alias("observations"), *[F.sum(m).cast("double").alias(m) for m in metrics])
+
+
 def _with_ranks(regions: DataFrame, metric: str, below: str, total: str, ties: str) -> DataFrame:
     """Regions of the same level with a smaller value, in all, and with the same value, from running counts over value ranges."""
     ranks = value_ranks(regions, "level", metric).select(

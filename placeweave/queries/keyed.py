@@ -291,7 +291,7 @@ WITH {COUNTY_SQL}, j AS (SELECT o_orderkey, c_mktsegment FROM orders LEFT JOIN c
 q AS (
   SELECT 'no_duplicate_rows' AS "check", 'county dims' AS subject, (SELECT count(*) FROM dims) - (SELECT count(*) FROM (SELECT DISTINCT * FROM dims)) AS value, 0 AS goal, '=' AS op
   UNION ALL SELECT 'same_row_count', 'county dims against the 1990 list', (SELECT count(*) FROM dims) - (SELECT count(*) FROM v90), 0, '='
-  UNION ALL SELECT 'unique_key', 'order to customer: right key', 0, 0, '='
+  UNION ALL SELECT 'unique_key', 'order to customer: right key', (SELECT count(*) FROM (SELECT 1 FROM customer GROUP BY c_custkey HAVING count(*) > 1)), 0, '='
   UNION ALL SELECT 'same_row_count', 'order to customer: rows', (SELECT count(*) FROM j) - (SELECT count(*) FROM orders), 0, '='
   UNION ALL SELECT 'surviving_share', 'counties of 2018 in 1990', (SELECT count(*) FROM v18)::DOUBLE / (SELECT count(*) FROM v90), 1, '>='
   UNION ALL SELECT 'key_coverage', 'lineitem parts', (SELECT avg(CASE WHEN l_partkey IN (SELECT p_partkey FROM part WHERE p_type <> 'PROMO') THEN 1.0 ELSE 0.0 END) FROM lineitem), 1, '>='

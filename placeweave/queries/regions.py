@@ -10,6 +10,8 @@ from placeweave.plans.crosswalks import points_to_regions
 from placeweave.queries.registry import (
     PLACE_SQL, geoid_of, place_of_nation, query, table, triangle_sql, triangles,
 )
+from placeweave.session import scratch_folder
+from placeweave.sources import readers, sinks
 
 
 def _observations(spark, sf_dir):
@@ -116,6 +118,37 @@ def capacity_by_district(spark, sf_dir):
     return _shown(metrics.metric_rollup(points, "vec_id", ["capacity_mw"], districts), "capacity_mw")
 
 
+@query(f"""
+WITH {ROLLUP_SQL},
+o AS (SELECT obs.*, c_mktsegment AS s FROM obs JOIN customer ON g = lpad(CAST(c_custkey AS VARCHAR), 11, '0'))
+SELECT level, count(*) AS observations, sum(dollars)::DECIMAL(20,6)::DOUBLE AS dollars, sum(capacity)::DOUBLE AS capacity
+FROM (SELECT 'tract' AS level, dollars, capacity FROM o WHERE s = 'BUILDING' UNION ALL SELECT 'county', dollars, capacity FROM o WHERE s IN ('BUILDING', 'MACHINERY')) GROUP BY 1
+""")
+def unplaced_by_level(spark, sf_dir):
+    """Observations that a crosswalk with gaps leaves without a region, level by level."""
+    tracts = _tracts(spark, sf_dir).join(
+        table(spark, sf_dir, "customer").select(geoid_of("c_custkey").alias("census_geoid"), "c_mktsegment"), "census_geoid")
+    known = tracts.filter(F.col("c_mktsegment") != "BUILDING").withColumn(
+        "county_name", F.when(F.col("c_mktsegment") != "MACHINERY", F.col("county_name")))
+    crosswalk = metrics.region_levels(known, "census_geoid", {"county": "county_name", "tract": "census_geoid"})
+    return _shown(metrics.unplaced_totals(_observations(spark, sf_dir), "census_geoid", ["dollars", "capacity"], crosswalk), "dollars")
+
+
+@query(f"""
+WITH {ROLLUP_SQL}
+SELECT sink, {SHOWN_SQL} FROM rollup_, (VALUES ('parquet'), ('text')) AS sinks(sink) WHERE level <> 'tract'
+""")
+def region_table_export(spark, sf_dir):
+    """The region table written as Parquet and as text, and read back from both."""
+    path = scratch_folder(spark, "region-export")
+    regions = _shown(_rollup(spark, sf_dir).filter(F.col("level") != "tract"), "dollars", "capacity")
+    sinks.write_parquet(regions, f"{path}/parquet")
+    sinks.write_text_table(regions, f"{path}/text")
+    types = {"observations": "long", "dollars": "double", "capacity": "double"}
+    text = readers.read_text_table(spark, f"{path}/text", regions.columns, types)
+    return readers.read_parquet(spark, f"{path}/parquet").withColumn("sink", F.lit("parquet")).unionByName(text.withColumn("sink", F.lit("text")))
+
+
 # --- dyads -----------------------------------------------------------------------------------
 
 RADIUS = 400_000.0

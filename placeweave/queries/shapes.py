@@ -12,6 +12,8 @@ from placeweave.plans import crosswalks, geography
 from placeweave.queries.registry import (
     STATE_SQL, query, raw_state, table, triangle_pairs_sql, triangle_sql, triangles,
 )
+from placeweave.session import scratch_folder
+from placeweave.sources import readers, sinks
 
 
 @query(f"""
@@ -124,6 +126,24 @@ def point_in_triangle(spark, sf_dir):
     return points_within(points, triangles(spark, sf_dir).select(F.col("vec_id").alias("id"), "geometry"))
 
 
+@query(f"""
+WITH {triangle_sql('tri')}
+SELECT lpad(CAST(label + 1 AS VARCHAR), 2, '0') AS state_fips, 4 AS vertices, ax AS first_x, 4269 AS srid,
+       printf('POLYGON ((%.4f %.4f, %.4f %.4f, %.4f %.4f, %.4f %.4f))', ax, ay, bx, by_, cx, cy, ax, ay) AS wkt FROM tri
+""")
+def state_shapes(spark, sf_dir):
+    """State shapes written as features, then read back as structs and as WKT text; both agree."""
+    path = scratch_folder(spark, "states")
+    raw = triangles(spark, sf_dir).select(F.lpad((F.col("label") + 1).cast("string"), 2, "0").alias("STATEFP"), "geometry")
+    sinks.write_features(geography.state_shapes(raw), path, "state_fips")
+    kept = readers.read_parquet(spark, f"{path}/shapes").select("state_fips", to_wkt("geometry", 4).alias("wkt"))
+    parsed = readers.read_wkt_table(spark, f"{path}/wkt", ["state_fips", "geometry_wkt"], "geometry_wkt")
+    shown = parsed.select("state_fips", to_wkt("geometry", 4).alias("wkt"), F.size(vertices("geometry")).alias("vertices"),
+                          vertices("geometry")[0]["x"].alias("first_x"), "srid")
+    both = shown.join(kept.groupBy("state_fips", "wkt").agg(F.count("*").alias("stored")), ["state_fips", "wkt"])
+    return both.select("state_fips", "vertices", "first_x", "srid", "wkt")
+
+
 # --- crosswalks -------------------------------------------------------------------------------
 
 HIGH = (5, 6, 7, 8, 9)  # regions; the other labels are tracts
