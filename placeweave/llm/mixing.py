@@ -133,12 +133,14 @@ def mixed_to_weights(docs: DataFrame, *, text: str = "text", lang: str = "lang",
     """
     levels = list(LEVELS)
     placed = _placed(docs, text, lang, source, key)
-    counted = placed.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
+    # Tokens are counted once for budgets and cuts; those steps read this narrow table and no text.
+    narrow = stored(placed.select(*levels, "tokens", "id"), "mix-tokens")
+    counted = narrow.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
     leaves = leaf_budgets(stored(counted, "mix-leaves"), levels=LEVELS, weights=weights, percent=percent, epochs=epochs).select(
         *levels, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest"),
         F.ceil(F.col("docs") / rows_per_bucket).alias("buckets"))
     leaves = stored(leaves, "mix-budgets")
-    cuts = stored(leaves.join(_cuts(placed, leaves, levels, seed), levels, "left").select(*levels, "whole", "cut"), "mix-cuts")
+    cuts = stored(leaves.join(_cuts(narrow, leaves, levels, seed), levels, "left").select(*levels, "whole", "cut"), "mix-cuts")
     chosen = placed.join(cuts, levels)
     copies = F.col("whole") + F.when(_order_key(seed) <= F.col("cut"), 1).otherwise(0)
     chosen = chosen.withColumn("copies", copies.cast("long")).where("copies > 0")
