@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import re
-import string
 
 import numpy as np
 import xxhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SHINGLE = 5
 # Words whose hash a task remembers; beyond that it forgets them all and starts anew.
 REMEMBERED = 200_000
@@ -21,7 +19,8 @@ _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").translate(LOWER))
+    # Bytes know only ASCII letters, so this lower-cases A-Z and nothing else.
+    return WORD.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
 
 
 def shingle_set(words: list[str], size: int = SHINGLE) -> set[tuple[str, ...]]:
