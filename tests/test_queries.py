@@ -42,8 +42,8 @@ def test_query(spark, tool, connection, name):
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert banned not in plan, banned
     for window in windows_over_everything(plan):
-        # One row per file is numbered in one task: the listing is all there is.
-        assert "__file" in window, window
+        # One row per file or per partition is numbered in one task: the listing is all there is.
+        assert "__file" in window or "__part" in window, window
 
 
 def windows_over_everything(plan):
@@ -60,4 +60,5 @@ def test_every_query_has_sql():
 
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    # Optional queries may go without SQL where it cannot express them.
+    assert set(QUERIES) <= contract.oracle_sql().keys() <= contract.queries().keys()
