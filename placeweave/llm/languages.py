@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeweave.llm.shared import query, stored, table
+from placeweave.session import counted_side
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 UNDETERMINED = "und"
@@ -214,7 +215,7 @@ def train(docs: DataFrame, *, text: str = "text", label: str = "lang", key: str
     rows = docs.select(F.col(text).alias("text"), F.col(label).alias("label"), F.col(key).alias("key")).where("label IS NOT NULL AND key IS NOT NULL")
     sizes = rows.groupBy("label").agg(F.count("*").alias("rows"))
     draw = F.pmod(F.xxhash64(F.col("key").cast("string"), F.lit("languages")), F.lit(1_000_000))
-    sample = rows.join(sizes, "label").where(draw * F.col("rows") < F.lit(sample_rows) * 1_000_000).select("label", "text")
+    sample = rows.join(counted_side(sizes), "label").where(draw * F.col("rows") < F.lit(sample_rows) * 1_000_000).select("label", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
