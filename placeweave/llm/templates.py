@@ -2,14 +2,14 @@
 
 Both sides are cut into windows of ``WINDOW`` tokens. Each window is hashed plainly (lower-cased words; numbers and units as
 placeholders) and, where it holds a name, once more with the names as placeholders, so re-cased copies and re-named
-questions are both met. A bitmap of fixed size, built from the benchmark's windows, lets a scanning task drop nearly all of a document's
+questions are both met. A window with too few other words is hashed with its numbers and units as they are, and an item shorter than a window
+as one window of its own length, word for word. A bitmap of fixed size, built from the benchmark's windows, lets a scanning task drop nearly all of a document's
 windows at once; what is left is hash-joined with the benchmark. For a text and an item the windows must line up, cover most of the
 item, and fill its slots consistently: one value of the item always with the same value of the text, and the other way round.
 
 A name is a capitalised word that does not begin a sentence. A unit is one of a fixed list, right after a number.
 
-Rows: a null or empty text has no windows and is clean; so is a benchmark item with fewer tokens than a window never found. Texts are
-judged once however many rows carry them; repeated rows and repeated items share one verdict. A row without identifier is judged like any other.
+Rows: a null or empty text has no windows and is clean; a benchmark item without tokens is never found. Texts are judged once however many rows carry them; repeated rows and repeated items share one verdict. A row without identifier is judged like any other.
 Other columns are passed on unread. An empty table on either side finds nothing.
 """
 
@@ -47,11 +47,17 @@ _ENDS = frozenset(".!?\n")
 _MARKS = frozenset("%$€£°")
 _NUM, _NAME, _UNIT = (np.uint64(xxhash.xxh3_64_intdigest(f"<{kind}>")) for kind in ("num", "name", "unit"))
 _TIMES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(WINDOW)], dtype=np.uint64)
+# Where the hash of a window of so many tokens as they are starts from; templates start from zero.
+_AS_IT_IS = np.array([xxhash.xxh3_64_intdigest(f"<as it is {n}>") for n in range(WINDOW + 1)], dtype=np.uint64)
 _END, _CAPITAL, _NUMBER, _UNITWORD, _MARK = 1, 2, 4, 8, 16
 
 WINDOWS = "whole binary, hash long, pos int, slots array<string>"
 
 
+def _words(text: str | None) -> list[str]:
+    return [t for t in _TOKEN.findall(text or "") if t not in _ENDS]
+
+
 class Canonical:
     """Cuts texts into windows; remembers the tokens it has met."""
 
@@ -73,8 +79,11 @@ class Canonical:
             i = self.known[t] = len(self.known)
             self.kinds[i], self.hashes[i] = kind, xxhash.xxh3_64_intdigest(word)
 
-    def windows(self, text: str | None) -> tuple[np.ndarray, np.ndarray, callable]:
-        """Hashes, token positions, and a function that lists the slots of the i-th window as ``place:type:value``."""
+    def windows(self, text: str | None, short: tuple[int, ...] | None = None) -> tuple[np.ndarray, np.ndarray, callable]:
+        """Hashes, token positions, and a function that lists the slots of the i-th window as ``place:type:value``.
+
+        ``short`` lists the sizes below ``WINDOW`` to cut too; by default, a text with fewer tokens is one window.
+        """
         tokens = _TOKEN.findall(text or "")
         self._learn(tokens)
         ids = np.fromiter(map(self.known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
@@ -83,9 +92,22 @@ class Canonical:
         is_word = (kind & _END) == 0
         at = np.nonzero(is_word)[0]
         kind, begins, ids = kind[at], begins[at], ids[at]
-        runs = len(at) - WINDOW + 1
+        spread, n = mixed(hashes[ids]), len(at)
+
+        def as_it_is(begin: np.ndarray, size: int) -> np.ndarray:
+            total = np.full(len(begin), _AS_IT_IS[size])
+            for i in range(size):
+                total += spread[begin + i] * _TIMES[i]
+            return mixed(total)
+        if short is None:
+            short = (n,) if 0 < n < WINDOW else ()
+        small = [(np.arange(n - size + 1), size) for size in short if n >= size]
+        small_pos = np.concatenate([np.empty(0, np.int64), *(x for x, _ in small)])
+        with np.errstate(over="ignore"):
+            small_hash = np.concatenate([np.empty(0, np.uint64), *(as_it_is(x, size) for x, size in small)])
+        runs = n - WINDOW + 1
         if runs < 1:
-            return np.empty(0, np.uint64), np.empty(0, np.int64), lambda i: []
+            return small_hash, small_pos, lambda i: []
         number = (kind & _NUMBER) > 0
         beside = np.concatenate([[False], number[:-1]])
         unit = ((kind & _UNITWORD) > 0) & beside | ((kind & _MARK) > 0)
@@ -103,17 +125,23 @@ class Canonical:
             named_hash, named_slots = over(np.where(name, _NAME, plain), (number | unit | name).astype(np.int64))
         use_plain = np.nonzero(plain_slots <= WINDOW - MIN_LITERALS)[0]
         use_named = np.nonzero((named_slots > plain_slots) & (named_slots <= WINDOW - MIN_LITERALS))[0]
-        first_named = len(use_plain)
-        pos = np.concatenate([use_plain, use_named])
+        use_literal = np.nonzero(plain_slots > WINDOW - MIN_LITERALS)[0]
+        with np.errstate(over="ignore"):
+            literal_hash = as_it_is(use_literal, WINDOW)
+        first_named, first_literal = len(use_plain), len(use_plain) + len(use_named)
+        first_small = first_literal + len(use_literal)
+        pos = np.concatenate([use_plain, use_named, use_literal, small_pos])
 
         def slots(i: int) -> list[str]:
             start, out = pos[i], []
+            if i >= first_small:
+                return out
             for j in range(start, start + WINDOW):
-                kind_of = "num" if number[j] else "unit" if unit[j] else "name" if i >= first_named and name[j] else None
+                kind_of = "num" if number[j] else "unit" if unit[j] else "name" if first_named <= i < first_literal and name[j] else None
                 if kind_of:
                     out.append(f"{j - start}:{kind_of}:{tokens[at[j]].lower()}")
             return out
-        return np.concatenate([plain_hash[use_plain], named_hash[use_named]]), pos, slots
+        return np.concatenate([plain_hash[use_plain], named_hash[use_named], literal_hash, small_hash]), pos, slots
 
 
 def benchmark_windows(items: DataFrame, *, text: str = "text", key: str = "item_id") -> DataFrame:
@@ -124,7 +152,7 @@ def benchmark_windows(items: DataFrame, *, text: str = "text", key: str = "item_
             out = []
             for item, t in zip(batch["item_id"], batch["text"], strict=True):
                 hashes, pos, slots = canonical.windows(t)
-                tokens = int(pos.max()) + WINDOW if len(pos) else 0
+                tokens = len(_words(t))
                 out += [(h, item, int(p), slots(i), tokens) for i, (h, p) in enumerate(zip(hashes.view(np.int64), pos, strict=True))]
             yield pd.DataFrame(out, columns=["hash", "item_id", "item_pos", "item_slots", "n_tokens"])
     rows = items.select(F.col(key).cast("long").alias("item_id"), F.col(text).alias("text")).where("item_id IS NOT NULL")
@@ -143,8 +171,8 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return bits
 
 
-def text_windows(docs: DataFrame, bits: np.ndarray, *, text: str = "text") -> DataFrame:
-    """The windows of every text that the bitmap lets through; ``whole`` is the text's MD5."""
+def text_windows(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...] = (), *, text: str = "text") -> DataFrame:
+    """The windows of every text that the bitmap lets through, those of the ``short`` sizes too; ``whole`` is the text's MD5."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -152,7 +180,7 @@ def text_windows(docs: DataFrame, bits: np.ndarray, *, text: str = "text") -> Da
         for batch in batches:
             out = []
             for whole, t in zip(batch["whole"], batch["text"], strict=True):
-                hashes, pos, slots = canonical.windows(t)
+                hashes, pos, slots = canonical.windows(t, short)
                 bit = hashes.view(np.int64) % BITMAP_BITS
                 for i in np.nonzero((known[bit >> 3] >> (bit & 7)) & 1)[0]:
                     out.append((whole, hashes[i].view(np.int64), int(pos[i]), slots(i)))
@@ -184,7 +212,7 @@ def best_alignment(hits: list[tuple], tokens: int) -> tuple[float, bool]:
         consistent, anew = _slots_agree(run)
         if not consistent:
             run, anew = [h for h in run if list(h[2]) == list(h[3])], False
-        covered = len({p + i for _, p, _, _ in run for i in range(WINDOW)})
+        covered = len({p + i for _, p, _, _ in run for i in range(min(WINDOW, tokens))})
         best = max(best, (covered / tokens, anew))
     return best
 
@@ -205,7 +233,8 @@ def leaked_texts(docs: DataFrame, items: DataFrame, *, text: str = "text", item_
                  coverage: float = COVERAGE) -> DataFrame:
     """whole (MD5 of a text), item_id, coverage and reparameterised for every text that holds a benchmark item."""
     windows = stored(benchmark_windows(items, text=item_text, key=item_key), "benchmark-windows")
-    found = text_windows(docs, _bitmap(windows), text=text).distinct()
+    short = tuple(sorted(n for n, in windows.where(F.col("n_tokens") < WINDOW).select("n_tokens").distinct().collect()))
+    found = text_windows(docs, _bitmap(windows), short, text=text).distinct()
     hits = (found.join(windows, "hash").groupBy("whole", "item_id", "n_tokens")
             .agg(F.collect_set(F.struct((F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", "slots", "item_slots")).alias("hits")))
     judged = hits.mapInPandas(_judged, "whole binary, item_id long, coverage double, reparameterised boolean")

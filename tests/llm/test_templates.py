@@ -50,3 +50,12 @@ def test_alignment_needs_one_offset():
     spread = [(i * 100, i, [], []) for i in range(20)]
     assert best_alignment(spread, 25)[0] == WINDOW / 25
     assert best_alignment([(7, i, [], []) for i in range(20)], 25)[0] == 1.0
+
+
+def test_number_lists_sums_and_short_items_are_met(spark, docs_of):
+    numbers = " ".join(str(17 + 29 * i) for i in range(20))
+    bench = [(1, "17 23 45 9 81 12 64 33"), (2, f"Sort these values now {numbers} from least to most"), (3, "What is 17 plus 25?"), (4, "12 + 30 = 42 and 7 + 9 = 16")]
+    rows = [(i, f"{words(i, 30)}. {t} {words(10 + i, 30)}") for i, t in bench]
+    rows += [(11, "17 23 45 9 82 12 64 33"), (12, "Sort these values now 1 2 3 4 5 6 7 8 from least to most"), (13, "What is 18 plus 25?"), (14, words(9, 200))]
+    got = {(r.doc_id, r.item_id, r.reparameterised) for r in leaks(docs_of(rows), items(spark, bench)).collect()}
+    assert got == {(i, i, False) for i, _ in bench}
