@@ -43,6 +43,8 @@ UNWANTED = (
     "ads-server.example.com/en/10", "track-ads.example.org/de/45", "ads-tracking.example.com/en/86", "www.ad-track.example.org/en/29",
     "click-track.example.com/fr/17", "adserver-track.example.net/en/501", "banner-ads.example.org/en/63", "pop-ads.example.com/es/74",
     "tracker-ads.example.com/en/39.html", "win-prize.example.org/en/52", "free-money-win.example.com/en/88", "cheap-replica.example.org/en/40",
+    "www.grand-casino.com/play/3", "m.cheappills.net/en/14", "bestcasino.org/slots/8", "www.pills-direct.com/shop/2", "m.casinobets.net/en/70",
+    "www.adultcams.com/de/5", "spamlinks.org/fr/33", "www.trackads.net/en/91", "poker-casino.com/en/6", "www.buypills.org/es/12",
 )
 WANTED = (
     "www.library.example.org/en/12", "garden.example.com/en/33", "blog.travel-notes.example.com/fr/8", "weather.example.org/de/4",
@@ -60,7 +62,8 @@ WANTED = (
     "www.university.example.com/en/130", "island.example.org/en/44", "railway.example.com/fr/65", "birds.example.org/es/10",
     "www.gather.example.com/en/35", "whether.example.org/en/48", "either.example.com/de/69", "together.example.org/en/21",
     "hearth.example.com/en/6", "breath.example.org/fr/15", "ethnic.example.com/en/40", "method.example.org/en/112",
-    "ththan.example.com/en/30", "tionthe.example.org/es/72", "thernd.example.com/fr/24", "ontherly.example.org/de/81",
+    "www.citylibrary.com/en/3", "m.gardening.net/en/14", "schoolmuseum.org/en/8", "www.weather-direct.com/news/2", "m.mountainbikes.net/en/70",
+    "www.newspapers.com/de/5", "universitypress.org/fr/33", "www.railways.net/en/91", "science-history.com/en/6", "www.kitchens.org/es/12",
 )
 
 
@@ -92,8 +95,7 @@ def _grams(host: Column, path: Column) -> Column:
             if n in SIZES:
                 out.append(F.transform(grams, lambda g: F.concat(F.lit(tag), g)))
         return out
-    # The last two labels of a host name the registry and the owner's domain, not the site.
-    site = F.concat(F.lit("^"), F.regexp_replace(host, r"\.[^.]*\.[^.]*$", ""), F.lit("$"))
+    site = F.concat(F.lit("^"), host, F.lit("$"))
     words = F.concat(F.lit("^"), F.regexp_replace(path, r"[0-9]+", "0"), F.lit("$"))
     return F.array_distinct(F.flatten(F.array(*cut(site, "h"), *cut(words, "p"))))
 

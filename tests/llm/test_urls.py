@@ -47,3 +47,11 @@ def test_empty_table_and_native_plan(spark, model):
     assert judged.count() == 0
     plan = judged._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_the_registered_name_counts(spark):
+    wanted = ["www.library.com", "m.museum.net", "www.gardens.org", "www.weather.com"]
+    unwanted = ["www.casino.com", "m.pills.net", "www.casinos.org", "m.casino-royal.com"]
+    rows = [(f"https://{h}/en/{i}",) for i, h in enumerate(wanted + unwanted)]
+    got = {r.host: r.verdict for r in judge(spark.createDataFrame(rows, "url string"), train(labelled_urls(spark)), rules=()).collect()}
+    assert got == {h: "allow" for h in wanted} | {h: "block" for h in unwanted}
