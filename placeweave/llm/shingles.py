@@ -58,7 +58,7 @@ class Hasher:
         """Sorted distinct hashes of the text's shingles."""
         if not words:
             return np.empty(0, dtype=np.uint64)
-        if len(words) <= SHINGLE:
+        if len(words) < SHINGLE:
             return np.array([xxhash.xxh3_64_intdigest("\n".join(words))], dtype=np.uint64)
         h = self.words(words)
         runs = len(words) - SHINGLE + 1
