@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from textwrap import dedent
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +48,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; every other character stays as it is."""
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+
+
+def slices(batches: Iterator[pd.DataFrame], rows: int = 256) -> Iterator[pd.DataFrame]:
+    """Arrow batches in smaller frames, so that what a task makes of them stays small whatever the batch size."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start:start + rows]
