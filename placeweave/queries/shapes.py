@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placeweave.functions.geometry import from_wkt, mercator_x, mercator_y, point, to_wkt, vertices
+from placeweave.functions.geometry import from_wkt, mercator_x, mercator_y, point, polygon, to_wkt, vertices
 from placeweave.operators.quality import unmatched
 from placeweave.operators.rank import scan_row_id
 from placeweave.operators.spatial import crop, points_within, polygons_intersect
@@ -113,6 +113,46 @@ def triangle_intersects(spark, sf_dir):
     return polygons_intersect(low, "left_id", high, "right_id")
 
 
+# Corners on a grid of 1/64 m; the touching corner is a place along an edge, rounded down to the grid: on the edge, or within a unit of it.
+_CORNERS = {name: [f"CAST(floor(CAST({{e}}[{{i{i}}}] AS DOUBLE) * 536870912) AS BIGINT) + 2147483648", f"CAST(floor(CAST({{e}}[{{i{i + 1}}}] AS DOUBLE) * 536870912) AS BIGINT) + 2147483648"]
+            for name, i in (("a", 0), ("b", 2), ("c", 4))}
+
+
+def _corner_columns(first: int) -> str:
+    """The corners' grid coordinates; ``first`` is the number of an array's first element."""
+    numbers = {f"i{i}": i + first for i in range(6)}
+    return ", ".join(f"{text.format(e='embedding', **numbers)} AS {name}{axis}" for name, texts in _CORNERS.items() for axis, text in zip("xy", texts))
+
+
+_EDGE_PLACE = "({a} * (97 - vec_id % 97) + {b} * (vec_id % 97)) {div} 97"
+
+
+@query(f"""
+WITH corner AS (SELECT vec_id, {_corner_columns(1)} FROM embeddings),
+tract AS (SELECT vec_id, ax::HUGEINT AS ax, ay::HUGEINT AS ay, bx::HUGEINT AS bx, by::HUGEINT AS by_, cx::HUGEINT AS cx, cy::HUGEINT AS cy
+          FROM corner WHERE vec_id % 3 = 0),
+place AS (SELECT *, {_EDGE_PLACE.format(a='ax', b='bx', div='//')} AS px, {_EDGE_PLACE.format(a='ay', b='by', div='//')} AS py FROM corner WHERE vec_id % 3 = 0),
+neighbour AS (SELECT vec_id, px::HUGEINT AS ax, py::HUGEINT AS ay, (px - cx + ax)::HUGEINT AS bx, (py - cy + ay)::HUGEINT AS by_,
+                     (px - cx + bx)::HUGEINT AS cx, (py - cy + by)::HUGEINT AS cy FROM place),
+{triangle_pairs_sql('tract', 'neighbour')}
+SELECT l AS tract_id, r AS neighbour_id, l = r AS own FROM pairs
+""")
+def touching_neighbours(spark, sf_dir):
+    """Neighbours that reach a tract's edge with one corner, or miss it by less than a grid unit, at coordinates of Web Mercator's size.
+
+    The SQL compares whole grid numbers in 128-bit integers; here they are metres in doubles, whose plain products are too short for it.
+    """
+    grid = table(spark, sf_dir, "embeddings").where("vec_id % 3 = 0").selectExpr("vec_id", *_corner_columns(0).split(", "))
+    grid = grid.selectExpr("*", f"{_EDGE_PLACE.format(a='ax', b='bx', div='div')} AS px", f"{_EDGE_PLACE.format(a='ay', b='by', div='div')} AS py")
+
+    def metres(x: str, y: str):
+        return F.expr(f"({x}) / 64D"), F.expr(f"({y}) / 64D")
+    tracts = grid.select(F.col("vec_id").alias("tract_id"), polygon(metres("ax", "ay"), metres("bx", "by"), metres("cx", "cy")).alias("geometry"))
+    neighbours = grid.select(F.col("vec_id").alias("neighbour_id"), polygon(
+        metres("px", "py"), metres("px - cx + ax", "py - cy + ay"), metres("px - cx + bx", "py - cy + by")).alias("geometry"))
+    return polygons_intersect(tracts, "tract_id", neighbours, "neighbour_id").withColumn("own", F.col("tract_id") == F.col("neighbour_id"))
+
+
 @query(f"""
 WITH {triangle_sql('t')}, p AS (SELECT vec_id AS id, embedding[7]::DOUBLE AS x, embedding[8]::DOUBLE AS y FROM embeddings),
 s AS (SELECT p.id AS point_id, t.vec_id AS id, sign((bx - ax) * (y - ay) - (by_ - ay) * (x - ax)) AS s1,

@@ -82,6 +82,16 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="placeweave-")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read again: a columnar table, of which later uses read what they need.
+
+    Cuts the lineage, and its source is read once.
+    """
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Checkpoint ``df``, so that every later use sees the same rows.
 
