@@ -121,7 +121,7 @@ _CORNERS = {name: [f"CAST(floor(CAST({{e}}[{{i{i}}}] AS DOUBLE) * 536870912) AS
 def _corner_columns(first: int) -> str:
     """The corners' grid coordinates; ``first`` is the number of an array's first element."""
     numbers = {f"i{i}": i + first for i in range(6)}
-    return ", ".join(f"{text.format(e='embedding', **numbers)} AS {name}{axis}" for name, texts in _CORNERS.items() for axis, text in zip("xy", texts))
+    return ", ".join(f"{text.format(e='embedding', **numbers)} AS {name}{axis}" for name, texts in _CORNERS.items() for axis, text in zip("01", texts))
 
 
 _EDGE_PLACE = "({a} * (97 - vec_id % 97) + {b} * (vec_id % 97)) {div} 97"
@@ -129,27 +129,27 @@ _EDGE_PLACE = "({a} * (97 - vec_id % 97) + {b} * (vec_id % 97)) {div} 97"
 
 @query(f"""
 WITH corner AS (SELECT vec_id, {_corner_columns(1)} FROM embeddings),
-tract AS (SELECT vec_id, ax::HUGEINT AS ax, ay::HUGEINT AS ay, bx::HUGEINT AS bx, by::HUGEINT AS by_, cx::HUGEINT AS cx, cy::HUGEINT AS cy
+tract AS (SELECT vec_id, a0::HUGEINT AS ax, a1::HUGEINT AS ay, b0::HUGEINT AS bx, b1::HUGEINT AS by_, c0::HUGEINT AS cx, c1::HUGEINT AS cy
           FROM corner WHERE vec_id % 3 = 0),
-place AS (SELECT *, {_EDGE_PLACE.format(a='ax', b='bx', div='//')} AS px, {_EDGE_PLACE.format(a='ay', b='by', div='//')} AS py FROM corner WHERE vec_id % 3 = 0),
-neighbour AS (SELECT vec_id, px::HUGEINT AS ax, py::HUGEINT AS ay, (px - cx + ax)::HUGEINT AS bx, (py - cy + ay)::HUGEINT AS by_,
-                     (px - cx + bx)::HUGEINT AS cx, (py - cy + by)::HUGEINT AS cy FROM place),
+place AS (SELECT *, {_EDGE_PLACE.format(a='a0', b='b0', div='//')} AS p0, {_EDGE_PLACE.format(a='a1', b='b1', div='//')} AS p1 FROM corner WHERE vec_id % 3 = 0),
+neighbour AS (SELECT vec_id, p0::HUGEINT AS ax, p1::HUGEINT AS ay, (p0 - c0 + a0)::HUGEINT AS bx, (p1 - c1 + a1)::HUGEINT AS by_,
+                     (p0 - c0 + b0)::HUGEINT AS cx, (p1 - c1 + b1)::HUGEINT AS cy FROM place),
 {triangle_pairs_sql('tract', 'neighbour')}
 SELECT l AS tract_id, r AS neighbour_id, l = r AS own FROM pairs
 """)
 def touching_neighbours(spark, sf_dir):
-    """Neighbours that reach a tract's edge with one corner, or miss it by less than a grid unit, at coordinates of Web Mercator's size.
+    """Neighbours that reach a tract's edge with one corner, or miss it b1 less than a grid unit, at coordinates of Web Mercator's size.
 
     The SQL compares whole grid numbers in 128-bit integers; here they are metres in doubles, whose plain products are too short for it.
     """
     grid = table(spark, sf_dir, "embeddings").where("vec_id % 3 = 0").selectExpr("vec_id", *_corner_columns(0).split(", "))
-    grid = grid.selectExpr("*", f"{_EDGE_PLACE.format(a='ax', b='bx', div='div')} AS px", f"{_EDGE_PLACE.format(a='ay', b='by', div='div')} AS py")
+    grid = grid.selectExpr("*", f"{_EDGE_PLACE.format(a='a0', b='b0', div='div')} AS p0", f"{_EDGE_PLACE.format(a='a1', b='b1', div='div')} AS p1")
 
     def metres(x: str, y: str):
         return F.expr(f"({x}) / 64D"), F.expr(f"({y}) / 64D")
-    tracts = grid.select(F.col("vec_id").alias("tract_id"), polygon(metres("ax", "ay"), metres("bx", "by"), metres("cx", "cy")).alias("geometry"))
+    tracts = grid.select(F.col("vec_id").alias("tract_id"), polygon(metres("a0", "a1"), metres("b0", "b1"), metres("c0", "c1")).alias("geometry"))
     neighbours = grid.select(F.col("vec_id").alias("neighbour_id"), polygon(
-        metres("px", "py"), metres("px - cx + ax", "py - cy + ay"), metres("px - cx + bx", "py - cy + by")).alias("geometry"))
+        metres("p0", "p1"), metres("p0 - c0 + a0", "p1 - c1 + a1"), metres("p0 - c0 + b0", "p1 - c1 + b1")).alias("geometry"))
     return polygons_intersect(tracts, "tract_id", neighbours, "neighbour_id").withColumn("own", F.col("tract_id") == F.col("neighbour_id"))
 
 
