@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from placeweave.functions.text import missing
 from placeweave.operators.joins import equi_join, member_flag
 from placeweave.operators.rank import lump_levels
-from placeweave.session import counted_side
+from placeweave.session import counted_side, stored
 
 
 def row_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -197,14 +197,25 @@ def _ranked(rows: DataFrame, sizes: DataFrame, group: str, value: str) -> DataFr
     return placed.select(group, value, "n", (F.col("__before") + F.col("__offset")).alias("below"), "total")
 
 
-def value_ranks(df: DataFrame, group: str, value: str, rows_per_block: int = 1_000_000) -> DataFrame:
-    """Per group and distinct value: its count ``n``, the rows below it ``below`` and the group size ``total``.
+def value_ranks(df: DataFrame, group: str | Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
+    """Per group (one or several columns) and distinct value: its count ``n``, the rows below it ``below`` and the group size ``total``.
 
-    Running counts are taken inside a value range and offset by the ranges below it, and equal values
-    are counted before they move, so no task sees a whole group.
+    Equal values are counted before they move. The counts are range-sorted over all groups and written once, and a value's rank is the
+    rows of its group in earlier ranges, one small sum a range and group, plus a running count inside its own range: however
+    many rows a group holds, no task sees more than a range.
     """
-    rows, sizes = _blocked(df, group, value, rows_per_block)
-    return _ranked(rows, sizes, group, value)
+    groups = [group] if isinstance(group, str) else list(group)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange(*([partitions] if partitions else []), *groups, value)
+    placed = stored(ranged.withColumn("__part", F.spark_partition_id()), "value-ranges")
+    sums = placed.groupBy(*groups, "__part").agg(F.sum("n").alias("__size"))
+    lower = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*groups, "__part", F.coalesce(F.sum("__size").over(lower), F.lit(0)).alias("__offset"),
+                          F.sum("__size").over(Window.partitionBy(*groups)).alias("total"))
+    inside = Window.partitionBy("__part", *groups).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    running = placed.withColumn("__before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    joined = equi_join(running, offsets, ["__part", *groups])
+    return joined.select(*groups, value, "n", (F.col("__before") + F.col("__offset")).alias("below"), "total")
 
 
 def exact_quantiles(df: DataFrame, group: str, value: str, quantiles: Mapping[str, float],

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from placeweave.operators.joins import equi_join
-from placeweave.session import counted_side, pinned, scratch_folder
+from placeweave.session import counted_side, pinned, scratch_folder, stored
 
 
 def highest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -109,17 +109,17 @@ def ordered_row_id(df: DataFrame, order: Sequence[Column], row_id: str = "rowid"
     running = F.monotonically_increasing_id()  # the partition above, the place in it in the low 33 bits
     placed = df.orderBy(*order).withColumn("__running", running)
     placed.write.parquet(path)
-    stored = df.sparkSession.read.schema(placed.schema).parquet(path).withColumn("__part", F.shiftright("__running", 33))
-    return _numbered(stored, F.col("__running").bitwiseAND((1 << 33) - 1), row_id, first).drop("__running")
+    written = df.sparkSession.read.schema(placed.schema).parquet(path).withColumn("__part", F.shiftright("__running", 33))
+    return _numbered(written, F.col("__running").bitwiseAND((1 << 33) - 1), row_id, first).drop("__running")
 
 
-def _numbered(stored: DataFrame, place: Column, row_id: str, first: int) -> DataFrame:
+def _numbered(written: DataFrame, place: Column, row_id: str, first: int) -> DataFrame:
     """``first`` plus the rows of earlier ``__part`` numbers plus the row's ``place`` in its own."""
-    sizes = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
+    sizes = written.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
     return (
-        equi_join(stored, F.broadcast(offsets), ["__part"], missing_matches=False)  # one row a partition
+        equi_join(written, F.broadcast(offsets), ["__part"], missing_matches=False)  # one row a partition
         .withColumn(row_id, F.col("__offset") + place + first)
         .drop("__part", "__offset")
     )
@@ -128,13 +128,21 @@ def _numbered(stored: DataFrame, place: Column, row_id: str, first: int) -> Data
 def text_row_id(df: DataFrame, row_id: str = "rowid", first: int = 1) -> DataFrame:
     """``scan_row_id`` for a frame read directly from text files, whose reader gives no row positions.
 
-    A block is read in order by one task, so file, block and the running id of the task order all rows.
+    A block is read in order by one task, so a row's place in its block is its running id less the block's smallest one, and the rows of
+    earlier files and blocks come on top: one sum a block. The rows are written once and neither sorted nor shuffled.
     """
-    located = df.select(
-        "*", F.col("_metadata.file_path").alias("__source"), F.col("_metadata.file_block_start").alias("__source_block"),
-        F.monotonically_increasing_id().alias("__source_place"))
-    places = [*_file_order(F.col("__source")), F.col("__source_block"), F.col("__source_place")]
-    return ordered_row_id(located, places, row_id, first).drop("__source", "__source_block", "__source_place")
+    located = stored(df.select(
+        "*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__running")), "text-rows")
+    sizes = located.groupBy("__file", "__block").agg(
+        F.first("__path").alias("__path"), F.min("__running").alias("__begin"), F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy(*_file_order(F.col("__path")), "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted_side(sizes.select("__file", "__block", "__begin", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")))
+    return (
+        equi_join(located.drop("__path"), offsets, ["__file", "__block"], missing_matches=False)
+        .withColumn(row_id, F.col("__offset") + F.col("__running") - F.col("__begin") + first)
+        .drop("__file", "__block", "__running", "__begin", "__offset")
+    )
 
 
 def seeded_sample(df: DataFrame, n: int, key: Sequence[str], seed: str) -> DataFrame:

@@ -11,12 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from placeweave.operators.aggregate import exact_quantiles, value_ranks
+from placeweave.operators.aggregate import value_ranks
 from placeweave.operators.joins import equi_join
 from placeweave.operators.spatial import places_within
-from placeweave.session import pinned
+from placeweave.session import stored
 
 
 def _total(metric: str) -> Column:
@@ -54,37 +53,46 @@ def unplaced_totals(observations: DataFrame, key: str, metrics: Sequence[str], c
     return joined.groupBy("level").agg(F.sum("observations").alias("observations"), *[F.sum(m).cast("double").alias(m) for m in metrics])
 
 
-def _with_ranks(regions: DataFrame, metric: str, below: str, total: str, ties: str) -> DataFrame:
-    """Regions of the same level with a smaller value, in all, and with the same value, from running counts over value ranges."""
-    ranks = value_ranks(regions, "level", metric).select(
-        "level", metric, F.col("below").alias(below), F.col("total").alias(total), F.col("n").alias(ties))
-    return equi_join(regions, ranks, ["level", metric], "left")
+def _metric_values(regions: DataFrame, metrics: Sequence[str], *keep: str) -> DataFrame:
+    """``keep``, level, metric and value: a row for each metric of each region."""
+    values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+    return regions.select(*keep, "level", F.inline(values))
 
 
 def region_rank(rollup: DataFrame, weights: Mapping[str, float]) -> DataFrame:
     """Percent rank of every metric within its level, their weighted sum, and the rank of that sum.
 
-    The rollup is pinned, since every metric ranks it anew.  Missing totals count as 0.
+    All metrics are ranked in one pass over (level, metric, value), the score in a second one, which needs the first.
+    Missing totals count as 0.
     """
-    scored = pinned(rollup.fillna(0, subset=list(weights)))
-    for metric in weights:
-        scored = _with_ranks(scored, metric, "__below", "__total", "__ties")
-        percent = F.coalesce(F.col("__below") / F.nullif(F.col("__total") - 1, F.lit(0)), F.lit(0.0))
-        scored = scored.withColumn(f"{metric}_rank", percent).drop("__below", "__total", "__ties")
+    regions = stored(rollup.fillna(0, subset=list(weights)).withColumn("__row", F.monotonically_increasing_id()), "regions")
+    values = _metric_values(regions, list(weights), "__row")
+    ranks = value_ranks(values, ["level", "metric"], "value")
+    percent = F.coalesce(F.col("below") / F.nullif(F.col("total") - 1, F.lit(0)), F.lit(0.0))
+    placed = equi_join(values, ranks.withColumn("percent", percent), ["level", "metric", "value"], "left")
+    wide = placed.groupBy("__row").agg(*[F.max(F.when(F.col("metric") == m, F.col("percent"))).alias(f"{m}_rank") for m in weights])
     score = sum((F.lit(float(w)) * F.col(f"{m}_rank") for m, w in weights.items()), F.lit(0.0))
-    scored = _with_ranks(scored.withColumn("score", score), "score", "__below", "__total", "__ties")
-    place = F.col("__total") - F.col("__below") - F.col("__ties") + 1
-    return scored.withColumn("place", place).drop("__below", "__total", "__ties")
+    scored = stored(regions.join(wide, "__row").drop("__row").withColumn("score", score), "scores")
+    places = value_ranks(scored, "level", "score").select("level", "score", (F.col("total") - F.col("below") - F.col("n") + 1).alias("place"))
+    return equi_join(scored, places, ["level", "score"], "left")
 
 
 def competitive_regions(rollup: DataFrame, metrics: Sequence[str], quantile: float = 0.75,
                         needed: int = 2) -> DataFrame:
-    """Flag regions of which at least ``needed`` metrics reach their level's quantile."""
-    regions = pinned(rollup)
-    flagged = regions
-    for metric in metrics:
-        limit = exact_quantiles(regions, "level", metric, {f"__limit_{metric}": quantile}).drop("n")
-        flagged = equi_join(flagged, limit, ["level"], "left")
+    """Flag regions of which at least ``needed`` metrics reach their level's quantile.
+
+    The limits of all metrics come from one pass: the two values next to the wanted rank, interpolated.
+    """
+    regions = stored(rollup, "regions")
+    ranks = value_ranks(_metric_values(regions, metrics), ["level", "metric"], "value")
+    place = (F.col("total") - 1) * F.lit(float(quantile))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("n")), F.col("value")))
+    ends = ranks.groupBy("level", "metric").agg(at(F.floor(place)).alias("low"), at(F.ceil(place)).alias("high"), F.max(place - F.floor(place)).alias("part"))
+    limit = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    limits = ends.groupBy("level").agg(*[F.max(F.when(F.col("metric") == m, limit)).alias(f"__limit_{m}") for m in metrics])
+    flagged = equi_join(regions, limits, ["level"], "left")
     high = sum((F.coalesce((F.col(m) >= F.col(f"__limit_{m}")).cast("int"), F.lit(0)) for m in metrics), F.lit(0))
     flagged = flagged.withColumn("high_metrics", high).withColumn("competitive", F.col("high_metrics") >= needed)
     return flagged.drop(*[f"__limit_{m}" for m in metrics])

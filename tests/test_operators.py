@@ -350,13 +350,23 @@ def test_box_stats(spark):
 
 def test_value_ranks_over_many_blocks(spark):
     df = spark.createDataFrame([("a", float(v % 17)) for v in range(300)], "g string, v double")
-    ranks = {r["v"]: (r["below"], r["n"], r["total"]) for r in aggregate.value_ranks(df, "g", "v", rows_per_block=20).collect()}
+    ranks = {r["v"]: (r["below"], r["n"], r["total"]) for r in aggregate.value_ranks(df, "g", "v", partitions=6).collect()}
     values = sorted(float(v % 17) for v in range(300))
     assert len(ranks) == 17
     assert ranks == {v: (values.index(v), values.count(v), 300) for v in set(values)}
     assert statistics.median(values) == aggregate.exact_quantiles(df, "g", "v", {"m": 0.5}).first()["m"]
 
 
+def test_value_ranks_of_several_columns(spark):
+    rng = random.Random(2)
+    data = [(rng.choice(["a", None]), rng.randrange(2), rng.choice([None, 0.0, 1.5, 2.0, 9.0])) for _ in range(400)]
+    ranks = aggregate.value_ranks(spark.createDataFrame(data, "g string, h int, v double"), ["g", "h"], "v", partitions=5).collect()
+    for g, h in {(g, h) for g, h, _ in data}:
+        values = sorted(v for a, b, v in data if (a, b) == (g, h) and v is not None)
+        got = {r["v"]: (r["below"], r["n"], r["total"]) for r in ranks if (r["g"], r["h"]) == (g, h)}
+        assert got == {v: (values.index(v), values.count(v), len(values)) for v in set(values)}
+
+
 def test_only_small_sides_are_marked_for_broadcast(spark):
     small, large = counted_side(spark.range(5), rows=5), counted_side(spark.range(6), rows=5)
     assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
