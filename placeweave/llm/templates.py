@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeweave.llm.shared import query, stored, table
+from placeweave.llm.shared import query, slices, stored, table
 from placeweave.llm.shingles import mixed
 
 WINDOW = 6
@@ -177,7 +177,7 @@ def text_windows(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...] = (),
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canonical, known = Canonical(), shared.value
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for whole, t in zip(batch["whole"], batch["text"], strict=True):
                 hashes, pos, slots = canonical.windows(t, short)
