@@ -118,7 +118,9 @@ def test_consolidated_and_metrics(workspace):
         ("edd", "Bayou"): (10.0, 100.0, 2), ("edd", "Delta"): (40.0, 100.0, 1), ("cbsa", "A"): (10.0, 100.0, 1)}
     # Without a cbsa: the facility in the tract next to it, the one without a tract, and the plant in the other state.
     assert {r["level"]: r["observations"] for r in workspace.clean("observations_without_region").collect()}.items() >= {"cbsa": 3}.items()
-    assert got(workspace, "dyads", "l_kind", "r_kind", "l_value", "r_value", "quantity") == [("Mfg", "Wind", 10.0, 100.0, 1)]
+    # Two facilities have coordinates, and two candidates lie in their reach; one of either has no value.
+    assert got(workspace, "dyads", "l_kind", "r_kind", "l_value", "r_value", "quantity") == [
+        ("Mfg", "Solar", 10.0, None, 1), ("Mfg", "Solar", None, None, 1), ("Mfg", "Wind", 10.0, 100.0, 1), ("Mfg", "Wind", None, 100.0, 1)]
     flags = {r["region"]: (r["competitive"], r["mw_per_dollar"]) for r in workspace.clean("competitive_regions").collect()}
     assert flags["Delta"] == (True, 2.5) and flags["26163"] == (False, None)
 
