@@ -75,14 +75,14 @@ def null_rate_by_column(spark, sf_dir):
 @query("""
 SELECT l_orderkey, string_agg(label, ': ' ORDER BY place) AS info
 FROM (SELECT DISTINCT l_orderkey, l_linenumber AS place, l_returnflag || l_linestatus || l_linenumber AS label
-      FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus
-            FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1, 2))
-GROUP BY 1
+      FROM (SELECT l_orderkey, l_linenumber, min(nullif(l_returnflag, 'N')) AS l_returnflag, min(l_linestatus) AS l_linestatus
+            FROM lineitem GROUP BY 1, 2))
+WHERE label IS NOT NULL GROUP BY 1
 """)
 def ordered_text_by_key(spark, sf_dir):
-    """Labels of each key flattened in their order."""
-    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") != "N").groupBy("l_orderkey", "l_linenumber").agg(
-        F.min("l_returnflag").alias("f"), F.min("l_linestatus").alias("s"))
+    """Labels of each key flattened in their order; lines without a flag have no label, which is skipped."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.min(F.nullif("l_returnflag", F.lit("N"))).alias("f"), F.min("l_linestatus").alias("s"))
     labels = lines.select("l_orderkey", "l_linenumber", F.concat("f", "s", F.col("l_linenumber").cast("string")).alias("label"))
     return aggregate.flattened_text(labels, ["l_orderkey"], "label", "l_linenumber")
 
