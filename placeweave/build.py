@@ -20,7 +20,6 @@ from placeweave.operators.aggregate import repeated_keys
 from placeweave.operators.joins import equi_join
 from placeweave.operators.keys import geoid_coverage
 from placeweave.operators.quality import no_duplicate_rows, require, same_row_count, unique_key, unmatched
-from placeweave.operators.rank import text_row_id
 from placeweave.operators.reshape import stack_rows
 from placeweave.plans import consolidated, crosswalks, geography, metrics, observations
 from placeweave.session import SCALE_SETTINGS, scratch_released
@@ -66,14 +65,14 @@ class Workspace:
     def __init__(self, spark: SparkSession, raw: str, clean: str):
         self.spark, self.raw_root, self.clean_root = spark, raw.rstrip("/"), clean.rstrip("/")
 
-    def raw(self, name: str) -> DataFrame:
+    def raw(self, name: str, row_id: str | None = None, first: int = 1) -> DataFrame:
         table = readers.read_text_table(
-            self.spark, f"{self.raw_root}/{name}", RAW_COLUMNS[name], RAW_TYPES.get(name), multiline=True)
+            self.spark, f"{self.raw_root}/{name}", RAW_COLUMNS[name], RAW_TYPES.get(name), multiline=True, row_id=row_id, first=first)
         return table.withColumn("geometry", from_wkt(SHAPE)).drop(SHAPE) if SHAPE in table.columns else table
 
     def facilities(self) -> DataFrame:
         return readers.read_text_after_preamble(
-            self.spark, f"{self.raw_root}/facilities", RAW_COLUMNS["facilities"], FACILITY_PREAMBLE, RAW_TYPES["facilities"])
+            self.spark, f"{self.raw_root}/facilities", RAW_COLUMNS["facilities"], FACILITY_PREAMBLE, RAW_TYPES["facilities"], multiline=True)
 
     def tracts(self) -> DataFrame:
         """Both vintages with their year; only the later one has fully qualified keys."""
@@ -135,7 +134,7 @@ def build_crosswalks(ws: Workspace) -> None:
     regions = {
         "cbsa_to_tract": (crosswalks.cbsa_to_tract, ws.raw("cbsa")),
         "csa_to_tract": (crosswalks.csa_to_tract, ws.raw("csa")),
-        "edd_to_census_tract": (crosswalks.edd_to_census_tract, text_row_id(ws.raw("edd"), "edd_index", first=0)),
+        "edd_to_census_tract": (crosswalks.edd_to_census_tract, ws.raw("edd", "edd_index", first=0)),
     }
     for name, (crosswalk, source) in regions.items():
         require(no_duplicate_rows(ws.write(crosswalk(source, tracts), name), name)).collect()
@@ -145,17 +144,17 @@ def build_crosswalks(ws: Workspace) -> None:
 
 def build_observations(ws: Workspace) -> None:
     joiner, dims = ws.clean("census_joiner"), ws.clean("census_dims")
-    closures = text_row_id(ws.raw("coal_closures"))
+    closures = ws.raw("coal_closures", "rowid")
     ws.write(geoid_coverage(closures, "geoid_tract_2020", joiner), "coal_closures_coverage")
     ws.write(observations.coal_closures(closures, joiner), "coal_closures")
-    ws.write(observations.fossil_fuel_employment(text_row_id(ws.raw("fossil_fuel_emp")), dims), "fossil_fuel_employment")
+    ws.write(observations.fossil_fuel_employment(ws.raw("fossil_fuel_emp", "rowid"), dims), "fossil_fuel_employment")
     ws.write(observations.designations_48c(ws.raw("designations_48c"), joiner), "designations_48c")
     ws.write(observations.closed_coal_mines(ws.raw("closed_coal"), dims), "iwg_closed_coal")
     ws.write(observations.retired_coal_plants(ws.raw("retired_plants"), dims), "iwg_retired_powerplants_coal")
     facilities = ws.facilities()
     ws.write(observations.facilities(facilities), "facilities")
     ws.write(observations.facilities_by_tract(facilities), "facilities_by_tract")
-    ws.write(observations.repowering(text_row_id(ws.raw("repowering"))), "repowering")
+    ws.write(observations.repowering(ws.raw("repowering", "rowid")), "repowering")
     ws.write(repeated_keys(ws.raw("public_investments"), "Unique ID"), "public_investments_repeated_ids")
     ws.write(observations.public_investments(
         ws.raw("public_investments"), ws.clean("state_dims"), ws.clean("county_dims_unique_county_names")), "public_investments")

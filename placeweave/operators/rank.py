@@ -74,7 +74,7 @@ def lump_levels(df: DataFrame, column: str, keep: int, other: str = "Other",
     return joined.withColumn(column, lumped).drop("__level", "__kept")
 
 
-def _file_order(file: Column) -> list[Column]:
+def file_order(file: Column) -> list[Column]:
     """Files in the order of the numbers in their names (part-99999 before part-100000), then by name."""
     padded = F.regexp_replace(F.regexp_replace(file, "([0-9]+)", "00000000000000000000$1"), "[0-9]*([0-9]{20})(?![0-9])", "$1")
     return [padded, file]
@@ -90,7 +90,7 @@ def scan_row_id(df: DataFrame, row_id: str = "rowid", first: int = 1) -> DataFra
     located = df.select(
         "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
     sizes = located.groupBy("__file").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy(*_file_order(F.col("__file"))).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(*file_order(F.col("__file"))).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
     return (
         equi_join(located, F.broadcast(offsets), ["__file"], missing_matches=False)
@@ -136,7 +136,7 @@ def text_row_id(df: DataFrame, row_id: str = "rowid", first: int = 1) -> DataFra
         F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__running")), "text-rows")
     sizes = located.groupBy("__file", "__block").agg(
         F.first("__path").alias("__path"), F.min("__running").alias("__begin"), F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy(*_file_order(F.col("__path")), "__block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(*file_order(F.col("__path")), "__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counted_side(sizes.select("__file", "__block", "__begin", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset")))
     return (
         equi_join(located.drop("__path"), offsets, ["__file", "__block"], missing_matches=False)

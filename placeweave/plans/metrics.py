@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from placeweave.operators.aggregate import value_ranks
 from placeweave.operators.joins import equi_join
-from placeweave.operators.spatial import places_within
+from placeweave.operators.spatial import nearest_places, places_within
 from placeweave.session import stored
 
 
@@ -140,3 +140,23 @@ def dyad_summary(pairs: DataFrame) -> DataFrame:
         F.min("distance").alias("nearest"),
         (F.sum(weight * F.col("distance")) / F.sum(weight)).alias("mean_distance"),
     )
+
+
+def remainder_nearby(projects: DataFrame, chosen: Column, k: int, metres: float, value: str | None = None) -> DataFrame:
+    """Filter kinds, then look at the remainder nearby: the ``k`` nearest remaining places around each place of the ``chosen`` kinds.
+
+    ``chosen`` is a condition on ``projects``, which hold ``kind``, ``lon`` and ``lat``; where it is missing the row remains. Co-located
+    rows of one kind are one place with a ``quantity``. Chosen places come back with ``l_``, the remainder with ``r_``.
+    """
+    picked = F.coalesce(chosen, F.lit(False))
+    pairs = nearest_places(_places(projects.filter(~picked), value, None), _places(projects.filter(picked), value, None), k, metres, ties=["kind"])
+    sides = {f"{a}_": f"{b}_" for a, b in ("lr", "rl")}
+    return pairs.select(*[F.col(c).alias(sides.get(c[:2], c[:2]) + c[2:]) for c in pairs.columns])
+
+
+def label_overlaps(rollup: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """``rollup`` with ``overlapping``: whether its level has regions that share a key, so that its totals must not be added up."""
+    shared = crosswalk.filter(F.col("region").isNotNull()).groupBy("level", *[c for c in crosswalk.columns if c not in ("level", "region")]).agg(
+        (F.min("region") < F.max("region")).alias("shared"))
+    levels = shared.groupBy("level").agg(F.max("shared").alias("overlapping"))  # one row a level
+    return equi_join(rollup, levels, ["level"], "left").withColumn("overlapping", F.coalesce("overlapping", F.lit(False)))

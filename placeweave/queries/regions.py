@@ -198,3 +198,22 @@ def dyad_summary(spark, sf_dir):
     pairs = metrics.dyads(_places(spark, sf_dir, True), _places(spark, sf_dir, False), RADIUS)
     metres = lambda c: F.col(c).cast("decimal(18,3)").cast("double").alias(c)
     return metrics.dyad_summary(pairs).select("l_kind", "r_kind", "dyads", metres("nearest"), metres("mean_distance"))
+
+
+@query("""
+WITH p AS (SELECT label < 5 AS chosen, 'kind ' || label AS kind, embedding[1]::DOUBLE * 400 AS lon, embedding[2]::DOUBLE * 200 AS lat FROM embeddings),
+g AS (SELECT chosen, kind, lon, lat, count(*) AS quantity FROM p GROUP BY 1, 2, 3, 4),
+d AS (SELECT l.kind AS l_kind, l.lon AS l_lon, l.lat AS l_lat, r.kind AS r_kind, r.lon AS r_lon, r.lat AS r_lat, r.quantity AS r_quantity,
+             2 * 6371008.8 * asin(sqrt(least(1::DOUBLE, pow(sin(radians(r.lat - l.lat) / 2), 2)
+               + cos(radians(l.lat)) * cos(radians(r.lat)) * pow(sin(radians(r.lon - l.lon) / 2), 2)))) AS distance
+      FROM g l JOIN g r ON l.chosen AND NOT r.chosen),
+n AS (SELECT *, row_number() OVER (PARTITION BY l_kind, l_lon, l_lat ORDER BY distance, r_kind, r_lon, r_lat) AS place FROM d WHERE distance <= 400000)
+SELECT l_kind, l_lon, l_lat, r_kind, r_quantity, place, CAST(CAST(distance AS DECIMAL(18,3)) AS DOUBLE) AS distance FROM n WHERE place <= 3
+""")
+def remainder_nearby(spark, sf_dir):
+    """Of the places of other kinds, the three nearest around each place of the chosen kinds."""
+    projects = _places(spark, sf_dir, True).unionByName(_places(spark, sf_dir, False))
+    low = F.substring("kind", 6, 9).cast("int") < 5
+    found = metrics.remainder_nearby(projects, low, 3, RADIUS)
+    return found.select("l_kind", "l_lon", "l_lat", "r_kind", "r_quantity", F.col("place").cast("long").alias("place"),
+                        F.col("distance").cast("decimal(18,3)").cast("double").alias("distance"))

@@ -7,11 +7,13 @@ import csv
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from placeweave.functions.geometry import from_geojson, from_wkt
+from placeweave.operators.rank import text_row_id
+from placeweave.sources.records import numbered_records, text_lines, whole_records, without_return
 
 MISSING_TEXT = "NA"
 CSV_OPTIONS = {"nullValue": MISSING_TEXT, "escape": '"'}
@@ -33,19 +35,32 @@ def read_text_table(
     types: Mapping[str, str] | None = None,
     multiline: bool = False,
     encoding: str = "UTF-8",
+    row_id: str | None = None,
+    first: int = 1,
 ) -> DataFrame:
     """Delimited text with a header; every column is text unless ``types`` says otherwise.
 
     ``columns`` picks columns by header name, in any case and order.  Files of one path must share
-    their header, which is checked.  ``multiline`` allows quoted line breaks, at one task per file.
+    their header, which is checked.  ``multiline`` allows quoted line breaks: files are still read block by block
+    (see ``sources.records``).  ``row_id`` adds a dense number in file order, from ``first``.
     """
-    df = spark.read.csv(
-        path, header=True, inferSchema=False, enforceSchema=False, multiLine=multiline, encoding=encoding, **CSV_OPTIONS)
-    return cast_columns(_picked(df, columns), types or {})
+    if multiline:
+        return read_text_after_preamble(spark, path, columns, 0, types, True, encoding, row_id, first)
+    df = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False, encoding=encoding, **CSV_OPTIONS)
+    if row_id:
+        df = text_row_id(df, row_id, first)
+    return cast_columns(_picked(df, columns, row_id), types or {})
 
 
-def _picked(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`").alias(c) for c in columns]) if columns else df
+def _picked(df: DataFrame, columns: Sequence[str] | None, row_id: str | None = None) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(c) for c in [*columns, *([row_id] if row_id else [])]]) if columns else df
+
+
+def _header_names(heading: str) -> list[str]:
+    """Column names of a header line: nameless and repeated ones get their place, as Spark's own reader names them."""
+    names = next(csv.reader([heading]))
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
 def read_text_after_preamble(
@@ -54,33 +69,59 @@ def read_text_after_preamble(
     columns: Sequence[str] | None = None,
     skip: int = 0,
     types: Mapping[str, str] | None = None,
+    multiline: bool = False,
+    encoding: str = "UTF-8",
+    row_id: str | None = None,
+    first: int = 1,
 ) -> DataFrame:
     """Delimited text whose files each start with ``skip`` banner lines and then a header.
 
     A task reads the lines of a file block in order, so a line's place in a file's first block is its running
     id less the smallest of that block; the smallest ids are one row a file.  All of it stays on the JVM.
     Files whose header differs from the first file's, or that end before it, stop the job.
-    Quoted line breaks are not supported: see ``unbalanced_quotes``.
+    With ``multiline`` or ``row_id`` the lines are written once and placed in all blocks; ``multiline`` then joins lines
+    whose quotes span breaks, and a quote that is never closed stops the job.  Banner and header lines hold no breaks.
     """
+    if encoding.upper() != "UTF-8" and not multiline:
+        raise ValueError("encodings other than UTF-8 are read with multiline=True")
     text = spark.read.text(path)
-    top = spark.read.text(text.inputFiles()[0]).head(skip + 1)
+    first_file = text.inputFiles()[0]
+    top = [r["value"] for r in _top_lines(spark, first_file, skip + 1, encoding)]
     if len(top) <= skip:
-        raise ValueError(f"{text.inputFiles()[0]}: no header after {skip} lines")
-    heading = top[-1]["value"]
-    names = next(csv.reader([heading]))
-    lines = text.select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("running"))
-    begins = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("running").alias("first"), F.count(F.lit(1)).alias("begun"))
-    placed = lines.join(F.broadcast(begins), "file").withColumn(  # one row a file
-        "place", F.when(F.col("block") == 0, F.col("running") - F.col("first")))
-    differs = (F.col("place") == skip) & (F.col("value") != heading)
-    short = (F.col("place") == 0) & (F.col("begun") <= skip)
+        raise ValueError(f"{first_file}: no header after {skip} lines")
+    heading = top[-1]
+    names = _header_names(heading)
+    if multiline or row_id:
+        lines = text_lines(spark, path, encoding).filter(_conforming(
+            (F.col("line") == skip) & (without_return(F.col("value")) != heading), (F.col("line") == 0) & (F.col("total") <= skip)))
+        records = whole_records(lines, skip) if multiline else lines.filter(
+            F.col("line") > skip).withColumn("value", without_return(F.col("value"))).filter(F.length("value") > 0)
+        body = numbered_records(records, row_id, first) if row_id else records
+    else:
+        lines = text.select(
+            "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("running"))
+        begins = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("running").alias("first"), F.count(F.lit(1)).alias("begun"))
+        placed = lines.join(F.broadcast(begins), "file").withColumn(  # one row a file
+            "place", F.when(F.col("block") == 0, F.col("running") - F.col("first")))
+        conforming = placed.filter(_conforming(
+            (F.col("place") == skip) & (F.col("value") != heading), (F.col("place") == 0) & (F.col("begun") <= skip)))
+        body = conforming.filter(F.coalesce(F.col("place") > skip, F.lit(True)) & (F.length("value") > 0))
+    kept = [row_id] if row_id else []
+    parsed = body.select(*kept, F.from_csv("value", string_schema(names).toDDL(), CSV_OPTIONS).alias("row")).select("row.*", *kept)
+    return cast_columns(_picked(parsed, columns, row_id), types or {})
+
+
+def _top_lines(spark: SparkSession, file: str, lines: int, encoding: str = "UTF-8") -> list:
+    """The first ``lines`` lines of one file."""
+    value = F.col("value") if encoding.upper() == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    return spark.read.text(file, lineSep="\n").select(without_return(value).alias("value")).head(lines)
+
+
+def _conforming(differs: Column, short: Column) -> Column:
+    """A filter that stops the job at a file whose header is another one or missing."""
     faulty = F.raise_error(F.concat("file", F.lit(": no header like the first file's"))).cast("boolean")
-    body = placed.filter(F.when(F.coalesce(differs | short, F.lit(False)), faulty).otherwise(
-        F.coalesce(F.col("place") > skip, F.lit(True)))).filter(F.length("value") > 0)
-    parsed = body.select(F.from_csv("value", string_schema(names).toDDL(), CSV_OPTIONS).alias("row")).select("row.*")
-    return cast_columns(_picked(parsed, columns), types or {})
+    return F.when(F.coalesce(differs | short, F.lit(False)), faulty).otherwise(F.lit(True))
 
 
 def unbalanced_quotes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

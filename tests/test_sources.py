@@ -150,3 +150,59 @@ def test_distinct_dims(spark):
     df = spark.createDataFrame([("b", "2"), ("a", "1"), ("b", "2"), (None, "3")], "state string, code string")
     dims = readers.distinct_dims(df, "tmp_view", {"state": "state_name", "code": "fips"}, ["state_name"])
     assert [tuple(r) for r in dims.collect()] == [("a", "1"), ("b", "2"), (None, "3")]
+
+
+def _broken_lines(n: int, start: int = 0) -> str:
+    """Records of which every third holds breaks, quotes and blank lines inside its quotes."""
+    cell = {0: '"one\n\n""two"", three\r\nfour"', 1: "plain", 2: '"a, b"'}
+    return "".join(f"{start + i},{cell[i % 3]},{i}.5\n" for i in range(n))
+
+
+@pytest.mark.parametrize("block", ["700", "100000000"])
+def test_quoted_breaks_across_blocks(spark, folder, block):
+    (folder / "f10.csv").write_text("id,label,v\n" + _broken_lines(900, 400), encoding="utf-8", newline="")
+    (folder / "f9.csv").write_text("id,label,v\n" + _broken_lines(400) + "\n", encoding="utf-8", newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        df = readers.read_text_table(spark, str(folder), ["id", "label", "v"], {"id": "long", "v": "double"}, multiline=True, row_id="rowid", first=0)
+        whole = spark.read.csv(str(folder), header=True, multiLine=True, **readers.CSV_OPTIONS)
+        assert sorted(map(tuple, df.select("id", "label", "v").collect())) == sorted((int(i), label, float(v)) for i, label, v in whole.collect())
+        assert df.filter("rowid <> id").count() == 0 and df.count() == 1300
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_quoted_breaks_longer_than_a_block_and_after_a_preamble(spark, folder):
+    long_cell = "x\n" * 3000
+    (folder / "a.csv").write_text(f'it"s a banner\n\nid,label\n1,"{long_cell}"\n2,b\n', encoding="utf-8")
+    (folder / "b.csv").write_text('banner\n,\nid,label\r\n3,"c\r\nd"\r\n', encoding="utf-8", newline="")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        df = readers.read_text_after_preamble(spark, str(folder), ["id", "label"], skip=2, multiline=True)
+        assert {r["id"]: r["label"] for r in df.collect()} == {"1": long_cell, "2": "b", "3": "c\r\nd"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_open_quotes_and_other_headers_stop_the_read(spark, folder):
+    (folder / "a.csv").write_text('id,label\n1,"open\n2,b\n', encoding="utf-8")
+    with pytest.raises(PySparkException, match="opened in line 2 is never closed"):
+        readers.read_text_table(spark, str(folder), multiline=True).collect()
+    (folder / "a.csv").write_text("id,label\n1,a\n", encoding="utf-8")
+    (folder / "b.csv").write_text("label,id\na,1\n", encoding="utf-8")
+    with pytest.raises(PySparkException, match="no header like"):
+        readers.read_text_table(spark, str(folder), multiline=True).collect()
+
+
+def test_multiline_tables_without_records_names_or_ascii(spark, folder):
+    (folder / "t.csv").write_bytes("id,,naïve,ID\n".encode("latin-1"))
+    empty = readers.read_text_table(spark, str(folder / "t.csv"), multiline=True, encoding="ISO-8859-1", row_id="n")
+    assert empty.columns == ["id0", "_c1", "naïve", "ID3", "n"] and empty.count() == 0
+    (folder / "t.csv").write_bytes('id,name\n1,"Doña\nAna"\n'.encode("latin-1"))
+    assert readers.read_text_table(spark, str(folder / "t.csv"), multiline=True, encoding="ISO-8859-1").first()["name"] == "Doña\nAna"
+
+
+def test_row_ids_after_a_preamble(spark, folder):
+    (folder / "a.csv").write_text("banner\nid\n" + "".join(f"{i}\n" for i in range(9000)), encoding="utf-8")
+    df = readers.read_text_after_preamble(spark, str(folder), ["id"], skip=1, types={"id": "int"}, row_id="rowid", first=0)
+    assert df.filter("rowid <> id").count() == 0 and df.count() == 9000
