@@ -193,7 +193,7 @@ def build_metrics(ws: Workspace) -> None:
     placed, values = stack_rows(dollars, capacity, fill=True), ["dollars", "capacity_mw"]
     crosswalk = levels.unionByName(districts).unionByName(areas)
     ws.write(metrics.unplaced_totals(placed, "census_geoid", values, crosswalk), "observations_without_region")
-    rollup = metrics.metric_rollup(placed, "census_geoid", values, crosswalk)
+    rollup = metrics.label_overlaps(metrics.metric_rollup(placed, "census_geoid", values, crosswalk), crosswalk)
     ranked = ws.write(metrics.region_rank(rollup, {"dollars": 0.5, "capacity_mw": 0.5}), "region_ranks")
     flagged = metrics.competitive_regions(ranked.select("level", "region", "dollars", "capacity_mw"), ["dollars", "capacity_mw"])
     ws.write(metrics.ratio_by_region(flagged, "capacity_mw", "dollars", "mw_per_dollar"), "competitive_regions")

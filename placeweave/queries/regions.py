@@ -56,6 +56,25 @@ def metric_rollup(spark, sf_dir):
     return _shown(_rollup(spark, sf_dir), "dollars", "capacity")
 
 
+@query(f"""
+WITH {ROLLUP_SQL},
+m AS (SELECT g, 'market' AS level, lower(county_name) AS region, dollars FROM obs
+      UNION ALL SELECT g, 'market', lower(state_name) || ' area', dollars FROM obs WHERE substr(g, 11, 1) = '7'
+      UNION ALL SELECT g, 'county', county_name, dollars FROM obs)
+SELECT level, region, count(*) AS observations, sum(dollars)::DECIMAL(20,6)::DOUBLE AS dollars, level = 'market' AS overlapping
+FROM m GROUP BY level, region
+""")
+def labelled_totals(spark, sf_dir):
+    """Totals of a level whose regions share tracts, and of one whose regions do not, each row saying which."""
+    tracts = _tracts(spark, sf_dir)
+    markets = tracts.withColumn("region", F.explode(F.array_compact(F.array(
+        F.lower("county_name"), F.when(F.substring("census_geoid", 11, 1) == "7", F.concat(F.lower("state_name"), F.lit(" area")))))))
+    crosswalk = markets.select("census_geoid", F.lit("market").alias("level"), "region").unionByName(
+        tracts.select("census_geoid", F.lit("county").alias("level"), F.col("county_name").alias("region")))
+    rollup = metrics.metric_rollup(_observations(spark, sf_dir), "census_geoid", ["dollars"], crosswalk)
+    return _shown(metrics.label_overlaps(rollup, crosswalk), "dollars")
+
+
 @query(f"""
 WITH {ROLLUP_SQL},
 p AS (SELECT *, percent_rank() OVER (PARTITION BY level ORDER BY dollars) AS dollars_rank,

@@ -357,3 +357,42 @@ def test_dyad_lag(spark):
 
 def test_pinned_frames_survive_without_a_folder_setting(spark):
     assert pinned(spark.range(3)).count() == 3
+
+
+def test_nearest_places_equal_brute_force(spark):
+    """Crowds, lone places, the date line, a pole, ties, missing coordinates and copies, against every pair."""
+    import math
+    import random
+    draw = random.Random(7)
+    at = [(draw.gauss(10, 0.01), draw.gauss(50, 0.01)) for _ in range(300)] + [(draw.uniform(-180, 180), draw.uniform(-90, 90)) for _ in range(200)]
+    at += [(179.95, 0.0), (-179.95, 0.0), (0.0, 89.99), (180.0, 89.98), (-90.0, 89.97), (20.0, 20.1), (20.0, 19.9), (20.0, 20.0)]
+    kinds = ["a" if i % 7 == 0 else "b" for i in range(len(at))]
+    kinds[-8:] = ["a", "b", "a", "b", "b", "b", "c", "a"]
+    projects = [(k, x, y) for k, (x, y) in zip(kinds, at)] + [("b", 20.0, 20.1)] * 5 + [("a", None, 1.0), ("b", 1.0, None), (None, 20.0, 20.05)]
+    metres, k = 200_000.0, 3
+    got = metrics.remainder_nearby(spark.createDataFrame(projects, "kind string, lon double, lat double"), F.col("kind") == "a", k, metres)
+    found = {}
+    for r in got.collect():
+        found.setdefault((r["l_lon"], r["l_lat"]), {})[r["place"]] = (r["r_kind"], r["r_lon"], r["r_lat"], r["r_quantity"])
+
+    def apart(p, q):
+        u = [(math.cos(math.radians(y)) * math.cos(math.radians(x)), math.cos(math.radians(y)) * math.sin(math.radians(x)), math.sin(math.radians(y))) for x, y in (p, q)]
+        return 2 * 6371008.8 * math.asin(min(1.0, math.dist(*u) / 2))
+    rest = {}
+    for kind, x, y in projects:
+        if kind != "a" and x is not None and y is not None:
+            rest[kind, x, y] = rest.get((kind, x, y), 0) + 1
+    want = {}
+    for kind, x, y in projects:
+        if kind == "a" and x is not None:
+            near = sorted((round(apart((x, y), p[1:]), 4), p[0] or "", p[1:], p, n) for p, n in rest.items() if apart((x, y), p[1:]) <= metres)
+            if near:
+                want[x, y] = {i + 1: (*p, n) for i, (*_, p, n) in enumerate(near[:k])}
+    assert found == want and (179.95, 0.0) in want and len(want) > 40
+    assert metrics.remainder_nearby(spark.createDataFrame([], "kind string, lon double, lat double"), F.col("kind") == "a", k, metres).count() == 0
+
+
+def test_overlapping_levels_are_labelled(spark, rows):
+    crosswalk = spark.createDataFrame([("1", "x", "p"), ("1", "x", "q"), ("2", "y", "r"), ("2", "y", "r"), ("3", "y", "s"), ("3", "y", None)], "k string, level string, region string")
+    rollup = spark.createDataFrame([("x", "p"), ("y", "r"), ("z", "t")], "level string, region string")
+    assert rows(metrics.label_overlaps(rollup, crosswalk)) == [("x", "p", True), ("y", "r", False), ("z", "t", False)]
