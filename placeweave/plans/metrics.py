@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from placeweave.operators.aggregate import value_ranks
 from placeweave.operators.joins import equi_join
+from placeweave.operators.pair_counts import pairs_within
 from placeweave.operators.spatial import nearest_places, places_within
 from placeweave.session import stored
 
@@ -142,6 +143,11 @@ def dyad_summary(pairs: DataFrame) -> DataFrame:
     )
 
 
+def dyad_counts(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
+    """The ``dyads`` of ``dyad_summary`` where only their number is asked for: crowds are counted by cells instead of pair by pair."""
+    return pairs_within(_places(left, None, None), _places(right, None, None), metres)
+
+
 def remainder_nearby(projects: DataFrame, chosen: Column, k: int, metres: float, value: str | None = None) -> DataFrame:
     """Filter kinds, then look at the remainder nearby: the ``k`` nearest remaining places around each place of the ``chosen`` kinds.
 

@@ -236,3 +236,9 @@ def remainder_nearby(spark, sf_dir):
     found = metrics.remainder_nearby(projects, low, 3, RADIUS)
     return found.select("l_kind", "l_lon", "l_lat", "r_kind", "r_quantity", F.col("place").cast("long").alias("place"),
                         F.col("distance").cast("decimal(18,3)").cast("double").alias("distance"))
+
+
+@query(f"WITH {DYAD_SQL} SELECT l_kind, r_kind, sum(quantity)::BIGINT AS dyads FROM near GROUP BY 1, 2")
+def dyad_counts(spark, sf_dir):
+    """How many dyads each pair of kinds has, counted by cells."""
+    return metrics.dyad_counts(_places(spark, sf_dir, True), _places(spark, sf_dir, False), RADIUS)

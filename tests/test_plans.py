@@ -396,3 +396,39 @@ def test_overlapping_levels_are_labelled(spark, rows):
     crosswalk = spark.createDataFrame([("1", "x", "p"), ("1", "x", "q"), ("2", "y", "r"), ("2", "y", "r"), ("3", "y", "s"), ("3", "y", None)], "k string, level string, region string")
     rollup = spark.createDataFrame([("x", "p"), ("y", "r"), ("z", "t")], "level string, region string")
     assert rows(metrics.label_overlaps(rollup, crosswalk)) == [("x", "p", True), ("y", "r", False), ("z", "t", False)]
+
+
+def test_dyad_counts_equal_the_listed_pairs(spark, rows):
+    """Crowds on both sides of the radius, copies, the date line, poles and missing coordinates."""
+    import random
+    draw = random.Random(11)
+    crowd = lambda x, y, n, spread: [(draw.choice("ab"), x + draw.gauss(0, spread), y + draw.gauss(0, spread)) for _ in range(n)]
+    left = crowd(10, 50, 600, 0.05) + crowd(-179.99, 1, 60, 0.05) + [("p", 0.0, 89.999), (None, 10.0, 50.0), ("a", None, 1.0)] + [("c", 10.0, 50.0)] * 30
+    right = crowd(10.3, 50, 600, 0.05) + crowd(179.99, 1, 60, 0.05) + [("q", 180.0, 89.999), ("q", 1.0, None)] + [("c", 10.1, 50.1)] * 20
+    schema = "kind string, lon double, lat double"
+    left, right = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    for metres in (25_000.0, 0.0):
+        known = [df.filter("lon is not null and lat is not null") for df in (left, right)]
+        want = rows(metrics.dyad_summary(metrics.dyads(*known, metres)), "l_kind", "r_kind", "dyads")
+        assert rows(metrics.dyad_counts(left, right, metres), "l_kind", "r_kind", "dyads") == want
+    assert metrics.dyad_counts(left.limit(0), right, 25_000.0).count() == 0
+
+
+def test_dyad_counts_of_crowds_compare_few_pairs(spark, monkeypatch):
+    import numpy as np
+
+    from placeweave.operators import pair_counts
+    draw, metres = np.random.default_rng(5), 25_000.0
+    sides = [draw.normal((x, 50), 0.05, (4000, 2)) for x in (10.0, 10.3)]
+    (ax, ay), (bx, by) = (np.radians(side).T for side in sides)
+    inner = np.sin((by[None] - ay[:, None]) / 2) ** 2 + np.cos(ay)[:, None] * np.cos(by)[None] * np.sin((bx[None] - ax[:, None]) / 2) ** 2
+    want = int((2 * 6371008.8 * np.arcsin(np.sqrt(inner)) <= metres).sum())
+    compared, listed = [], pair_counts._compared
+
+    def watched(pairs, *rest):
+        compared.append(pairs.agg(F.coalesce(F.sum(F.col("ln") * F.col("rn")), F.lit(0))).first()[0])
+        return listed(pairs, *rest)
+    monkeypatch.setattr(pair_counts, "_compared", watched)
+    left, right = (spark.createDataFrame([("k", float(x), float(y)) for x, y in side], "kind string, lon double, lat double") for side in sides)
+    assert [tuple(r) for r in metrics.dyad_counts(left, right, metres).collect()] == [("k", "k", want)]
+    assert sum(compared) * 4 < want
