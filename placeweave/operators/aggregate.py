@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from placeweave.functions.text import missing
 from placeweave.operators.joins import equi_join, member_flag
 from placeweave.operators.rank import lump_levels
-from placeweave.session import counted_side, stored
+from placeweave.session import counted_side, pinned, stored
 
 
 def row_counts(df: DataFrame, *keys: str) -> DataFrame:
@@ -79,12 +79,24 @@ def row_ratio(result: DataFrame, source: DataFrame) -> DataFrame:
         "ratio", F.col("result_rows") / F.nullif(F.col("source_rows"), F.lit(0)))
 
 
-def flattened_text(df: DataFrame, keys: Sequence[str], value: str, order: str, sep: str = ": ") -> DataFrame:
-    """The values of each key joined in ``order``; missing values are skipped."""
-    entries = df.filter(F.col(value).isNotNull())
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    texts = entries.groupBy(*keys).agg(pairs.alias("__pairs"))
-    return texts.select(*keys, F.array_join(F.transform("__pairs", lambda p: p["v"]), sep).alias("info"))
+def flattened_text(df: DataFrame, keys: Sequence[str], value: str, order: str, sep: str = ": ",
+                   partitions: int | None = None) -> DataFrame:
+    """The distinct values of each key joined in ``order`` (equal places by value); missing values are skipped.
+
+    Entries are range-sorted by key and place first, so a key with any share of the rows is spread over ranges. Each range writes
+    its piece of the key's text, and only the few pieces of a key meet.
+    """
+    named = [F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)]
+    names = [f"__key_{i}" for i in range(len(keys))]
+    entries = df.filter(F.col(value).isNotNull()).select(*named, F.col(order).alias("__o"), F.col(value).alias("__v")).distinct()
+    ranged = entries.repartitionByRange(*([partitions] if partitions else []), *names, "__o", "__v")
+    placed = stored(ranged.withColumn("__part", F.spark_partition_id()), "text-ranges")
+    inside = F.array_sort(F.collect_list(F.struct("__o", "__v")))
+    pieces = placed.groupBy(*names, "__part").agg(F.array_join(F.transform(inside, lambda e: e["__v"]), sep).alias("__text"))
+    # Ranges ascend, so pieces in the order of their ranges are the whole text.
+    whole = F.array_sort(F.collect_list(F.struct("__part", "__text")))
+    texts = pieces.groupBy(*names).agg(F.array_join(F.transform(whole, lambda p: p["__text"]), sep).alias("info"))
+    return texts.withColumnsRenamed(dict(zip(names, keys, strict=True)))
 
 
 def flattened_flags(df: DataFrame, labels: Sequence[Column], out: str = "info", sep: str = ": ") -> DataFrame:
@@ -153,48 +165,53 @@ def histogram(df: DataFrame, label: str, value: str, bins: int = 30) -> DataFram
     )
 
 
-MAX_BLOCKS = 1024
-STRIDE = 32
+ACCURACY = 10_000
 
 
-def _blocked(df: DataFrame, group: str, value: str, rows_per_block: int) -> tuple[DataFrame, DataFrame]:
-    """Rows with the value range ("__block") they fall into, and the size and offset of every range.
+def _condensed(df: DataFrame, group: str, value: str, quantiles: Sequence[float], accuracy: int, slack: float,
+               fences: bool) -> DataFrame:
+    """The values of each group that may be wanted, one row a distinct value, and a row for all those of every gap between them.
 
-    A sketch cuts each group into ranges of about ``rows_per_block`` rows.  The cuts only balance the
-    work: sizes are counted, so what is built on them is exact.
+    A sketch gives a span of values around every quantile, and around the whisker ends if ``fences``.  Rows hold ``least`` and
+    ``value`` (smallest and largest of the row), ``n`` and ``exact`` (false: a gap).  Groups of at most ``accuracy`` rows are all exact.
     """
     held = df.filter(F.col(value).isNotNull()).select(group, value)
-    cuts = [i / MAX_BLOCKS for i in range(1, MAX_BLOCKS)]
+    cuts = sorted({end for q in quantiles for end in (max(0.0, q - slack), min(1.0, q + slack))})
     sketch = held.groupBy(group).agg(
-        F.percentile_approx(value, cuts, 4 * MAX_BLOCKS).alias("__cuts"), F.count(F.lit(1)).alias("__rows"))
-    blocks = F.least(F.ceil(F.col("__rows") / rows_per_block), F.lit(MAX_BLOCKS))
-    sketch = sketch.withColumn("__step", F.ceil(F.lit(MAX_BLOCKS) / blocks).cast("int"))
-    sketch = sketch.select(group, F.filter("__cuts", lambda _, i: (i + 1) % F.col("__step") == 0).alias("__edges"))
-    # Every STRIDE-th edge, to find the place of a value in two short looks instead of one long.
-    sketch = sketch.withColumn("__signposts", F.filter("__edges", lambda _, i: (i + 1) % STRIDE == 0))
-    # A sketch may differ between evaluations, and the edges are used twice: fix them.
-    joined = equi_join(held, counted_side(sketch), [group])
-    passed = F.size(F.filter("__signposts", lambda e: e < F.col(value))) * STRIDE
-    joined = joined.withColumn("__passed", passed)
-    near = F.slice("__edges", F.col("__passed") + 1, F.lit(STRIDE))
-    block = F.col("__passed") + F.size(F.filter(near, lambda e: e < F.col(value)))
-    rows = joined.select(group, value, block.alias("__block"))
-    lower = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(group, "__block").agg(F.count(F.lit(1)).alias("__size")).select(
-        group, "__block", "__size",
-        F.coalesce(F.sum("__size").over(lower), F.lit(0)).alias("__offset"),
-        F.sum("__size").over(Window.partitionBy(group)).alias("total"))
-    return rows, counted_side(sizes)
-
-
-def _ranked(rows: DataFrame, sizes: DataFrame, group: str, value: str) -> DataFrame:
-    """Count, rows below and group size of every distinct value of the ranges in ``sizes``."""
-    counted = equi_join(rows, sizes.select(group, "__block"), [group, "__block"], "left_semi").groupBy(
-        group, "__block", value).agg(F.count(F.lit(1)).alias("n"))
-    inside = Window.partitionBy(group, "__block").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    running = counted.withColumn("__before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    placed = equi_join(running, sizes, [group, "__block"])
-    return placed.select(group, value, "n", (F.col("__before") + F.col("__offset")).alias("below"), "total")
+        F.percentile_approx(F.col(value).cast("double"), cuts, accuracy).alias("__cuts"), F.count(F.lit(1)).alias("__rows"))
+
+    def cut(q: float) -> Column:
+        return F.get("__cuts", F.lit(cuts.index(min(1.0, max(0.0, q)))))
+
+    spans = [(cut(q - slack), cut(q + slack)) for q in quantiles]
+    if fences:
+        (l1, h1), (l3, h3) = ((cut(q - slack), cut(q + slack)) for q in (0.25, 0.75))
+        spans += [(2.5 * l1 - 1.5 * h3, 2.5 * h1 - 1.5 * l3), (2.5 * l3 - 1.5 * h1, 2.5 * h3 - 1.5 * l1)]
+    small = F.col("__rows") <= (0 if slack < 1 else 2**62) + accuracy
+    ends = sketch.select(group, *[column for i, (low, high) in enumerate(spans) for column in (
+        F.when(small, F.lit(float("-inf"))).otherwise(low).alias(f"__low_{i}"),
+        F.when(small, F.lit(float("nan"))).otherwise(high).alias(f"__high_{i}"))])  # NaN is the largest value
+    joined = equi_join(held, counted_side(ends), [group])
+    number = F.col(value).cast("double")
+    exact = reduce(lambda a, b: a | b, [number.between(F.col(f"__low_{i}"), F.col(f"__high_{i}")) for i in range(len(spans))])
+    gap = reduce(lambda a, b: a + b, [F.when(F.col(f"__high_{i}") < number, 1).otherwise(0) for i in range(len(spans))])
+    rows = joined.select(group, value, exact.alias("exact"), F.when(~exact, gap).alias("__gap"))
+    return rows.groupBy(group, "exact", "__gap", F.when(F.col("exact"), F.col(value)).alias("__value")).agg(
+        F.min(value).alias("least"), F.max(value).alias(value), F.count(F.lit(1)).alias("n")).drop("__gap", "__value")
+
+
+def _refined(df: DataFrame, group: str, value: str, quantiles: Sequence[float], accuracy: int, fences: bool, summarise) -> DataFrame:
+    """``summarise`` of the ranked condensed values, with spans widened until no group says ``__missed``.
+
+    Counts decide, not the sketch: a wanted value that fell into a gap is noticed.  The widest spans hold all values.
+    """
+    slack = 2 / accuracy
+    while True:
+        condensed = _condensed(df, group, value, quantiles, accuracy, slack, fences)
+        result = pinned(summarise(_running(condensed, [group], value, "least", "exact")))
+        if slack >= 1 or result.filter("__missed").isEmpty():
+            return result.drop("__missed")
+        slack *= 8
 
 
 def value_ranks(df: DataFrame, group: str | Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
@@ -206,6 +223,11 @@ def value_ranks(df: DataFrame, group: str | Sequence[str], value: str, partition
     """
     groups = [group] if isinstance(group, str) else list(group)
     counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n"))
+    return _running(counted, groups, value, partitions=partitions)
+
+
+def _running(counted: DataFrame, groups: Sequence[str], value: str, *others: str, partitions: int | None = None) -> DataFrame:
+    """Distinct values of groups with their counts ``n``, with ``below`` and ``total`` added."""
     ranged = counted.repartitionByRange(*([partitions] if partitions else []), *groups, value)
     placed = stored(ranged.withColumn("__part", F.spark_partition_id()), "value-ranges")
     sums = placed.groupBy(*groups, "__part").agg(F.sum("n").alias("__size"))
@@ -215,48 +237,54 @@ def value_ranks(df: DataFrame, group: str | Sequence[str], value: str, partition
     inside = Window.partitionBy("__part", *groups).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     running = placed.withColumn("__before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     joined = equi_join(running, offsets, ["__part", *groups])
-    return joined.select(*groups, value, "n", (F.col("__before") + F.col("__offset")).alias("below"), "total")
-
+    return joined.select(*groups, value, *others, "n", (F.col("__before") + F.col("__offset")).alias("below"), "total")
 
-def exact_quantiles(df: DataFrame, group: str, value: str, quantiles: Mapping[str, float],
-                    rows_per_block: int = 1_000_000) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group.
 
-    Range sizes tell which ranges hold the wanted ranks; only the rows of those few are moved and sorted.
-    """
-    rows, sizes = _blocked(df, group, value, rows_per_block)
+def _picked(ranked: DataFrame, group: str, value: str, quantiles: Mapping[str, float]) -> DataFrame:
+    """Interpolated quantiles of the ranked values, ``n``, and ``__missed``: whether one of them lies in a gap."""
     places = {name: (F.col("total") - 1) * F.lit(float(q)) for name, q in quantiles.items()}
-    ranks = [end(place) for place in places.values() for end in (F.floor, F.ceil)]
-    holds = [(F.col("__offset") <= rank) & (rank < F.col("__offset") + F.col("__size")) for rank in ranks]
-    ranked = _ranked(rows, sizes.filter(reduce(lambda a, b: a | b, holds)), group, value)
 
-    def at(rank: Column) -> Column:
-        held = (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
-        return F.max(F.when(held, F.col(value)))
+    def holds(rank: Column) -> Column:
+        return (F.col("below") <= rank) & (rank < F.col("below") + F.col("n"))
 
+    wanted = [(f"__{end.__name__}_{name}", holds(end(place))) for name, place in places.items() for end in (F.floor, F.ceil)]
     picked = ranked.groupBy(group).agg(
         F.max("total").alias("total"),
-        *[at(F.floor(place)).alias(f"__low_{name}") for name, place in places.items()],
-        *[at(F.ceil(place)).alias(f"__high_{name}") for name, place in places.items()],
-    )
-    return picked.select(group, F.col("total").alias("n"), *[
-        (F.col(f"__low_{name}") + (F.col(f"__high_{name}") - F.col(f"__low_{name}")) * (place - F.floor(place))
-         ).alias(name)
+        F.max(~F.col("exact") & reduce(lambda a, b: a | b, [held for _, held in wanted])).alias("__missed"),
+        *[F.max(F.when(held, F.col(value))).alias(name) for name, held in wanted])
+    return picked.select(group, F.col("total").alias("n"), "__missed", *[
+        (F.col(f"__floor_{name}") + (F.col(f"__ceil_{name}") - F.col(f"__floor_{name}")) * (place - F.floor(place))).alias(name)
         for name, place in places.items()])
 
 
-def box_stats(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Quartiles, whiskers (furthest values within 1.5 interquartile ranges) and number of outliers."""
-    quartiles = exact_quantiles(df, group, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    values = df.filter(F.col(value).isNotNull()).select(group, value)
-    fenced = equi_join(values, counted_side(quartiles), [group])
-    within = F.col(value).between(F.col("q1") - reach, F.col("q3") + reach)
-    return fenced.groupBy(group, "n", "q1", "median", "q3").agg(
-        F.min(F.when(within, F.col(value))).alias("whisker_low"),
-        F.max(F.when(within, F.col(value))).alias("whisker_high"),
-        F.sum(F.when(within, 0).otherwise(1)).alias("outliers"),
-    )
+def exact_quantiles(df: DataFrame, group: str, value: str, quantiles: Mapping[str, float], accuracy: int = ACCURACY) -> DataFrame:
+    """Exact, linearly interpolated quantiles per group, in two passes over the values.
+
+    A sketch of relative error ``1 / accuracy`` tells between which values each quantile lies.  The second pass counts the values there one
+    by one and all others in bulk, so only a sliver of a large group is moved and sorted, in ranges, whatever its size.
+    """
+    return _refined(df, group, value, list(quantiles.values()), accuracy, False,
+                    lambda ranked: _picked(ranked, group, value, quantiles))
+
+
+def box_stats(df: DataFrame, group: str, value: str, accuracy: int = ACCURACY) -> DataFrame:
+    """Quartiles, whiskers (furthest values within 1.5 interquartile ranges) and number of outliers, in the same two passes."""
+    def summarise(ranked: DataFrame) -> DataFrame:
+        quartiles = _picked(ranked, group, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}).withColumnRenamed("n", "__rows")
+        reach = 1.5 * (F.col("q3") - F.col("q1"))
+        low, high = F.col("q1") - reach, F.col("q3") + reach
+        # A gap lies within the whiskers' reach or outside as a whole, or the sketch was wrong.
+        first, last = F.col("least").between(low, high), F.col(value).between(low, high)
+        outside = (F.col(value) < low) | (F.col("least") > high)
+        within = first & last
+        fenced = equi_join(ranked, quartiles, [group])
+        return fenced.groupBy(group, F.col("__rows").alias("n"), "q1", "median", "q3").agg(
+            F.min(F.when(within, F.col("least"))).alias("whisker_low"),
+            F.max(F.when(within, F.col(value))).alias("whisker_high"),
+            F.sum(F.when(within, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.max(F.col("__missed") | (~F.col("exact") & ~within & ~outside)).alias("__missed"))
+
+    return _refined(df, group, value, [0.25, 0.5, 0.75], accuracy, True, summarise)
 
 
 def flow_counts(df: DataFrame, axes: Sequence[str], lump: str, keep: int = 5) -> DataFrame:

@@ -21,32 +21,35 @@ def geoid_aliases(dims: DataFrame, key: str = "census_geoid", alias: str = "cens
     return keys.withColumn(alias, F.col(key)).unionByName(by_prefix)
 
 
-def _lookup(joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
-    """One row per prefix: the full keys that start with it and the tract its alias stands for.
-
-    A prefix leaves two digits open, so it has at most a hundred full keys.  A key without a prefix is
-    a group of its own.
-    """
+def _forms(joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
+    """One row per text a key can be met by: the full keys, and the prefixes with the tract their alias stands for."""
     key, short = F.col(joiner_key), geoid_prefix(joiner_key)
-    return joiner.groupBy(F.coalesce(short, key).alias("__group")).agg(
-        F.collect_set(key).alias("__keys"),
-        F.max(short.isNotNull()).alias("__has_prefix"),
-        F.min(F.when(F.col(alias) == short, key)).alias("__lowest"))
+    full = joiner.filter(key.isNotNull()).select(F.lit("full").alias("__form"), key.alias("__text"), key.alias("__tract")).distinct()
+    prefix = joiner.filter(short.isNotNull()).groupBy(short.alias("__text")).agg(F.min(F.when(F.col(alias) == short, key)).alias("__tract"))
+    return full.unionByName(prefix.withColumn("__form", F.lit("prefix")))
 
 
 def _looked_up(df: DataFrame, key: str, joiner: DataFrame, joiner_key: str, alias: str) -> DataFrame:
-    """``df`` with its lookup row and the flags ``__full`` and ``__short``: one join on the prefix answers both."""
-    grouped = df.withColumn("__own", F.coalesce(geoid_prefix(key), F.col(key)))
-    # Compared null-safely, the lookup is exchanged anew rather than taken as it was aggregated, which
+    """``df`` with the flags ``__full`` and ``__short`` and the prefix's tract ``__lowest``.
+
+    Distinct keys ask for all their forms at once, a row a form, so no row holds a set of keys, however many digits follow the prefix.
+    ``df`` itself is joined once, with what its keys were found to be.
+    """
+    # A name of its own, in case the joiner's columns are called like the frame's.
+    asked = df.select(F.col(key).alias("__asked")).filter(F.col("__asked").isNotNull()).distinct()
+    forms = F.array(F.struct(F.lit("full").alias("__form"), F.col("__asked").alias("__text")),
+                    F.struct(F.lit("prefix").alias("__form"), geoid_prefix("__asked").alias("__text")))
+    met = equi_join(asked.select("__asked", F.inline(forms)), _forms(joiner, joiner_key, alias), ["__form", "__text"], missing_matches=False)
+    is_full = F.col("__form") == "full"
+    found = met.groupBy("__asked").agg(F.max(is_full).alias("__full"), F.max(~is_full).alias("__short"),
+                                       F.min(F.when(~is_full, F.col("__tract"))).alias("__lowest"))
+    # Compared null-safely, what was found is exchanged anew rather than taken as it was aggregated, which
     # leaves a hot key of ``df`` open to adaptive splitting.
-    joined = grouped.join(_lookup(joiner, joiner_key, alias), F.col("__own").eqNullSafe(F.col("__group")), "left")
-    return joined.withColumns({
-        "__full": F.coalesce(F.array_contains("__keys", F.col(key)), F.lit(False)),
-        "__short": F.coalesce(F.col("__has_prefix") & geoid_prefix(key).isNotNull(), F.lit(False)),
-    })
+    joined = df.join(found, F.col(key).eqNullSafe(F.col("__asked")), "left")
+    return joined.withColumns({flag: F.coalesce(flag, F.lit(False)) for flag in ("__full", "__short")})
 
 
-_LOOKUP_COLUMNS = ("__own", "__group", "__keys", "__has_prefix", "__lowest", "__full", "__short")
+_LOOKUP_COLUMNS = ("__asked", "__lowest", "__full", "__short")
 
 
 def resolve_geoid(df: DataFrame, key: str, joiner: DataFrame, out: str = "census_geoid_joiner",

@@ -228,27 +228,52 @@ def recode_by_rules(scope: Column, value: Column, rules) -> Column:
     return F.coalesce(F.get(F.filter(listed, holds), F.lit(0))["good"], value)
 
 
+GRAM = 3
+
+
+def _grams(text: Column, size: int) -> Column:
+    """The distinct pieces of ``size`` characters; the empty piece is in every text."""
+    if size == 0:
+        return F.array(F.lit(""))
+    pieces = F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda at: F.substr(text, at, F.lit(size)))
+    return F.when(F.length(text) >= size, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
+
+
+def _inside_rules(names: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rules (priority, good) whose text lies inside a name (``__scope``, ``__name``).
+
+    Every rule is posted under one of its pieces, the one that fewest names of its scope hold, and met by the names that hold this
+    piece; only these are searched.
+    """
+    rules = rules.withColumn("__size", F.least(F.length("__text"), F.lit(GRAM)))
+    sizes = sorted(r[0] for r in rules.select("__size").distinct().collect())  # at most four rows
+    if not sizes:
+        return names.join(rules.select("__scope", "priority", "good"), "__scope").limit(0)
+    held = names.select("__scope", "__name", F.explode(F.concat(*[_grams(F.col("__name"), n) for n in sizes])).alias("__gram"))
+    often = held.groupBy("__scope", "__gram").agg(F.count(F.lit(1)).alias("__names"))
+    own = reduce(lambda rest, n: F.when(F.col("__size") == n, _grams(F.col("__text"), n)).otherwise(rest), sizes, F.lit(None))
+    posted = (rules.select("__scope", "__text", "priority", "good", F.explode(own).alias("__gram")).join(often, ["__scope", "__gram"])
+              .groupBy("__scope", "__text", "priority", "good").agg(F.min(F.struct("__names", "__gram")).alias("__least")))
+    posted = posted.select("__scope", F.col("__least.__gram").alias("__gram"), "__text", "priority", "good")
+    met = held.join(posted, ["__scope", "__gram"]).filter(F.col("__name").contains(F.col("__text")))
+    return met.select("__scope", "__name", "priority", "good")
+
+
 def recode_by_table(df: DataFrame, scope: str, value: str, rules: DataFrame) -> DataFrame:
     """The same for rules held in a table ``(scope, kind, text, good, priority)`` of any length.
 
-    Whole-name rules are an equi-join on (scope, text); scopes and texts of rules are never missing.  The texts to look inside for are gathered per
-    scope and searched in the row.  The lowest priority wins.
+    Scopes and texts of rules are never missing.  Distinct names are looked up, whole-name rules by an equi-join on (scope, text) and texts to
+    look inside for by an index of pieces, and what was found goes back to the rows.  The lowest priority wins.
     """
-    exact = rules.filter(F.col("kind") == "is").groupBy("scope", "text").agg(
-        F.min(F.struct("priority", "good")).alias("__exact")).withColumnsRenamed(
-        {"scope": "__scope", "text": "__text"})
-    inside = rules.filter(F.col("kind") == "has").groupBy("scope").agg(
-        F.array_sort(F.collect_list(F.struct("priority", "good", "text"))).alias("__inside")
-    ).withColumnRenamed("scope", "__has_scope")
-    joined = (
-        df.join(exact, F.col(scope).eqNullSafe(F.col("__scope")) & F.col(value).eqNullSafe(F.col("__text")), "left")
-        .join(inside, F.col(scope).eqNullSafe(F.col("__has_scope")), "left")
-    )
-    hit = F.get(F.filter("__inside", lambda r: F.col(value).contains(r["text"])), F.lit(0))
-    by_text = F.when(hit.isNotNull(), F.struct(hit["priority"].alias("priority"), hit["good"].alias("good")))
-    best = F.least("__exact", by_text)
-    return joined.withColumn(value, F.coalesce(best["good"], F.col(value))).drop(
-        "__exact", "__inside", "__scope", "__text", "__has_scope")
+    names = df.select(F.col(scope).alias("__scope"), F.col(value).alias("__name")).filter(
+        F.col("__scope").isNotNull() & F.col("__name").isNotNull()).distinct()
+    listed = rules.select(F.col("scope").alias("__scope"), "kind", F.col("text").alias("__text"), "priority", "good")
+    whole = names.join(listed.filter("kind = 'is'").withColumnRenamed("__text", "__name"), ["__scope", "__name"])
+    found = whole.select("__scope", "__name", "priority", "good").unionByName(
+        _inside_rules(names, listed.filter("kind = 'has'").drop("kind")).select("__scope", "__name", "priority", "good"))
+    best = found.groupBy("__scope", "__name").agg(F.min(F.struct("priority", "good")).alias("__best"))
+    joined = df.join(best, F.col(scope).eqNullSafe(F.col("__scope")) & F.col(value).eqNullSafe(F.col("__name")), "left")
+    return joined.withColumn(value, F.coalesce("__best.good", F.col(value))).drop("__best", "__scope", "__name")
 
 
 def public_investments(raw: DataFrame, state_dims: DataFrame, county_unique: DataFrame) -> DataFrame:

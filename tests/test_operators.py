@@ -127,6 +127,23 @@ def test_conforming_equals_resolving_then_joining(spark, joiner, rows):
         (1, "26163031102"), (2, "26163031100"), (5, "26163031100")]
 
 
+def test_keys_of_any_length(spark):
+    """Fifteen digits leave six open behind a prefix: no row of the lookup grows with them."""
+    dims = spark.range(30_000).select(F.concat(F.lit("261630311"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("census_geoid"))
+    joiner = keys.geoid_aliases(dims)
+    df = spark.createDataFrame([("261630311029999",), ("261630311999999",), ("261630312000000",), ("261630311",), (None,)], "k string")
+    got = {r["k"]: r["out"] for r in keys.resolve_geoid(df, "k", joiner, out="out").collect()}
+    assert got == {"261630311029999": "261630311029999", "261630311999999": "261630311", "261630312000000": "NO_MATCH",
+                   "261630311": "261630311", None: "NO_MATCH"}
+    tracts = {r["k"]: r["t"] for r in keys.conform_to_tract(df, "k", joiner, out="t").collect()}
+    assert tracts == {"261630311029999": "261630311029999", "261630311999999": "261630311000000", "261630311": "261630311000000"}
+
+
+def test_resolving_keeps_columns_of_the_frame(spark, joiner):
+    df = spark.createDataFrame([("26163031102", "x")], "census_geoid string, census_geoid_joiner string")
+    assert keys.resolve_geoid(df, "census_geoid", joiner, out="out").columns == ["census_geoid", "census_geoid_joiner", "out"]
+
+
 def test_coverage(spark, joiner):
     df = spark.createDataFrame([("26163031102",)] * 3 + [("26163031199",), (None,)], "k string")
     report = {r["match_kind"]: r for r in keys.geoid_coverage(df, "k", joiner).collect()}
@@ -298,6 +315,14 @@ def test_flattening_long_and_wide_agree(spark, rows):
     assert rows(by_row) == rows(by_key) == [(1, "Mine: Adjacent"), (3, "Generator")]
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_flattening_a_key_that_spans_ranges(spark, partitions):
+    hot = [("hot", i % 400, f"v{i % 800}") for i in range(1600)]
+    df = spark.createDataFrame([*hot, ("b", 2, "y"), ("b", 1, "x"), ("b", 1, None), (None, None, "z"), (None, 1, "w")], "k string, o int, v string")
+    got = {r["k"]: r["info"] for r in aggregate.flattened_text(df, ["k"], "v", "o", partitions=partitions).collect()}
+    assert got == {"hot": ": ".join(v for _, _, v in sorted(set(hot))), "b": "x: y", None: "z: w"}
+
+
 def test_profile(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (2, "a", float("nan")), (None, None, 2.0)], "n int, s string, d double")
     for exact in (False, True):
@@ -324,14 +349,14 @@ def quantile(values, q):
     return values[low] + (values[high] - values[low]) * (place - low)
 
 
-@pytest.mark.parametrize("rows_per_block", [1_000_000, 50, 1])
-def test_exact_quantiles_with_a_hot_value(spark, rows_per_block):
+@pytest.mark.parametrize("accuracy", [10_000, 40, 5])
+def test_exact_quantiles_with_a_hot_value(spark, accuracy):
     rng = random.Random(11)
     groups = {"hot": [7.0] * 400 + [rng.gauss(0, 50) for _ in range(500)], "one": [3.0],
               "two": [1.0, 2.0], "even": [float(v) for v in range(100)], None: [1.0, 5.0, 9.0]}
     df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("one", None)], "g string, v double").repartition(5)
     wanted = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
-    for r in aggregate.exact_quantiles(df, "g", "v", wanted, rows_per_block).collect():
+    for r in aggregate.exact_quantiles(df, "g", "v", wanted, accuracy).collect():
         assert r["n"] == len(groups[r["g"]])
         for name, q in wanted.items():
             assert r[name] == pytest.approx(quantile(groups[r["g"]], q), abs=1e-12)
@@ -348,6 +373,29 @@ def test_box_stats(spark):
     assert (r["whisker_low"], r["whisker_high"], r["outliers"]) == (1.0, 3.0, 1)
 
 
+@pytest.mark.parametrize("accuracy", [10_000, 50, 4])
+def test_box_stats_of_spans_and_gaps(spark, accuracy):
+    """A coarse sketch leaves gaps, and a very coarse one is noticed and refined."""
+    rng = random.Random(5)
+    groups = {g: [round(rng.gauss(0, 10) ** 3, 1) for _ in range(900)] + [5.0] * 300 for g in "ab"} | {"c": [1.0, float("nan")], None: [2.0] * 60}
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("a", None)], "g string, v double").repartition(4)
+    for r in aggregate.box_stats(df, "g", "v", accuracy).collect():
+        values = groups[r["g"]]
+        assert r["n"] == len(values)
+        if r["g"] == "c":
+            continue
+        q1, q3 = quantile(values, 0.25), quantile(values, 0.75)
+        assert (r["q1"], r["median"], r["q3"]) == pytest.approx((q1, quantile(values, 0.5), q3), abs=1e-9)
+        within = [v for v in values if q1 - 1.5 * (q3 - q1) <= v <= q3 + 1.5 * (q3 - q1)]
+        assert (r["whisker_low"], r["whisker_high"], r["outliers"]) == (min(within), max(within), len(values) - len(within))
+
+
+def test_only_a_sliver_of_a_large_group_is_counted_by_value(spark):
+    df = spark.range(200_000).select(F.lit("a").alias("g"), F.pmod(F.xxhash64("id"), F.lit(10**9)).cast("double").alias("v"))
+    condensed = aggregate._condensed(df, "g", "v", [0.25, 0.5, 0.75], 1000, 0.002, False)
+    assert condensed.agg(F.sum("n")).first()[0] == 200_000 and condensed.count() < 5_000
+
+
 def test_value_ranks_over_many_blocks(spark):
     df = spark.createDataFrame([("a", float(v % 17)) for v in range(300)], "g string, v double")
     ranks = {r["v"]: (r["below"], r["n"], r["total"]) for r in aggregate.value_ranks(df, "g", "v", partitions=6).collect()}

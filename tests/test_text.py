@@ -114,3 +114,22 @@ def test_the_first_rule_wins(spark):
     tabled = recode_by_table(df.withColumn("good", F.col("v")), "s", "good", table).collect()
     assert sorted(r["good"] for r in listed) == ["four", "one", "three"]
     assert sorted(r["good"] for r in tabled) == ["four", "one", "three"]
+
+
+def test_many_rules_by_index_equal_the_array(spark):
+    """Rules of every length, the empty one too, against the row-wise search."""
+    rng = random.Random(3)
+    syllables = ["ka", "lo", "mi", "ren", "st", "u", "ñ", " "]
+    texts = {"".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(300)}
+    rules = [(scope, rng.choice(["has", "is"]), text, f"{scope}-{text}") for text in sorted(texts) for scope in "ab" if rng.random() < 0.6]
+    rng.shuffle(rules)
+    rules = [r for r in rules if len(r[2]) > 1] + [r for r in rules if len(r[2]) == 1] + [("a", "has", "", "any")]
+    names = [(rng.choice("abc"), "".join(rng.choice(syllables) for _ in range(rng.randint(0, 7)))) for _ in range(3000)] + [(None, "kalo"), ("a", None), ("b", "")]
+    df = spark.createDataFrame(names, "s string, v string")
+    table = spark.createDataFrame([(*r, i) for i, r in enumerate(rules)], "scope string, kind string, text string, good string, priority int")
+    listed = df.select("s", "v", recode_by_rules(F.col("s"), F.col("v"), rules).alias("good"))
+    tabled = recode_by_table(df.withColumn("good", F.col("v")), "s", "good", table).select("s", "v", "good")
+    assert listed.exceptAll(tabled).isEmpty() and tabled.exceptAll(listed).isEmpty()
+    assert listed.filter("v = good").count() < 2500
+    none = recode_by_table(df, "s", "v", table.limit(0))
+    assert none.exceptAll(df).isEmpty() and none.count() == df.count()
