@@ -90,7 +90,7 @@ def flattened_text(df: DataFrame, keys: Sequence[str], value: str, order: str, s
     names = [f"__key_{i}" for i in range(len(keys))]
     entries = df.filter(F.col(value).isNotNull()).select(*named, F.col(order).alias("__o"), F.col(value).alias("__v")).distinct()
     ranged = entries.repartitionByRange(*([partitions] if partitions else []), *names, "__o", "__v")
-    placed = stored(ranged.withColumn("__part", F.spark_partition_id()), "text-ranges")
+    placed = ranged.withColumn("__part", F.spark_partition_id())
     inside = F.array_sort(F.collect_list(F.struct("__o", "__v")))
     pieces = placed.groupBy(*names, "__part").agg(F.array_join(F.transform(inside, lambda e: e["__v"]), sep).alias("__text"))
     # Ranges ascend, so pieces in the order of their ranges are the whole text.
