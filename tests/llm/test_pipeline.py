@@ -7,7 +7,7 @@ from .conftest import words
 
 def test_registered_queries():
     numbers = sorted(int(name.split("_")[0][2:]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(SQL) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(SQL) <= set(QUERIES)
 
 
 def test_stages_take_effect(spark, docs_of, on_disk, tmp_path):
