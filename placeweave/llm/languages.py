@@ -48,11 +48,15 @@ def read_pieces(path: str = VOCABULARY) -> list[str]:
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
-    return ["<unk>", *sorted({p for p in pieces if p == _START or (p.lower() == p and _WORD.fullmatch(p.removeprefix(_START)))})]
+    return ["<unk>", *sorted({p for p in pieces if p == _START or (p.lower() == p and p.removeprefix(_START).isalpha())})]
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    words = _WORD.findall((text or "").lower())
+    if not text or text.isascii():
+        return words
+    # The pattern also takes number-like characters (superscripts, fractions, Roman numerals); they part words as digits do.
+    return [part for w in words for part in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 class Lattice:

@@ -44,6 +44,12 @@ def test_long_words_do_not_vanish(random_model):
     assert np.isfinite(many).all() and many[0] < 900 * once[0]
 
 
+def test_words_hold_letters_only():
+    assert words_of("Größe² x½y ⅧII 五 a1b ½") == ["größe", "x", "y", "ii", "五", "a", "b"]
+    assert words_of("² ½ Ⅷ ③ ٣") == [] == words_of(None)
+    assert all(p.removeprefix("▁").isalpha() for p in read_pieces()[1:] if p != "▁")
+
+
 def test_learning_raises_the_likelihood():
     pieces = read_pieces()
     counts = {w: 3 for w in words_of(EN)}
@@ -59,8 +65,8 @@ def test_learning_raises_the_likelihood():
 def test_held_out_sentences(spark, docs_of):
     rows = [(i, EN if i % 2 else DE, "en" if i % 2 else "de") for i in range(40)]
     model = train(docs_of(rows))
-    got = predict(docs_of([(1, "They were near the house."), (2, "SIE GINGEN NACH HAUS"), (3, "12 ... !!"), (4, None), (5, "the " * 50_000)]), model, keep=("doc_id",))
-    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "en", 2: "de", 3: "und", 4: "und", 5: "en"}
+    got = predict(docs_of([(1, "They were near the house."), (2, "SIE GINGEN NACH HAUS"), (3, "12 ... !!"), (4, None), (5, "the " * 50_000), (6, "² ½ Ⅷ")]), model, keep=("doc_id",))
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "en", 2: "de", 3: "und", 4: "und", 5: "en", 6: "und"}
     assert got.where("score < 0 OR score > 1 OR (lang_pred = 'und' AND score <> 0)").count() == 0
 
 
