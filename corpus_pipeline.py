@@ -14,9 +14,20 @@ from placeweave.llm import languages, lines, mixing, near, templates
 from placeweave.llm.shared import stored, table
 from placeweave.session import counted_side
 
+# Rows of whole texts that travel to Python at once; a batch of Spark's 10,000 stands several times in an executor's memory, for every task.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's batches to at most ``BATCH_ROWS`` rows, for all stages; a smaller setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language (no letters, or no language clearly likelier); ``lang`` becomes the predicted one."""
+    small_batches(spark)
     model = languages.train(docs.where(~languages.held_out(F.col("doc_id"))))
     judged = languages.predict(docs.select(F.struct("*").alias("row"), "text"), model, keep=("row",))
     kept = judged.where((F.col("lang_pred") != languages.UNDETERMINED) & (F.col("score") >= languages.MIN_SCORE))

@@ -45,3 +45,16 @@ def test_awkward_rows_and_empty_tables(spark, awkward, nothing, on_disk, tmp_pat
         for name, stage in corpus_pipeline.STAGES:
             rows = corpus_pipeline.stored(stage(spark, rows, str(tmp_path)), name)
         assert rows.count() <= docs.count()
+
+
+def test_stages_send_small_batches_to_python(spark, docs_of):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for given, want in ((10_000, 1_000), (0, 1_000), (300, 300)):
+            spark.conf.set(setting, given)
+            docs = docs_of([(i, words(i, 20), "en", "src1") for i in range(3)])
+            corpus_pipeline.STAGES[0][1](spark, docs, "")
+            assert int(spark.conf.get(setting)) == want
+    finally:
+        spark.conf.set(setting, before)
