@@ -34,6 +34,8 @@ COVERAGE = 0.7
 DRIFT = 8
 BITMAP_BITS = 1 << 26
 REMEMBERED = 200_000
+# Characters of texts that are cut into windows at once.
+CHARACTERS = 200_000
 
 # Words that are units when they follow a number.
 UNITS = frozenset(
@@ -42,10 +44,12 @@ UNITS = frozenset(
     "kilograms pound pounds ounce ounces ton tons litre litres liter liters percent degrees degree dollar dollars euro euros cent "
     "cents usd eur gbp mph kmh kw kwh w v a hz kb mb gb tb".split())
 
-_TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_][^\W_]*|[.!?\n]|[%$€£°]")
+_TOKEN = re.compile(r"[^\W\d_][^\W_]*|\d+(?:[.,:/]\d+)*|[.!?\n%$€£°]")
 _ENDS = frozenset(".!?\n")
 _MARKS = frozenset("%$€£°")
-_NUM, _NAME, _UNIT = (np.uint64(xxhash.xxh3_64_intdigest(f"<{kind}>")) for kind in ("num", "name", "unit"))
+# Tokens and placeholders enter the hash of a window mixed.
+with np.errstate(over="ignore"):
+    _NUM, _NAME, _UNIT = mixed(np.array([xxhash.xxh3_64_intdigest(f"<{kind}>") for kind in ("num", "name", "unit")], dtype=np.uint64))
 _TIMES = np.array([pow(0x9E3779B97F4A7C15, i + 1, 1 << 64) for i in range(WINDOW)], dtype=np.uint64)
 # Where the hash of a window of so many tokens as they are starts from; templates start from zero.
 _AS_IT_IS = np.array([xxhash.xxh3_64_intdigest(f"<as it is {n}>") for n in range(WINDOW + 1)], dtype=np.uint64)
@@ -63,77 +67,102 @@ class Canonical:
 
     def __init__(self):
         self.known: dict[str, int] = {}
-        self.kinds = np.zeros(1 << 12, dtype=np.int64)
-        self.hashes = np.zeros(1 << 12, dtype=np.uint64)
+        self.kinds = np.zeros(1 << 12, dtype=np.uint8)
+        self.spread = np.zeros(1 << 12, dtype=np.uint64)
 
-    def _learn(self, tokens: list[str]) -> None:
+    def _numbers(self, tokens: list[str]) -> np.ndarray:
+        """Where kinds and hashes of the tokens stand."""
         if len(self.known) > REMEMBERED:
             self.__init__()
         new = set(tokens).difference(self.known)
         while len(self.known) + len(new) > len(self.kinds):
-            self.kinds, self.hashes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kinds, self.hashes))
+            self.kinds, self.spread = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kinds, self.spread))
+        first, hashes = len(self.known), []
         for t in new:
             word = t.lower()
             kind = (_END if t in _ENDS else _MARK if t in _MARKS else _NUMBER if t[0].isdecimal()
                     else (_CAPITAL if t[0].isupper() and t[1:] == word[1:] else 0) | (_UNITWORD if word in UNITS else 0))
             i = self.known[t] = len(self.known)
-            self.kinds[i], self.hashes[i] = kind, xxhash.xxh3_64_intdigest(word)
+            self.kinds[i] = kind
+            hashes.append(xxhash.xxh3_64_intdigest(word))
+        with np.errstate(over="ignore"):
+            self.spread[first:first + len(hashes)] = mixed(np.array(hashes, dtype=np.uint64))
+        return np.fromiter(map(self.known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
 
     def windows(self, text: str | None, short: tuple[int, ...] | None = None) -> tuple[np.ndarray, np.ndarray, callable]:
         """Hashes, token positions, and a function that lists the slots of the i-th window as ``place:type:value``.
 
         ``short`` lists the sizes below ``WINDOW`` to cut too; by default, a text with fewer tokens is one window.
         """
-        tokens = _TOKEN.findall(text or "")
-        self._learn(tokens)
-        ids = np.fromiter(map(self.known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        kind, hashes = self.kinds[ids], self.hashes
-        begins = np.concatenate([[True], (kind[:-1] & _END) > 0])[:len(kind)]
-        is_word = (kind & _END) == 0
-        at = np.nonzero(is_word)[0]
-        kind, begins, ids = kind[at], begins[at], ids[at]
-        spread, n = mixed(hashes[ids]), len(at)
+        if short is None:
+            n = len(_words(text))
+            short = (n,) if 0 < n < WINDOW else ()
+        hashes, _, pos, slots = self.windows_of([text], short)
+        return hashes, pos, slots
 
-        def as_it_is(begin: np.ndarray, size: int) -> np.ndarray:
-            total = np.full(len(begin), _AS_IT_IS[size])
+    def windows_of(self, texts: list[str | None], short: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, np.ndarray, callable]:
+        """The windows of several texts at once: hashes, places of their texts in the list, token positions in these, and the slots as above.
+
+        No window reaches from one text into the next.
+        """
+        tokens, sizes = [], []
+        for t in texts:
+            found = _TOKEN.findall(t or "")
+            tokens += found
+            sizes.append(len(found))
+        ids = self._numbers(tokens)
+        kind = self.kinds[ids]
+        is_word = (kind & _END) == 0
+        begins = np.concatenate([[True], ~is_word[:-1]])[:len(kind)]
+        text_starts = np.cumsum([0, *sizes])
+        begins[text_starts[:-1][np.array(sizes) > 0]] = True
+        at = np.flatnonzero(is_word)
+        kind, begins, spread, n = kind[at], begins[at], self.spread[ids[at]], len(at)
+        bounds = np.searchsorted(at, text_starts)  # word numbers where the texts begin and end
+        counts = np.diff(bounds)
+        owner = np.repeat(np.arange(len(texts)), counts)
+
+        def places(size: int) -> np.ndarray:
+            """Where a window of so many words stays inside its text."""
+            whole = np.ones(max(n - size + 1, 0), dtype=bool)
+            for i in range(1, size):
+                ends = bounds[1:-1] - i
+                whole[ends[(ends >= 0) & (ends < len(whole))]] = False
+            return np.flatnonzero(whole)
+
+        def over(values: np.ndarray, starts: np.ndarray, size: int, origin: np.uint64 = np.uint64(0)) -> np.ndarray:
+            total = np.full(len(starts), origin)
             for i in range(size):
-                total += spread[begin + i] * _TIMES[i]
+                total += values[starts + i] * _TIMES[i]
             return mixed(total)
-        if short is None:
-            short = (n,) if 0 < n < WINDOW else ()
-        small = [(np.arange(n - size + 1), size) for size in short if n >= size]
-        small_pos = np.concatenate([np.empty(0, np.int64), *(x for x, _ in small)])
-        with np.errstate(over="ignore"):
-            small_hash = np.concatenate([np.empty(0, np.uint64), *(as_it_is(x, size) for x, size in small)])
-        runs = n - WINDOW + 1
-        if runs < 1:
-            return small_hash, small_pos, lambda i: []
+
         number = (kind & _NUMBER) > 0
-        beside = np.concatenate([[False], number[:-1]])
+        beside = np.concatenate([[False], number[:-1]])[:n]
+        beside[bounds[:-1][counts > 0]] = False
         unit = ((kind & _UNITWORD) > 0) & beside | ((kind & _MARK) > 0)
         name = ((kind & _CAPITAL) > 0) & ~begins & ~unit
-        plain = np.where(number, _NUM, np.where(unit, _UNIT, hashes[ids]))
-
-        def over(values, slots):
-            total, spread = np.zeros(runs, dtype=np.uint64), mixed(values)
-            for i in range(WINDOW):
-                total += spread[i:i + runs] * _TIMES[i]
-            filled = np.convolve(slots, np.ones(WINDOW, dtype=np.int64), "valid")
-            return mixed(total), filled
-        with np.errstate(over="ignore"):
-            plain_hash, plain_slots = over(plain, (number | unit).astype(np.int64))
-            named_hash, named_slots = over(np.where(name, _NAME, plain), (number | unit | name).astype(np.int64))
-        use_plain = np.nonzero(plain_slots <= WINDOW - MIN_LITERALS)[0]
-        use_named = np.nonzero((named_slots > plain_slots) & (named_slots <= WINDOW - MIN_LITERALS))[0]
-        use_literal = np.nonzero(plain_slots > WINDOW - MIN_LITERALS)[0]
+        starts = places(WINDOW)
+
+        def filled(slots: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(slots)])
+            return sums[starts + WINDOW] - sums[starts]
+        plain_slots = filled(number | unit)
+        named_slots = plain_slots + filled(name)
+        is_plain = plain_slots <= WINDOW - MIN_LITERALS
+        use_plain, use_literal = starts[is_plain], starts[~is_plain]
+        use_named = starts[(named_slots > plain_slots) & (named_slots <= WINDOW - MIN_LITERALS)]
+        small = [(places(size), size) for size in short]
         with np.errstate(over="ignore"):
-            literal_hash = as_it_is(use_literal, WINDOW)
+            plain = np.where(number, _NUM, np.where(unit, _UNIT, spread))
+            hashes = np.concatenate([over(plain, use_plain, WINDOW), over(np.where(name, _NAME, plain), use_named, WINDOW),
+                                     over(spread, use_literal, WINDOW, _AS_IT_IS[WINDOW]),
+                                     *(over(spread, x, size, _AS_IT_IS[size]) for x, size in small)])
         first_named, first_literal = len(use_plain), len(use_plain) + len(use_named)
         first_small = first_literal + len(use_literal)
-        pos = np.concatenate([use_plain, use_named, use_literal, small_pos])
+        begin = np.concatenate([use_plain, use_named, use_literal, *(x for x, _ in small)])
 
         def slots(i: int) -> list[str]:
-            start, out = pos[i], []
+            start, out = begin[i], []
             if i >= first_small:
                 return out
             for j in range(start, start + WINDOW):
@@ -141,7 +170,8 @@ class Canonical:
                 if kind_of:
                     out.append(f"{j - start}:{kind_of}:{tokens[at[j]].lower()}")
             return out
-        return np.concatenate([plain_hash[use_plain], named_hash[use_named], literal_hash, small_hash]), pos, slots
+        of = owner[begin]
+        return hashes, of, begin - bounds[of], slots
 
 
 def benchmark_windows(items: DataFrame, *, text: str = "text", key: str = "item_id") -> DataFrame:
@@ -171,6 +201,18 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return bits
 
 
+def _gathered(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts with about ``CHARACTERS`` together, and where in the list they begin; a longer text is a run of its own."""
+    low = size = 0
+    for i, t in enumerate(texts):
+        if i > low and size + len(t) > CHARACTERS:
+            yield low, texts[low:i]
+            low, size = i, 0
+        size += len(t)
+    if low < len(texts):
+        yield low, texts[low:]
+
+
 def text_windows(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...] = (), *, text: str = "text") -> DataFrame:
     """The windows of every text that the bitmap lets through, those of the ``short`` sizes too; ``whole`` is the text's MD5."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
@@ -178,12 +220,12 @@ def text_windows(docs: DataFrame, bits: np.ndarray, short: tuple[int, ...] = (),
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canonical, known = Canonical(), shared.value
         for batch in slices(batches):
-            out = []
-            for whole, t in zip(batch["whole"], batch["text"], strict=True):
-                hashes, pos, slots = canonical.windows(t, short)
-                bit = hashes.view(np.int64) % BITMAP_BITS
-                for i in np.nonzero((known[bit >> 3] >> (bit & 7)) & 1)[0]:
-                    out.append((whole, hashes[i].view(np.int64), int(pos[i]), slots(i)))
+            out, wholes = [], batch["whole"].tolist()
+            for low, texts in _gathered(batch["text"].tolist()):
+                hashes, of, pos, slots = canonical.windows_of(texts, short)
+                bit = (hashes & np.uint64(BITMAP_BITS - 1)).view(np.int64)
+                for i in np.flatnonzero((known[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1):
+                    out.append((wholes[low + of[i]], hashes[i].view(np.int64), int(pos[i]), slots(i)))
             yield pd.DataFrame(out, columns=["whole", "hash", "pos", "slots"])
     rows = docs.select(F.unhex(F.md5(text)).alias("whole"), F.col(text).alias("text")).where("text IS NOT NULL")
     return rows.mapInPandas(cut, WINDOWS)

@@ -1,4 +1,4 @@
-from placeweave.llm.templates import WINDOW, Canonical, best_alignment, decontaminated, leaks
+from placeweave.llm.templates import CHARACTERS, WINDOW, Canonical, _gathered, best_alignment, decontaminated, leaks
 
 from .conftest import words
 
@@ -46,6 +46,28 @@ def test_windows_stand_at_their_tokens():
     assert len(hashes) and set(hashes.tolist()) <= set(again.tolist()) and pos.max() <= 100 - WINDOW
 
 
+def test_texts_cut_together_give_the_windows_of_each_alone():
+    texts = [None, "", "a", "New York. Paris in May 12 km. X", ITEM, "\n. .", "12 34 55 kg 7 % 88 99 Boston", "km 5 km 6 km 7 km 8 km 9 km 10 km",
+             ASKED_ANEW.upper(), "one two three four five six", words(1, 300), "5", "5 kg", "Boston leaves ß İ x²y"]
+    for short in ((), (1,), (3, 5)):
+        hashes, of, pos, slots = Canonical().windows_of(texts, short)
+        together = sorted((int(k), int(h), int(p), slots(i)) for i, (k, h, p) in enumerate(zip(of, hashes, pos, strict=True)))
+        alone = []
+        for k, t in enumerate(texts):
+            hashes, pos, slots = Canonical().windows(t, short)
+            alone += [(k, int(h), int(p), slots(i)) for i, (h, p) in enumerate(zip(hashes, pos, strict=True))]
+        assert together == sorted(alone) and len(alone) > 300
+    assert [len(x) for x in Canonical().windows_of([])[:3]] == [0, 0, 0]
+
+
+def test_texts_are_gathered_whole_and_in_order():
+    texts = ["", "x" * (CHARACTERS + 1), "", *("y" * (CHARACTERS // 3) for _ in range(7)), "z"]
+    runs = list(_gathered(texts))
+    assert [t for _, run in runs for t in run] == texts and [low for low, _ in runs] == [sum(len(r) for _, r in runs[:i]) for i in range(len(runs))]
+    assert all(len(run) == 1 or sum(map(len, run)) <= CHARACTERS for _, run in runs) and len(runs) == 5
+    assert list(_gathered([])) == []
+
+
 def test_alignment_needs_one_offset():
     spread = [(i * 100, i, [], []) for i in range(20)]
     assert best_alignment(spread, 25)[0] == WINDOW / 25
