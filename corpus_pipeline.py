@@ -41,11 +41,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest identifier, once."""
-    kept = near.near_groups(docs).where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    kept = stored(kept, "near-kept")
-    single = docs.join(kept.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(counted_side(kept.where("rows > 1").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where("doc_id IS NULL"))
+    kept = near.near_groups(docs).where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count_if("kept").alias("rows"))
+    # Far fewer than those that stay, so texts need not be shuffled to meet them as long as they are few.
+    others = stored(kept.where("rows <> 1"), "near-not-once")
+    once = docs.join(counted_side(others.select("doc_id")), "doc_id", "left_anti")
+    repeated = docs.join(counted_side(others.where("rows > 1").select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.unionByName(repeated)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

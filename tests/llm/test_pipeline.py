@@ -1,3 +1,5 @@
+from collections import Counter
+
 import corpus_pipeline
 
 from placeweave.llm import QUERIES, SQL
@@ -65,3 +67,17 @@ def test_languages_are_judged_once_a_text(spark, docs_of):
     docs = docs_of([(i, f"the house was near the river {words(i, 20)}", "en", "src1") for i in range(8)])
     judged = corpus_pipeline.language_id(spark, docs, "")
     assert judged._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_near_copies_go_without_a_shuffle_of_all_texts(spark, docs_of):
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    rows = [(i, words(i, 60)) for i in range(6)] + [(7, words(1, 60)), (8, f"{words(2, 60)} tail"), (3, words(3, 60)), (None, words(4, 60)), (None, None), (9, None), (9, None)]
+    try:
+        spark.conf.set(setting, -1)
+        left = corpus_pipeline.near_dedup(spark, docs_of(rows), "")
+        assert "SortMergeJoin" not in left._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r.doc_id, r.text) for r in left.select("doc_id", "text").collect())
+    finally:
+        spark.conf.set(setting, before)
+    assert got == Counter([*((i, words(i, 60)) for i in range(6)), (None, words(4, 60)), (None, None), (9, None)])
