@@ -290,6 +290,26 @@ def test_shapes_that_share_a_key_keep_their_own_tracts(spark, raw_tracts, rows):
     assert rows(crosswalks.csa_to_tract(raw, raw_tracts), "csa_name", "census_geoidfq") == [("M", "US1"), ("N", "US3")]
 
 
+def test_pairs_of_crosswalks_are_not_joined_with_their_names(spark, raw_tracts):
+    """Names come with the shapes: however many regions and tracts there are, no pair is shuffled to meet them."""
+    raw = shaped(spark, [("c", "c", "Fc", "N", box(9.5, 9.5, 3))], ["CSAFP", "GEOID", "GEOIDFQ", "NAME"])
+    typed = raw.withColumnRenamed("CSAFP", "CBSAFP").withColumn("LSAD", F.lit("M1"))
+    for out in (crosswalks.csa_to_tract(raw, raw_tracts), crosswalks.cbsa_to_tract(typed, raw_tracts)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan[:plan.index("MapInArrow")]
+
+
+def test_crosswalk_of_shapes_of_few_and_of_many_vertices(spark, raw_tracts, rows):
+    def round_(x, y, size):  # a square with ten more vertices on one side
+        corners = [(x + size * k / 10, y) for k in range(11)] + [(x + size, y + size), (x, y + size), (x, y)]
+        return f"POLYGON (({', '.join(f'{a} {b}' for a, b in corners)}))"
+    raw = shaped(spark, [("c", "c", "Fc", "N", box(9.5, 9.5, 3)), ("c", "c", "Fc", "M", round_(0.2, 0.2, 0.1)), (None, "d", "Fd", "O", round_(9.5, 9.5, 3)),
+                         (None, "d", "Fd", "P", round_(70, 70, 1))], ["CSAFP", "GEOID", "GEOIDFQ", "NAME"])
+    more = raw_tracts.unionByName(shaped(spark, [("99", "US9", round_(0.1, 0.1, 0.4))], ["GEOID", "GEOIDFQ"]), allowMissingColumns=True)
+    assert rows(crosswalks.csa_to_tract(raw, more), "csa_fips", "csa_name", "census_geoidfq") == [
+        (None, "O", "US3"), ("c", "M", "US1"), ("c", "M", "US9"), ("c", "N", "US3")]
+
+
 def test_csa_and_edd(spark, raw_tracts, rows):
     csa = shaped(spark, [("c", "c", "Fc", "N", box(9.5, 9.5, 3))], ["CSAFP", "GEOID", "GEOIDFQ", "NAME"])
     assert rows(crosswalks.csa_to_tract(csa, raw_tracts)) == [("c", "c", "Fc", "N", "01001020300", "US3")]
